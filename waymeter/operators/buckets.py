@@ -18,7 +18,12 @@ def with_scope(df: DataFrame) -> DataFrame:
     return df.withColumns(missing)
 
 
-def expand_granularities(df: DataFrame, time: str = "event_time", zone: str = timing.REPORTING_ZONE) -> DataFrame:
+def expand_granularities(
+    df: DataFrame,
+    time: str = "event_time",
+    zone: str = timing.REPORTING_ZONE,
+    granularities: tuple[str, ...] = timing.GRANULARITIES,
+) -> DataFrame:
     """Each row once per granularity, with its bucket."""
     # the local time is a column of its own, so that it is computed once per row
     local = df.withColumn("_local", timing.to_local(F.col(time), zone))
@@ -28,7 +33,7 @@ def expand_granularities(df: DataFrame, time: str = "event_time", zone: str = ti
                 F.lit(name).alias("bucket_granularity"),
                 timing.from_local(timing.floor_local(F.col("_local"), name), zone).alias("bucket_start"),
             )
-            for name in timing.GRANULARITIES
+            for name in granularities
         ]
     )
     kept = [c for c in df.columns if c not in ("bucket_start", "bucket_granularity")]
@@ -57,14 +62,14 @@ def minute_totals(records: DataFrame) -> DataFrame:
     return records.groupBy(*keys, minute).agg(*_totals("event_time", "event_time", "processed_at", lag))
 
 
-def roll_up(minutes: DataFrame) -> DataFrame:
-    """All five granularities from minute totals.
+def roll_up(minutes: DataFrame, granularities: tuple[str, ...] = timing.GRANULARITIES) -> DataFrame:
+    """Facts of the given granularities, all five by default, from minute totals.
 
     Every measure is a sum, minimum or maximum, so coarse buckets are exact from
     minutes, and the five-fold fan-out touches minute rows in place of records.
     """
     keys = ["metric_name", "metric_unit", *[c for c in SCOPE if c in minutes.columns]]
-    wide = expand_granularities(minutes, "bucket_start")
+    wide = expand_granularities(minutes, "bucket_start", granularities=granularities)
     totals = wide.groupBy(*keys, "bucket_granularity", "bucket_start").agg(
         *_totals("first_event_at", "last_event_at", "last_ingested_at", "processing_lag_ms")
     )
@@ -86,9 +91,9 @@ def facts_of(totals: DataFrame) -> DataFrame:
     )
 
 
-def bucket_facts(records: DataFrame) -> DataFrame:
+def bucket_facts(records: DataFrame, granularities: tuple[str, ...] = timing.GRANULARITIES) -> DataFrame:
     """The fact table of a set of metric records."""
-    return roll_up(minute_totals(records))
+    return roll_up(minute_totals(records), granularities)
 
 
 def ratio_of(

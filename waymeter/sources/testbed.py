@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from waymeter.functions import timing
+from waymeter.functions.fields import to_snake
 
 MONEY = "decimal(18,4)"
 
@@ -193,3 +194,83 @@ def passenger_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "seq",
         "ingest_ts",
     )
+
+
+def _hex_of_double(value: Column, exponent: int) -> Column:
+    """Big-endian hex digits of a double between 2**exponent and 2**(exponent + 1)."""
+    mantissa = ((value / F.lit(2.0**exponent) - 1.0) * F.lit(2.0**52)).cast("bigint")
+    return F.concat(F.lit(f"{1023 + exponent:03X}"), F.lpad(F.hex(mantissa), 13, "0"))
+
+
+def wkb_of(lat: Column, lon: Column) -> Column:
+    """A big-endian WKB point, for latitudes in [8, 16) and longitudes in [64, 128)."""
+    return F.unhex(F.concat(F.lit("0000000001"), _hex_of_double(lon, 6), _hex_of_double(lat, 3)))
+
+
+def _iso(ts: str) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def _envelope(df: DataFrame, op: Column, values: dict[str, Column], spelling: Column) -> DataFrame:
+    """JSON envelopes whose field names are camel, snake or upper case, by row."""
+    styles = [lambda n: n, to_snake, str.upper]
+    after = [F.to_json(F.struct(*[v.alias(style(n)) for n, v in values.items()])) for style in styles]
+    body = F.when(spelling == 0, after[0]).when(spelling == 1, after[1]).otherwise(after[2])
+    head = F.concat(F.lit('{"op":"'), op, F.lit('","after":'))
+    return df.select(F.concat(head, body, F.lit("}")).alias("value"), "seq", "ingest_ts")
+
+
+def booking_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bookings as JSON change records, with points as WKB or as objects."""
+    key = F.col("booking_id").cast("bigint")
+    wkb = F.base64(wkb_of(F.col("pickup_lat"), F.col("pickup_lon")))
+    plain = F.to_json(F.struct(F.col("dropoff_lat").alias("latitude"), F.col("dropoff_lon").alias("longitude")))
+    values = {
+        "id": F.col("booking_id"),
+        "passengerId": F.col("passenger_id"),
+        "status": F.col("status"),
+        "serviceTypeCode": F.col("service_type"),
+        "serviceTierCode": F.col("service_tier"),
+        "wardCode": F.col("area_code"),
+        "platformFee": F.col("platform_fee").cast("bigint").cast("string"),
+        "discountAmount": F.when(key % 7 == 0, F.lit("n/a")).otherwise(F.col("discount_amount").cast("bigint").cast("string")),
+        "pickupLocation": F.struct(wkb.alias("wkb"), F.lit(4326).alias("srid")),
+        "dropoffLocation": F.when(F.col("dropoff_lat").isNotNull(), plain),
+        "createdAt": _iso("created_at"),
+        "atPickUpAt": F.when(key % 2 == 0, _iso("accepted_at")),
+        "acceptedAt": F.when(key % 2 == 1, _iso("accepted_at")),
+        "startTripAt": _iso("start_trip_at"),
+        "completedAt": _iso("completed_at"),
+        "updatedAt": _iso("updated_at"),
+    }
+    return _envelope(bookings(spark, sf_dir), F.col("op"), values, key % 3)
+
+
+def driver_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = {
+        "id": F.col("driver_id"),
+        "serviceCode": F.col("service_type"),
+        "areaCode": F.col("area_code"),
+        "createdAt": _iso("created_at"),
+        "updatedAt": _iso("updated_at"),
+    }
+    return _envelope(driver_profiles(spark, sf_dir), F.when(F.col("seq") % 5 == 0, "r").otherwise("c"), values, F.col("seq") % 3)
+
+
+def passenger_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = {"id": F.col("passenger_id"), "createdAt": _iso("created_at"), "updatedAt": _iso("updated_at")}
+    return _envelope(passengers(spark, sf_dir), F.when(F.col("seq") % 5 == 0, "r").otherwise(F.col("op")), values, F.col("seq") % 3)
+
+
+def location_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions as JSON: plain numbers, base64 WKB, hex WKB, or nothing, by row."""
+    wkb, turn = wkb_of(F.col("lat"), F.col("lon")), F.col("seq") % 4
+    values = {
+        "driverId": F.col("driver_id"),
+        "availability": F.col("availability"),
+        "latitude": F.when(turn == 0, F.col("lat")),
+        "longitude": F.when(turn == 0, F.col("lon")),
+        "coordinates": F.when(turn == 1, F.base64(wkb)).when(turn == 2, F.hex(wkb)),
+        "updatedAt": _iso("updated_at"),
+    }
+    return _envelope(driver_locations(spark, sf_dir), F.lit("r"), values, F.lit(0))
