@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
 
 SLOTS = 4096
 ROWS_PER_TASK = 2_000_000
@@ -20,27 +20,26 @@ CHUNK = "_chunk"
 SLOT = "_slot"
 
 
-def heavy_slots(df: DataFrame, key: str, order: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Hash slots that hold too many rows for one task: at most SLOTS rows come out.
+def _slot(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
 
-    Counting slots in place of keys bounds the shuffle (SLOTS partial rows per task)
-    and the result, and still finds every heavy key, since its slot is at least as
-    heavy. A slot is heavy beyond four times the mean slot and ``rows_per_task``.
+
+def heavy_slots(df: DataFrame, key: str, order: str, rows_per_task: int = ROWS_PER_TASK) -> list[Row]:
+    """Hash slots that hold too many rows for one task, with their range of ``order``.
+
+    Counting slots in place of keys bounds the shuffle (SLOTS partial rows per task) and
+    still finds every heavy key, since its slot is at least as heavy. A slot is heavy
+    beyond four times the mean slot and ``rows_per_task``, so at most SLOTS / 4 small
+    rows reach the driver, whatever the data.
     """
-    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
-    counts = df.groupBy(slot.alias(SLOT)).agg(
-        F.count(F.lit(1)).alias("n"), F.min(order).alias("_low"), F.max(order).alias("_high")
+    counts = df.groupBy(_slot(key).alias(SLOT)).agg(
+        F.count(F.lit(1)).alias("n"), F.min(order).alias("low"), F.max(order).alias("high")
     )
-    # one window over at most SLOTS rows
+    # a window over at most SLOTS rows
     mean = F.sum("n").over(W.partitionBy(F.lit(0))) / F.lit(SLOTS)
-    size = F.greatest(F.lit(rows_per_task), mean)
-    parts = F.ceil(F.col("n") / F.col("_size"))
-    return (
-        counts.withColumn("_mean", mean)
-        .withColumn("_size", size)
-        .filter((F.col("n") > 4 * F.col("_mean")) & (F.col("n") > rows_per_task))
-        .select(SLOT, "_low", "_high", parts.alias("_parts"))
-    )
+    heavy = counts.withColumn("mean", mean).filter((F.col("n") > 4 * F.col("mean")) & (F.col("n") > rows_per_task))
+    parts = F.ceil(F.col("n") / F.greatest(F.lit(rows_per_task), F.col("mean"))).cast("int")
+    return heavy.select(SLOT, "low", "high", parts.alias("parts")).collect()
 
 
 def per_key(
@@ -54,21 +53,20 @@ def per_key(
     """Run ``body`` over ordinary keys whole and over heavy keys in chunks.
 
     ``body(rows, chunk)`` gets ``chunk=[]`` for ordinary keys and the name of the chunk
-    column for heavy ones, and must pass both to :func:`carry`. With no heavy key the
-    second branch is empty and adaptive execution removes it. ``keys`` is a cheaper
-    source of (key, order) for finding heavy keys, where ``df`` is costly to scan.
+    column for heavy ones, and must pass both to :func:`carry`. Without heavy keys the
+    plan is just ``body(df, [])``. Finding them takes one pass over (key, order) when the
+    plan is made; ``keys`` may give the two from a cheaper scan than ``df``.
     """
-    # at most SLOTS rows by construction, so the broadcast does not grow with the data
-    heavy = F.broadcast(heavy_slots((df if keys is None else keys).select(key, order), key, order, rows_per_task))
-    slotted = df.withColumn(SLOT, F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int"))
-    ordinary = slotted.join(heavy, SLOT, "left_anti").drop(SLOT)
+    heavy = heavy_slots((df if keys is None else keys).select(key, order), key, order, rows_per_task)
+    if not heavy:
+        return body(df, [])
+    # at most SLOTS / 4 rows, so this broadcast does not grow with the data
+    ranges = F.broadcast(df.sparkSession.createDataFrame(heavy, f"{SLOT} int, low bigint, high bigint, parts int"))
+    slotted = df.withColumn(SLOT, _slot(key))
+    ordinary = slotted.join(ranges, SLOT, "left_anti").drop(SLOT)
     # floor of a rising function of the order column: chunks never overlap
-    place = (F.col(order) - F.col("_low")) / (F.col("_high") - F.col("_low") + 1) * F.col("_parts")
-    chunked = (
-        slotted.join(heavy, SLOT, "inner")
-        .withColumn(CHUNK, F.floor(place).cast("int"))
-        .drop(SLOT, "_low", "_high", "_parts")
-    )
+    place = (F.col(order) - F.col("low")) / (F.col("high") - F.col("low") + 1) * F.col("parts")
+    chunked = slotted.join(ranges, SLOT).withColumn(CHUNK, F.floor(place).cast("int")).drop(SLOT, "low", "high", "parts")
     return body(ordinary, []).unionByName(body(chunked, [CHUNK]).drop(CHUNK))
 
 

@@ -103,7 +103,7 @@ def cdc_driver_locations(spark, sf):
 def cdc_file_source(spark, sf):
     """Change records through files, from a start time on."""
     folder = work_folder(spark, "cdc")
-    bed.passenger_envelopes(spark, sf).write.json(folder)
+    bed.passenger_envelopes(spark, sf).write.option("timestampNTZFormat", cdc.NTZ_TEXT).json(folder)
     since = "TIMESTAMP:1705276800000"  # 2024-01-15T00:00:00Z
     return cdc.parse_passengers(cdc.file_source(spark, folder, since, streaming=False))
 
@@ -618,11 +618,16 @@ def supply_demand_map(spark, sf):
 
 
 def _feed(spark, rows: DataFrame, name: str, parts: int = 3) -> DataFrame:
-    """Rows as a file stream of a few micro-batches."""
+    """Rows as a file stream of a few micro-batches, in order of arrival.
+
+    Files are read in order of writing, so each slice of ``seq`` is written on its own.
+    """
     folder = work_folder(spark, name)
-    shape = rows.schema
-    rows.repartitionByRange(parts, "ingest_ts", "seq").sortWithinPartitions("ingest_ts", "seq").write.parquet(folder)
-    return spark.readStream.schema(shape).option("maxFilesPerTrigger", 2).parquet(folder)
+    low, high = rows.agg(F.min("seq"), F.max("seq")).first()
+    slice_of = F.floor((F.col("seq") - low) * parts / (high - low + 1))
+    for i in range(parts):
+        rows.filter(slice_of == i).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(folder)
 
 
 def _finish(running) -> None:
