@@ -6,6 +6,7 @@ A query takes (spark, sf_dir) and gives a DataFrame over whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -30,12 +31,20 @@ def query(function: Query) -> Query:
 
 
 # ---- shared inputs -----------------------------------------------------------------
+# Frames are lazy: what is kept here is the plan, not data.
 
 
+def forget_plans() -> None:
+    for shared in (triggers, minutes, enriched):
+        shared.cache_clear()
+
+
+@lru_cache(maxsize=32)
 def triggers(spark, sf, dedupe_terminal=False) -> DataFrame:
     return b.booking_triggers(bed.bookings(spark, sf), dedupe_terminal, keys=bed.booking_keys(spark, sf))
 
 
+@lru_cache(maxsize=32)
 def minutes(spark, sf, parts=ALL) -> DataFrame:
     """Minute totals of the chosen producers."""
     records = []
@@ -64,6 +73,7 @@ def snapshot(spark, sf, parts=ALL) -> DataFrame:
     return marts.latest_snapshot(facts(spark, sf, "MONTH", parts=parts))
 
 
+@lru_cache(maxsize=32)
 def enriched(spark, sf) -> DataFrame:
     return drivers.enrich_locations(bed.driver_locations(spark, sf), bed.driver_profiles(spark, sf))
 
