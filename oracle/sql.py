@@ -292,6 +292,6 @@ ORACLE["supply_demand_map"] = compose(
 )
 # the JSON feed spoils the discount of every seventh booking
 _FEED = [(*m[:3], m[3].replace("discount", "(CASE WHEN k%7 = 0 THEN 0 ELSE discount END)"), m[4].replace("discount", "(CASE WHEN k%7 = 0 THEN 0 ELSE discount END)"), *m[5:8], m[8].replace("discount", "(CASE WHEN k%7 = 0 THEN 0 ELSE discount END)")) for m in BOOKING_METRICS]
-ORACLE["stream_booking_facts"] = on_facts(f"SELECT {FACT} FROM facts", "records_feed", records_feed=booking_records("o", _FEED))
+ORACLE["stream_booking_facts"] = on_facts(f"SELECT {FACT} FROM facts", "records_feed", ["DAY"], records_feed=booking_records("o", _FEED))
 ORACLE["stream_registrations"] = on_facts(f"SELECT {FACT} FROM facts", "records_new", records_new="SELECT * FROM new_passengers UNION ALL SELECT * FROM new_drivers")
 ORACLE["stream_locations"] = compose("SELECT * FROM timeseries")

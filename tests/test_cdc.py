@@ -85,8 +85,8 @@ POINT = (106.612345, 10.712345)
     ],
 )
 def test_points(spark, text, point):
-    got = spark.createDataFrame([(text,)], "x string").select(points.decode_point(F.col("x")).alias("p")).first().p
-    assert (None if got is None else (got.lon, got.lat)) == point
+    row = points.decode_points(spark.createDataFrame([(text,)], "x string"), {"p": F.col("x")}).first()
+    assert (row.p_lon, row.p_lat) == (point or (None, None))
 
 
 def test_driver_locations(spark):

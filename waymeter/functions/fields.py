@@ -38,15 +38,6 @@ def spellings(name: str) -> list[str]:
     return list(dict.fromkeys(s for s in tried if s))
 
 
-def field(row: Column, name: str) -> Column:
-    """Value under the first spelling that is present, even when that value is null."""
-    out = None
-    for spelling in spellings(name):
-        present = F.map_contains_key(row, spelling)
-        out = F.when(present, row[spelling]) if out is None else out.when(present, row[spelling])
-    return F.lit(None).cast("string") if out is None else out
-
-
 def number(text: Column) -> Column:
     """A decimal number as a double; anything else, null included, is 0.0."""
     return F.coalesce(F.when(text.rlike(NUMBER), text.try_cast("double")), F.lit(0.0))

@@ -175,7 +175,7 @@ def decoded_points(spark, sf):
     rows = bed.driver_locations(spark, sf)
     wkb = bed.wkb_of(F.col("lat"), F.col("lon"))
     text = F.when(F.col("seq") % 3 == 0, F.base64(wkb)).when(F.col("seq") % 3 == 1, F.hex(wkb)).otherwise("POINT(1 2)")
-    return rows.select("seq", points.decode_point(text).alias("p")).select("seq", F.col("p.lon").alias("lon"), F.col("p.lat").alias("lat"))
+    return points.decode_points(rows.select("seq", "lat", "lon"), {"p": text}).selectExpr("seq", "p_lon AS lon", "p_lat AS lat")
 
 
 @query
@@ -653,11 +653,11 @@ NOW = {"availableNow": True}
 
 @query
 def stream_booking_facts(spark, sf):
-    """Booking facts by way of the live job: JSON changes, state, delta log, roll-up."""
+    """Daily booking facts by way of the live job: JSON changes, state, delta log, roll-up."""
     job = jobs.BookingJob(spark, work_folder(spark, "booking-job"))
     _finish(job.start(cdc.bookings(_feed(spark, bed.booking_envelopes(spark, sf), "booking-feed")), NOW))
     job.log.compact("bookings")
-    return jobs.facts_of(job.log, ["bookings"]).select(*FACT)
+    return jobs.facts_of(job.log, ["bookings"], ("DAY",)).select(*FACT)
 
 
 @query

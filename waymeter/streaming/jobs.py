@@ -219,6 +219,6 @@ class LocationJob:
         marts.append_daily_documents(self.positions(), f"{self.path}/daily")
 
 
-def facts_of(log: marts.FactLog, sources: list[str]) -> DataFrame:
+def facts_of(log: marts.FactLog, sources: list[str], granularities: tuple[str, ...] = timing.GRANULARITIES) -> DataFrame:
     """The fact table as the log has it now."""
-    return buckets.roll_up(log.all_minutes(sources))
+    return buckets.roll_up(log.all_minutes(sources), granularities)
