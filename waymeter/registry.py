@@ -35,7 +35,7 @@ def query(function: Query) -> Query:
 
 
 def forget_plans() -> None:
-    for shared in (triggers, minutes, enriched):
+    for shared in (triggers, minutes, enriched, stored_changes):
         shared.cache_clear()
 
 
@@ -86,27 +86,39 @@ def events_end(spark, sf):
     return bed.table(spark, sf, "events").agg(F.max("ts")).scalar()
 
 
+@lru_cache(maxsize=32)
+def stored_changes(spark, sf, entity: str) -> DataFrame:
+    """Change records of one entity as files, the way a change stream leaves them."""
+    folder = work_folder(spark, f"{entity}-changes")
+    made = {
+        "booking": bed.booking_envelopes, "passenger": bed.passenger_envelopes,
+        "driver": bed.driver_envelopes, "location": bed.location_envelopes,
+    }
+    made[entity](spark, sf).write.option("timestampNTZFormat", cdc.NTZ_TEXT).json(folder)
+    return cdc.file_source(spark, folder, streaming=False)
+
+
 # ---- sources, projections, scalar functions ----------------------------------------
 
 
 @query
 def cdc_bookings(spark, sf):
-    return cdc.bookings(bed.booking_envelopes(spark, sf))
+    return cdc.bookings(stored_changes(spark, sf, "booking"))
 
 
 @query
 def cdc_passengers(spark, sf):
-    return cdc.passengers(bed.passenger_envelopes(spark, sf))
+    return cdc.passengers(stored_changes(spark, sf, "passenger"))
 
 
 @query
 def cdc_drivers(spark, sf):
-    return cdc.drivers(bed.driver_envelopes(spark, sf))
+    return cdc.drivers(stored_changes(spark, sf, "driver"))
 
 
 @query
 def cdc_driver_locations(spark, sf):
-    return cdc.driver_locations(bed.location_envelopes(spark, sf))
+    return cdc.driver_locations(stored_changes(spark, sf, "location"))
 
 
 @query
@@ -120,7 +132,7 @@ def cdc_file_source(spark, sf):
 
 @query
 def cdc_event_time(spark, sf):
-    return cdc.event_time(bed.passenger_envelopes(spark, sf)).select("seq", "event_ts")
+    return cdc.event_time(stored_changes(spark, sf, "passenger")).select("seq", "event_ts")
 
 
 @query
@@ -655,7 +667,7 @@ NOW = {"availableNow": True}
 def stream_booking_facts(spark, sf):
     """Daily booking facts by way of the live job: JSON changes, state, delta log, roll-up."""
     job = jobs.BookingJob(spark, work_folder(spark, "booking-job"))
-    _finish(job.start(cdc.bookings(_feed(spark, bed.booking_envelopes(spark, sf), "booking-feed")), NOW))
+    _finish(job.start(cdc.bookings(_feed(spark, stored_changes(spark, sf, "booking"), "booking-feed")), NOW))
     job.log.compact("bookings")
     return jobs.facts_of(job.log, ["bookings"], ("DAY",)).select(*FACT)
 
