@@ -88,6 +88,31 @@ judged AS (
 
 OP5 = f"WITH {OP5_TABLES} SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged"
 
+def near_groups(documents: str, size: int, percent: int) -> str:
+    """Common tables up to ``grouped`` (doc_id, n_shingles, component_id) of a table."""
+    lowered = LOWERED.format("coalesce(text, '')")
+    return rf"""
+nw AS (SELECT doc_id, regexp_extract_all({lowered}, '[^\x20\x09-\x0D]+') AS ws FROM {documents}),
+ns AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + {size - 1}], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {size - 2}, 2))) AS i FROM nw WHERE len(ws) > 0)),
+nn AS (SELECT doc_id, count(*) AS n FROM ns GROUP BY doc_id),
+nc AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY k) AS rep, n FROM (SELECT doc_id, count(*) AS n, string_agg(s, chr(10) ORDER BY s) AS k FROM ns GROUP BY doc_id)),
+nr AS (SELECT s, doc_id AS rep FROM ns WHERE doc_id IN (SELECT rep FROM nc)),
+np AS (SELECT x.rep AS a, y.rep AS b, count(*) AS shared FROM nr x JOIN nr y ON x.s = y.s AND x.rep < y.rep GROUP BY ALL),
+nl AS (
+  SELECT a, b FROM np JOIN nn x ON x.doc_id = a JOIN nn y ON y.doc_id = b WHERE 100 * shared >= {percent} * (x.n + y.n - shared)),
+ne AS (SELECT a, b FROM nl UNION SELECT b, a FROM nl),
+nk(a, b) AS (SELECT DISTINCT rep, rep FROM nc UNION SELECT nk.a, ne.b FROM nk JOIN ne ON nk.b = ne.a),
+nm AS (SELECT a, min(b) AS c FROM nk GROUP BY a),
+grouped AS (
+  SELECT d.doc_id, coalesce(nn.n, 0) AS n_shingles, coalesce(nm.c, d.doc_id) AS component_id
+  FROM {documents} d LEFT JOIN nn USING (doc_id) LEFT JOIN nc USING (doc_id) LEFT JOIN nm ON nm.a = nc.rep)
+"""
+
+
+OP8 = f"WITH RECURSIVE {near_groups('documents', 3, 85)} SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM grouped"
+
 OP10 = f"""
 WITH n AS (SELECT doc_id, {LOWERED.format("coalesce(text, '')")} AS t FROM documents),
 g AS (SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size, sha256(t) AS text_sha256 FROM n)
@@ -97,5 +122,6 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 ORACLE: dict[str, str] = {
     "op4_url_filters": OP4,
     "op5_quality_rules": OP5,
+    "op8_minhash_dedup": OP8,
     "op10_exact_dedup": OP10,
 }

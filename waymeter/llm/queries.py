@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from waymeter.llm import exact, quality, tokens, urls
+from waymeter.llm import exact, near, quality, tokens, urls
 from waymeter.llm.common import table
 
 
@@ -28,6 +28,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, keep_text=False).select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    groups = near.find_groups(docs, size=3, percent=85, keep_text=False)
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact.find_copies(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -37,5 +43,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
+    "op8_minhash_dedup": op8_minhash_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
