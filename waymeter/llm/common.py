@@ -89,9 +89,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word; words are runs without space, tab to carriage return."""
-    solid = ~_SPACE[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word: runs of bytes that are not ``breaks`` (space, tab to carriage return)."""
+    solid = ~breaks[data]
     if not solid.any():
         none = np.empty(0, np.int64)
         return none, none, none

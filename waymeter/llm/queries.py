@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waymeter.llm import exact, near, quality, tokens, urls
+from waymeter.llm import exact, near, privacy, quality, secrets, tokens, urls
 from waymeter.llm.common import table
 
 
@@ -18,6 +18,19 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(docs, vocabulary).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def _span_digest(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
+    """Counts and digest of the base kinds, and all spans as text."""
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    own: Column = F.filter("spans", lambda s: s["kind"].isin(*base))
+    digest = F.sha2(F.encode(secrets.joined_spans(own), "UTF-8"), 256).alias("base_sha256")
+    return found.select("doc_id", *[of(kind) for kind in base], digest, secrets.joined_spans(F.col("spans")).alias("spans"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _span_digest(privacy.sanitise(docs, keep_text=False), privacy.KINDS[: privacy.BASE])
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages, urls.tracked(pages)).select("page_id", "host", "path", "rule", "listed", "verdict")
@@ -28,6 +41,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, keep_text=False).select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _span_digest(secrets.scan(docs, keep_text=False), tuple(rule.kind for rule in secrets.RULES[: secrets.BASE]))
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     groups = near.find_groups(docs, size=3, percent=85, keep_text=False)
@@ -41,8 +59,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_pii": op3_pii,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
+    "op7_secret_scans": op7_secret_scans,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
