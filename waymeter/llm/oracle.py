@@ -88,6 +88,19 @@ judged AS (
 
 OP5 = f"WITH {OP5_TABLES} SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged"
 
+OP6 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+g AS (SELECT page_id, b, min(page_id) OVER (PARTITION BY b) AS first_id, CAST(unhex(sha1(b)) AS BIT)::VARCHAR AS bits FROM p)
+SELECT page_id, octet_length(b)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + substr(bits, 5 * i + 1, 1)::INT * 16 + substr(bits, 5 * i + 2, 1)::INT * 8 + substr(bits, 5 * i + 3, 1)::INT * 4
+      + substr(bits, 5 * i + 4, 1)::INT * 2 + substr(bits, 5 * i + 5, 1)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM g
+"""
+
+
 def near_groups(documents: str, size: int, percent: int) -> str:
     """Common tables up to ``grouped`` (doc_id, n_shingles, component_id) of a table."""
     lowered = LOWERED.format("coalesce(text, '')")
@@ -122,6 +135,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 ORACLE: dict[str, str] = {
     "op4_url_filters": OP4,
     "op5_quality_rules": OP5,
+    "op6_warc": OP6,
     "op8_minhash_dedup": OP8,
     "op10_exact_dedup": OP10,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waymeter.llm import exact, near, privacy, quality, secrets, tokens, urls
+from waymeter.llm import exact, near, privacy, quality, secrets, tokens, urls, warc
 from waymeter.llm.common import table
 
 
@@ -41,6 +41,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(docs, keep_text=False).select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(table(spark, sf_dir, "pages"), with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return _span_digest(secrets.scan(docs, keep_text=False), tuple(rule.kind for rule in secrets.RULES[: secrets.BASE]))
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op4_url_filters": op4_url_filters,
     "op5_quality_rules": op5_quality_rules,
+    "op6_warc": op6_warc,
     "op7_secret_scans": op7_secret_scans,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op10_exact_dedup": op10_exact_dedup,
