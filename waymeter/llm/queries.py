@@ -7,10 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waymeter.llm import exact, near, privacy, quality, secrets, tokens, urls, warc
+from waymeter.llm import exact, near, pieces, privacy, quality, secrets, tokens, urls, warc
 from waymeter.llm.common import table
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), k=2, with_ids=False)
+    of = lambda field: F.transform("samples", lambda s: s[field])
+    return coded.select(
+        "doc_id", "n_pieces", "decoded_equal", of("n_pieces").alias("sample_pieces"), of("log_p").alias("sample_log_p"),
+        of("log_inclusion").alias("sample_log_inclusion"), of("digest").alias("sample_digests"),
+    )
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the ranks of byte_bpe_50k.json, for the faster of the libraries that read that vocabulary
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -63,6 +73,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_token_counts": op2_token_counts,
     "op3_pii": op3_pii,
     "op4_url_filters": op4_url_filters,
