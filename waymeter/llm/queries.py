@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waymeter.llm import exact, near, pieces, privacy, quality, secrets, tokens, urls, warc
+from waymeter.llm import exact, mixing, near, pieces, privacy, quality, secrets, tokens, urls, warc
 from waymeter.llm.common import table
 
 
@@ -67,6 +67,17 @@ def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+#: Weights of the domains in the registered query.
+TARGETS = {"good": 0.9, "poor": 0.08, "toxic": 0.02}
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    mixed = mixing.mix(docs, table(spark, sf_dir, "labels"), TARGETS, keep_text=False)
+    parts = [F.col("posterior")[i].alias(f"p_{name}") for i, name in enumerate(mixing.DOMAINS)]
+    return mixed.select("doc_id", "n_tokens", *parts, "rate", "copies")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact.find_copies(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -81,5 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_secret_scans": op7_secret_scans,
     "op8_minhash_dedup": op8_minhash_dedup,
+    "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
 }
