@@ -109,7 +109,7 @@ def train(
     # domains without labels would leave gaps, so those seen are numbered anew
     number = F.create_map(*[F.lit(x) for i, d in enumerate(seen) for x in (d, float(i))])[F.col("label")]
     ready = stored(rows.select(number.alias("label"), F.udf(vector, VectorUDT())("at").alias("features")), "vectors")
-    model = LogisticRegression(family="multinomial", regParam=0.0005, elasticNetParam=0.5, maxIter=50, standardization=False).fit(ready)
+    model = LogisticRegression(family="multinomial", regParam=0.0001, elasticNetParam=0.9, maxIter=50, standardization=False).fit(ready)
     weights[[d for d in range(len(DOMAINS)) if float(d) not in seen], -1] = -50.0
     for i, d in enumerate(seen):
         weights[int(d), :-1] = model.coefficientMatrix.toArray()[i]
