@@ -15,7 +15,7 @@ from waymeter.llm.common import stored, table
 
 #: Domains of the mix: nearly all of it good, and more of that than there is, so that every good document is drawn.
 TARGETS = {"good": 0.97, "poor": 0.029, "toxic": 0.001}
-REACH = 1.25
+REACH = 2.0
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
