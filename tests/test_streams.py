@@ -75,7 +75,7 @@ def test_compaction_changes_nothing(spark, booking_job):
 def test_activity_follows_the_booking_job(spark, many_trips, booking_job):
     """A second query reads the activity table the first one wrote."""
     record_job = jobs.RecordJob(spark, work_folder(spark, "people"), "passengers")
-    finish(record_job.start(jobs.live_passenger_records(booking_job.activity()), NOW, event_time=True))
+    finish(record_job.start(jobs.live_passenger_records(booking_job.activity()), NOW))
     got = jobs.facts_of(record_job.log, ["passengers"]).filter("metric_name = 'active_passenger' AND bucket_granularity = 'MONTH'")
     batch = a.passenger_activity_records(b.trigger_activity(b.booking_triggers(many_trips)))
     assert float(got.first().metric_value) == batch.filter("metric_name = 'active_passenger'").count()
@@ -125,14 +125,15 @@ def test_driver_stream_equals_batch(spark):
     rows = jobs._driver_rows(places, known)
     cuts = [f"seq BETWEEN {n} AND {n + 9}" for n in range(0, 130, 10)]
     stream = feed(spark, rows, cuts)
-    live = jobs.live_driver_records(
-        stream.filter("is_location").withColumnRenamed("event_time", "updated_at"),
-        stream.filter("NOT is_location").selectExpr("*", "event_time AS created_at", "event_time AS updated_at"),
+    parts = stream.filter("is_location").withColumnRenamed("event_time", "updated_at"), stream.filter("NOT is_location").selectExpr(
+        "*", "event_time AS created_at", "event_time AS updated_at"
     )
-    job = jobs.RecordJob(spark, work_folder(spark, "drivers"), "drivers")
-    finish(job.start(live, NOW, event_time=True))
+    path = work_folder(spark, "drivers")
+    job, churn = jobs.RecordJob(spark, path, "drivers"), jobs.RecordJob(spark, path, "churn")
+    finish(job.start(jobs.live_driver_records(*parts), NOW))
+    finish(churn.start(jobs.live_driver_churn(*parts), NOW, event_time=True))
     pick = ["metric_name", "service_type", "area_code", "bucket_start", "metric_value", "denominator_value"]
-    got = jobs.facts_of(job.log, ["drivers"]).filter("bucket_granularity = 'MINUTE'").select(*pick)
+    got = jobs.facts_of(job.log, ["drivers", "churn"]).filter("bucket_granularity = 'MINUTE'").select(*pick)
     batch = buckets.bucket_facts(d.driver_records(places, known), ("MINUTE",)).select(*pick)
     assert batch.filter("metric_name = 'churn_driver'").count() >= 2
     assert batch.filter("metric_name = 'return_driver'").count() == 1
@@ -143,10 +144,12 @@ def test_passenger_stream_equals_batch(spark):
     places, _ = _dense(spark)
     trips = places.selectExpr("driver_id AS passenger_id", "CASE availability WHEN 'BUSY' THEN 'COMPLETED' ELSE 'REQUESTED' END AS type", "updated_at AS event_time", "seq", "ingest_ts")
     cuts = [f"seq BETWEEN {n} AND {n + 9}" for n in range(0, 130, 10)]
-    job = jobs.RecordJob(spark, work_folder(spark, "people"), "passengers")
-    finish(job.start(jobs.live_passenger_records(feed(spark, trips, cuts)), NOW, event_time=True))
+    path, stream = work_folder(spark, "people"), feed(spark, trips, cuts)
+    job, churn = jobs.RecordJob(spark, path, "passengers"), jobs.RecordJob(spark, path, "churn")
+    finish(job.start(jobs.live_passenger_records(stream), NOW))
+    finish(churn.start(jobs.live_passenger_churn(stream), NOW, event_time=True))
     pick = ["metric_name", "bucket_start", "metric_value"]
-    got = jobs.facts_of(job.log, ["passengers"]).filter("bucket_granularity = 'MINUTE'").select(*pick)
+    got = jobs.facts_of(job.log, ["passengers", "churn"]).filter("bucket_granularity = 'MINUTE'").select(*pick)
     end = trips.filter("type = 'COMPLETED'").agg({"event_time": "max"}).first()[0]
     batch = buckets.bucket_facts(a.passenger_activity_records(trips, end=F.lit(end)), ("MINUTE",)).select(*pick)
     assert batch.filter("metric_name = 'churn_passenger'").count() >= 2
@@ -167,3 +170,41 @@ def test_location_job_tables(spark):
     assert same(marts.latest_documents(batch), job.latest_documents())
     job.append_daily_documents()
     assert spark.read.json(f"{job.path}/daily").count() == places.count()
+
+
+def test_a_position_behind_the_watermark_counts(spark):
+    """Four positions in four micro-batches, one of them 70 minutes late."""
+    rows = [("d1", "ONLINE", after(0), 1), ("d1", "ONLINE", after(100), 2), ("d1", "ONLINE", after(30), 3), ("d1", "ONLINE", after(101), 4)]
+    places, known = locations(spark, rows), profiles(spark, [("d1", "S", "", "Z", after(0), 0)])
+    stream = feed(spark, jobs._driver_rows(places, known), [f"seq = {n}" for n in range(5)])
+    parts = stream.filter("is_location").withColumnRenamed("event_time", "updated_at"), stream.filter("NOT is_location").selectExpr(
+        "*", "event_time AS created_at", "event_time AS updated_at"
+    )
+    job = jobs.RecordJob(spark, work_folder(spark, "drivers"), "drivers")
+    finish(job.start(jobs.live_driver_records(*parts), NOW))
+    total = jobs.facts_of(job.log, ["drivers"]).filter("metric_name = 'online_driver' AND bucket_granularity = 'DAY'").agg({"metric_value": "sum"}).first()[0]
+    assert float(total) == d.driver_records(places, known).filter("metric_name = 'online_driver'").count() == 4
+
+
+PLAIN = """
+import sys
+sys.path.insert(0, {root!r})
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").getOrCreate()
+for name in sorted(n for n in e.queries() if n.startswith("stream_")):
+    print("ROWS", name, e.queries()[name](spark, {data!r}).count())
+"""
+
+
+def test_streams_run_in_a_plain_session_elsewhere(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = PLAIN.format(root=root, data="/root/testdata/sf0.001")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
+    rows = {line.split()[1]: int(line.split()[2]) for line in run.stdout.splitlines() if line.startswith("ROWS")}
+    assert run.returncode == 0 and len(rows) >= 3 and all(rows.values()), run.stderr[-2000:]

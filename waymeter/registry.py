@@ -639,17 +639,20 @@ def supply_demand_map(spark, sf):
 # ---- streams -----------------------------------------------------------------------
 
 
-def _feed(spark, rows: DataFrame, name: str, parts: int = 3) -> DataFrame:
-    """Rows as a file stream of a few micro-batches, in order of arrival.
+def _slices(spark, rows: DataFrame, name: str, parts: int = 3):
+    """Rows as a file stream that grows by one slice of ``seq`` at a time.
 
-    Files are read in order of writing, so each slice of ``seq`` is written on its own.
+    Yields the stream after each slice was written. A run over what is there takes a slice as
+    one micro-batch, however many files it has, so the order of files never matters.
     """
     folder = work_folder(spark, name)
-    low, high = rows.agg(F.min("seq"), F.max("seq")).first()
-    slice_of = F.floor((F.col("seq") - low) * parts / (high - low + 1))
+    rows.write.parquet(f"{folder}/all")
+    kept = spark.read.schema(rows.schema).parquet(f"{folder}/all")
+    low, high = kept.agg(F.min("seq"), F.max("seq")).first()
+    slice_of = F.floor((F.col("seq") - low) * parts / (high - low + 1)) if low is not None else F.lit(0)
     for i in range(parts):
-        rows.filter(slice_of == i).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(folder)
+        kept.filter(slice_of == i).write.mode("append").parquet(f"{folder}/feed")
+        yield spark.readStream.schema(rows.schema).parquet(f"{folder}/feed")
 
 
 def _finish(running) -> None:
@@ -667,7 +670,8 @@ NOW = {"availableNow": True}
 def stream_booking_facts(spark, sf):
     """Daily booking facts by way of the live job: JSON changes, state, delta log, roll-up."""
     job = jobs.BookingJob(spark, work_folder(spark, "booking-job"))
-    _finish(job.start(cdc.bookings(_feed(spark, stored_changes(spark, sf, "booking"), "booking-feed")), NOW))
+    for feed in _slices(spark, stored_changes(spark, sf, "booking"), "booking-feed"):
+        _finish(job.start(cdc.bookings(feed), NOW))
     job.log.compact("bookings")
     return jobs.facts_of(job.log, ["bookings"], ("DAY",)).select(*FACT)
 
@@ -676,18 +680,24 @@ def stream_booking_facts(spark, sf):
 def stream_registrations(spark, sf):
     log = work_folder(spark, "registrations")
     people, cars = jobs.RecordJob(spark, log, "passengers"), jobs.RecordJob(spark, log, "drivers")
-    _finish(people.start(jobs.live_registrations(_feed(spark, bed.passengers(spark, sf), "people-feed"), "passenger_id", "new_passenger"), NOW))
-    _finish(cars.start(jobs.live_registrations(_feed(spark, bed.driver_profiles(spark, sf), "cars-feed"), "driver_id", "new_driver"), NOW))
+    for feed in _slices(spark, bed.passengers(spark, sf), "people-feed"):
+        _finish(people.start(jobs.live_registrations(feed, "passenger_id", "new_passenger"), NOW))
+    for feed in _slices(spark, bed.driver_profiles(spark, sf), "cars-feed"):
+        _finish(cars.start(jobs.live_registrations(feed, "driver_id", "new_driver"), NOW))
     return jobs.facts_of(cars.log, ["passengers", "drivers"]).select(*FACT)
 
 
+def _parted(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Positions and profile changes of one feed."""
+    profiles = feed.filter("NOT is_location").withColumns({"created_at": F.col("event_time"), "updated_at": F.col("event_time")})
+    return feed.filter("is_location").withColumnRenamed("event_time", "updated_at"), profiles
+
+
 @query
 def stream_locations(spark, sf):
     job = jobs.LocationJob(spark, work_folder(spark, "location-job"))
     # positions and profiles come as one feed, so that arrival order decides who sees what
     rows = jobs._driver_rows(bed.driver_locations(spark, sf), bed.driver_profiles(spark, sf))
-    feed = _feed(spark, rows, "location-feed")
-    places = feed.filter("is_location").withColumnRenamed("event_time", "updated_at")
-    profiles = feed.filter("NOT is_location").withColumns({"created_at": F.col("event_time"), "updated_at": F.col("event_time")})
-    _finish(job.start(places, profiles, NOW))
+    for feed in _slices(spark, rows, "location-feed"):
+        _finish(job.start(*_parted(feed), NOW))
     return job.timeseries().drop("heading_degree", "speed_kmh")

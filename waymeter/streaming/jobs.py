@@ -7,6 +7,7 @@ nothing is counted twice. Late rows become additions to their bucket.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -15,10 +16,13 @@ from pyspark.sql.streaming import StreamingQuery
 from waymeter.functions import fields, timing
 from waymeter.operators import bookings as b, buckets, marts
 from waymeter.schema import DIMENSIONS, WIDE
+from waymeter.session import ROCKSDB_PROVIDER
 from waymeter.sources.catalog import UNITS
 from waymeter.streaming import processors as p
 
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_STARTING = threading.Lock()
 
 
 def micros(column: str) -> Column:
@@ -75,26 +79,32 @@ def live_registrations(changes: DataFrame, key: str, metric: str) -> DataFrame:
     return _records(fired)
 
 
-def with_watermark(rows: DataFrame, time: Column, delay: str) -> DataFrame:
-    return rows.withColumn("event_ts", time.cast("timestamp")).withWatermark("event_ts", delay)
-
+def _passenger_trips(activity: DataFrame) -> DataFrame:
+    trips = activity.filter("upper(type) = 'COMPLETED'").withColumn("event_time", F.coalesce("event_time", "ingest_ts"))
+    return trips.select(
+        "passenger_id", "seq", F.col("event_time").cast("timestamp").alias("event_ts"), micros("event_time").alias("event_us"),
+        micros("ingest_ts").alias("ingest_us"), _day_number("event_time").alias("day"),
+    )
 
-def live_passenger_records(activity: DataFrame, delay: str = "5 minutes") -> DataFrame:
-    """Passenger activity records of a stream.
 
-    Event-time timers need a watermark, so trips later than ``delay`` are left out here;
-    raise it to wait longer.
-    """
-    trips = activity.filter("upper(type) = 'COMPLETED'").withColumn("event_time", F.coalesce("event_time", "ingest_ts"))
-    rows = with_watermark(trips, F.col("event_time"), delay).select(
-        "passenger_id", "seq", "event_ts", micros("event_time").alias("event_us"), micros("ingest_ts").alias("ingest_us"), _day_number("event_time").alias("day")
-    )
-    fired = rows.groupBy("passenger_id").transformWithState(
-        statefulProcessor=p.PassengerDays(), outputStructType=p.RECORD_OUT, outputMode="Append", timeMode="EventTime"
-    )
+def _half(rows: DataFrame, key: str, processor: p.StatefulProcessor, delay: str | None) -> DataFrame:
+    """One half of an activity processor: with a delay it keeps event time and drops rows behind the watermark."""
+    timed = rows.drop("event_ts") if delay is None else rows.withWatermark("event_ts", delay)
+    mode = "ProcessingTime" if delay is None else "EventTime"
+    fired = timed.groupBy(key).transformWithState(statefulProcessor=processor, outputStructType=p.RECORD_OUT, outputMode="Append", timeMode=mode)
     return _records(fired)
 
 
+def live_passenger_records(activity: DataFrame) -> DataFrame:
+    """Active, retained and returned passengers of a stream; however late a trip is, it counts."""
+    return _half(_passenger_trips(activity), "passenger_id", p.PassengerDays(p.RECORDS), None)
+
+
+def live_passenger_churn(activity: DataFrame, delay: str = "5 minutes") -> DataFrame:
+    """Churned passengers of a stream, by timers of the event time. Start it with ``event_time=True``."""
+    return _half(_passenger_trips(activity), "passenger_id", p.PassengerDays(p.CHURN), delay)
+
+
 def _driver_rows(locations: DataFrame, profiles: DataFrame) -> DataFrame:
     positions = locations.select(
         "driver_id", "op", "seq", "ingest_ts", "lat", "lon", "availability",
@@ -106,20 +116,25 @@ def _driver_rows(locations: DataFrame, profiles: DataFrame) -> DataFrame:
     return positions.unionByName(changes, allowMissingColumns=True)
 
 
-def live_driver_records(locations: DataFrame, profiles: DataFrame, delay: str = "5 minutes") -> DataFrame:
-    """Driver KPI records of a stream of positions and profile changes."""
-    rows = with_watermark(_driver_rows(locations, profiles), F.col("event_time"), delay).select(
-        "driver_id", "seq", "is_location", *DIMENSIONS, "event_ts",
+def _timed_driver_rows(locations: DataFrame, profiles: DataFrame) -> DataFrame:
+    return _driver_rows(locations, profiles).select(
+        "driver_id", "seq", "is_location", *DIMENSIONS, F.col("event_time").cast("timestamp").alias("event_ts"),
         F.upper(fields.blank(F.col("availability"))).alias("availability"),
         micros("event_time").alias("event_us"),
         micros("ingest_ts").alias("ingest_us"),
         _day_number("event_time").alias("day"),
         F.floor(micros("event_time") / 60_000_000).cast("bigint").alias("minute"),
-    )
-    fired = rows.groupBy("driver_id").transformWithState(
-        statefulProcessor=p.DriverDays(), outputStructType=p.RECORD_OUT, outputMode="Append", timeMode="EventTime"
-    )
-    return _records(fired)
+    )
+
+
+def live_driver_records(locations: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Driver KPI records of a stream of positions and profile changes, churn left out; late rows count."""
+    return _half(_timed_driver_rows(locations, profiles), "driver_id", p.DriverDays(p.RECORDS), None)
+
+
+def live_driver_churn(locations: DataFrame, profiles: DataFrame, delay: str = "5 minutes") -> DataFrame:
+    """Churned drivers of a stream, by timers of the event time. Start it with ``event_time=True``."""
+    return _half(_timed_driver_rows(locations, profiles), "driver_id", p.DriverDays(p.CHURN), delay)
 
 
 def live_enriched(locations: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -146,10 +161,19 @@ def start(
     with empty batches for as long as state has a time to live, so empty batches are off
     there. Event-time queries keep them: their last timers fire in one.
     """
-    session = rows.sparkSession
-    session.conf.set(NO_DATA_BATCHES, "true" if event_time else "false")
-    writer = rows.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint).outputMode("append")
-    return writer.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+    conf = rows.sparkSession.conf
+    # a query copies the settings of its session when it starts; they are set for that moment only
+    needed = {NO_DATA_BATCHES: "true" if event_time else "false", STATE_STORE: ROCKSDB_PROVIDER}
+    with _STARTING:
+        before = {name: conf.get(name, None) for name in needed}
+        for name, value in needed.items():
+            conf.set(name, value)
+        try:
+            writer = rows.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint).outputMode("append")
+            return writer.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+        finally:
+            for name, value in before.items():
+                conf.unset(name) if value is None else conf.set(name, value)
 
 
 class BookingJob:
