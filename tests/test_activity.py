@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from fixtures import activity, locations, profiles, t, tally
 from pyspark.sql import functions as F
 
@@ -123,3 +124,28 @@ def test_enriching_first_gives_the_same_kpis(spark):
     at_once = d.driver_records(places, known).drop("seq")
     in_steps = d.driver_records(d.enrich_locations(places, known)).drop("seq")
     assert at_once.exceptAll(in_steps).count() == in_steps.exceptAll(at_once).count() == 0
+
+
+def test_order_must_be_an_integer_at_any_size(spark):
+    from waymeter.operators.keyed import per_key
+
+    rows = spark.createDataFrame([("p", 1.5)], "k string, at double")
+    with pytest.raises(ValueError):
+        per_key(rows, "k", "at", lambda df, chunk: df)
+
+
+def test_chunks_are_even_in_bursts(spark):
+    """Half of a heavy key's rows in a burst far from the others."""
+    from waymeter.operators.keyed import CHUNK, carry, per_key
+
+    rows = spark.range(4000).selectExpr("CASE WHEN id < 3000 THEN 'hot' ELSE concat('k', id) END AS k", "CASE WHEN id < 1500 THEN id ELSE id + 10000000 END AS at")
+    sizes = {}
+
+    def body(df, chunk):
+        if chunk:
+            sizes.update({r[0]: r[1] for r in df.groupBy(CHUNK).count().collect()})
+        return carry(df, "k", "at", chunk, total_before={"earlier": F.lit(1)})
+
+    done = per_key(rows, "k", "at", body, rows_per_task=500)
+    assert len(sizes) >= 5 and max(sizes.values()) <= 900
+    assert sorted(r.earlier for r in done.filter("k = 'hot'").collect()) == list(range(3000))

@@ -75,7 +75,7 @@ def churn_emission(who: str, last_active: str, condition: str, scope: dict[str,
 
 
 def passenger_activity_records(
-    activity: DataFrame, end: Column | None = None, order: str = "seq", rows_per_task: int = ROWS_PER_TASK
+    activity: DataFrame, end: Column | None = None, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Active, retained, churned and returned passengers from completed trips.
 
@@ -91,7 +91,7 @@ def passenger_activity_records(
 
     def body(rows: DataFrame, chunk: list[str]) -> DataFrame:
         seen = carry(
-            rows, "passenger_id", order, chunk, before={"previous": F.struct("day", "event_time")}, final="is_last"
+            rows, "passenger_id", "seq", chunk, before={"previous": F.struct("day", "event_time")}, final="is_last"
         )
         seen = seen.withColumn("stream_end", until)
         emissions = [
@@ -101,4 +101,4 @@ def passenger_activity_records(
         ]
         return m.explode_placed(seen, emissions)
 
-    return per_key(trips, "passenger_id", order, body, rows_per_task)
+    return per_key(trips, "passenger_id", "seq", body, rows_per_task)

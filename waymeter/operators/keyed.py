@@ -9,12 +9,15 @@ dropped or sampled, and ordinary keys keep the plain one-shuffle plan.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 SLOTS = 4096
+#: Chunks of one heavy slot at most.
+MOST_CHUNKS = 256
 ROWS_PER_TASK = 2_000_000
 CHUNK = "_chunk"
 SLOT = "_slot"
@@ -24,22 +27,26 @@ def _slot(key: str) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
 
 
-def heavy_slots(df: DataFrame, key: str, order: str, rows_per_task: int = ROWS_PER_TASK) -> list[Row]:
-    """Hash slots that hold too many rows for one task, with their range of ``order``.
+def heavy_slots(df: DataFrame, key: str, order: str, rows_per_task: int = ROWS_PER_TASK) -> list[tuple[int, list[int]]]:
+    """Hash slots that hold too many rows for one task, with the values of ``order`` to cut them at.
 
     Counting slots in place of keys bounds the shuffle (SLOTS partial rows per task) and
     still finds every heavy key, since its slot is at least as heavy. A slot is heavy
     beyond four times the mean slot and ``rows_per_task``, so at most SLOTS / 4 small
-    rows reach the driver, whatever the data.
+    rows reach the driver, whatever the data. Cuts are quantiles, so chunks are even
+    however ``order`` is spread; only heavy slots pay for them.
     """
-    counts = df.groupBy(_slot(key).alias(SLOT)).agg(
-        F.count(F.lit(1)).alias("n"), F.min(order).alias("low"), F.max(order).alias("high")
-    )
+    slotted = df.select(_slot(key).alias(SLOT), F.col(order).alias("value"))
+    counts = slotted.groupBy(SLOT).agg(F.count(F.lit(1)).alias("n"))
     # a window over at most SLOTS rows
     mean = F.sum("n").over(W.partitionBy(F.lit(0))) / F.lit(SLOTS)
     heavy = counts.withColumn("mean", mean).filter((F.col("n") > 4 * F.col("mean")) & (F.col("n") > rows_per_task))
-    parts = F.ceil(F.col("n") / F.greatest(F.lit(rows_per_task), F.col("mean"))).cast("int")
-    return heavy.select(SLOT, "low", "high", parts.alias("parts")).collect()
+    parts = {r[SLOT]: min(MOST_CHUNKS, math.ceil(r["n"] / max(rows_per_task, r["mean"]))) for r in heavy.collect()}
+    if not parts:
+        return []
+    steps = [i / MOST_CHUNKS for i in range(1, MOST_CHUNKS)]
+    spread = slotted.filter(F.col(SLOT).isin(*parts)).groupBy(SLOT).agg(F.percentile_approx("value", steps, 10_000).alias("at"))
+    return [(r[SLOT], sorted({r["at"][i * MOST_CHUNKS // parts[r[SLOT]] - 1] for i in range(1, parts[r[SLOT]])})) for r in spread.collect()]
 
 
 def per_key(
@@ -55,18 +62,21 @@ def per_key(
     ``body(rows, chunk)`` gets ``chunk=[]`` for ordinary keys and the name of the chunk
     column for heavy ones, and must pass both to :func:`carry`. Without heavy keys the
     plan is just ``body(df, [])``. Finding them takes one pass over (key, order) when the
-    plan is made; ``keys`` may give the two from a cheaper scan than ``df``.
+    plan is made; ``keys`` may give the two from a cheaper scan than ``df``. ``order`` has
+    to be an integer, unique within a key, whether or not a key is heavy.
     """
+    if not isinstance(df.schema[order].dataType, (T.LongType, T.IntegerType)):
+        raise ValueError(f"rows are ordered by an integer that is unique within a key; {order!r} is {df.schema[order].dataType.simpleString()}")
     heavy = heavy_slots((df if keys is None else keys).select(key, order), key, order, rows_per_task)
     if not heavy:
         return body(df, [])
-    # at most SLOTS / 4 rows, so this broadcast does not grow with the data
-    ranges = F.broadcast(df.sparkSession.createDataFrame(heavy, f"{SLOT} int, low bigint, high bigint, parts int"))
+    # at most SLOTS / 4 rows of MOST_CHUNKS numbers, so this broadcast does not grow with the data
+    ranges = F.broadcast(df.sparkSession.createDataFrame(heavy, f"{SLOT} int, cuts array<bigint>"))
     slotted = df.withColumn(SLOT, _slot(key))
     ordinary = slotted.join(ranges, SLOT, "left_anti").drop(SLOT)
-    # floor of a rising function of the order column: chunks never overlap
-    place = (F.col(order) - F.col("low")) / (F.col("high") - F.col("low") + 1) * F.col("parts")
-    chunked = slotted.join(ranges, SLOT).withColumn(CHUNK, F.floor(place).cast("int")).drop(SLOT, "low", "high", "parts")
+    # rising in the order column: chunks never overlap
+    chunk = F.size(F.filter("cuts", lambda cut: cut < F.col(order)))
+    chunked = slotted.join(ranges, SLOT).withColumn(CHUNK, chunk).drop(SLOT, "cuts")
     return body(ordinary, []).unionByName(body(chunked, [CHUNK]).drop(CHUNK))
 
 
