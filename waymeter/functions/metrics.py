@@ -48,7 +48,8 @@ def placed(contribution: str, condition: str, event_time: str, processed_at: str
 
 def explode_placed(df: DataFrame, emissions: list[str]) -> DataFrame:
     """One record row per contribution whose condition holds."""
-    rows = df.selectExpr("seq", f"inline(array_compact(array({', '.join(emissions)})))")
+    # a condition that does not hold leaves a null row; dropping it afterwards stays compiled
+    rows = df.selectExpr("seq", f"inline(array({', '.join(emissions)}))").filter("m IS NOT NULL")
     return rows.select("m.*", "event_time", "processed_at", *DIMENSIONS, "seq")
 
 

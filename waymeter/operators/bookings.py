@@ -98,7 +98,7 @@ def _life_triggers(lives: DataFrame) -> DataFrame:
         ),
         _trigger("ending", "CANCELED", "canceled_at", "ending.cancels"),
     ]
-    return timed.selectExpr("booking_id", f"inline(array_compact(array({', '.join(triggers)})))")
+    return timed.selectExpr("booking_id", f"inline(array({', '.join(triggers)}))").filter("kind IS NOT NULL")
 
 
 def booking_triggers(
@@ -170,9 +170,9 @@ def _contributions(rows: DataFrame, kept: list[str]) -> DataFrame:
         "CANCELED": [m.metric("cancel_order", "n"), m.ratio("cancel_rate", "n", 0)],
     }
     cases = " ".join(
-        f"WHEN '{kind}' THEN array_compact(array({', '.join(emitted)}))" for kind, emitted in by_kind.items()
+        f"WHEN '{kind}' THEN array({', '.join(emitted)})" for kind, emitted in by_kind.items()
     )
-    return rows.selectExpr(f"inline(CASE kind {cases} END)", *kept)
+    return rows.selectExpr(f"inline(CASE kind {cases} END)", *kept).filter("metric_name IS NOT NULL")
 
 
 def _priced(triggers: DataFrame) -> DataFrame:
@@ -198,8 +198,8 @@ def trigger_records(triggers: DataFrame) -> DataFrame:
     return _contributions(_priced(triggers), ["event_time", "processed_at", *DIMENSIONS, "seq"])
 
 
-def trigger_minutes(triggers: DataFrame) -> DataFrame:
-    """Booking KPIs per minute: same totals as summing records, with less shuffled.
+def trigger_minutes(triggers: DataFrame, level: str = "MINUTE") -> DataFrame:
+    """Booking KPIs per minute, or per bucket of a coarser ``level``: same totals as summing records, with less shuffled.
 
     Triggers are summed first, one wide row per kind, scope and minute in place of up to
     fifteen narrow ones, and only then unfolded into metrics. Grouping by which optional
@@ -207,7 +207,7 @@ def trigger_minutes(triggers: DataFrame) -> DataFrame:
     that differ in those flags are merged by the roll-up.
     """
     present = [F.expr(f"{name} IS NOT NULL").alias(f"has_{name}") for name in DURATIONS]
-    minute = timing.truncate_to(F.col("event_time"), "MINUTE").alias("bucket_start")
+    minute = timing.truncate_to(F.col("event_time"), level).alias("bucket_start")
     wide = (
         _priced(triggers)
         .groupBy("kind", *DIMENSIONS, minute, "has_discount", *present)
@@ -247,8 +247,8 @@ def trigger_routes(triggers: DataFrame) -> DataFrame:
     return triggers.filter("kind = 'REQUESTED' AND booking_id <> ''").selectExpr(
         "booking_id",
         "'PATH' AS segment_type",
-        f"inline(array_compact(array({stops})))",
+        f"inline(array({stops}))",
         "event_time",
         "ingest_ts AS received_at",
         "seq",
-    )
+    ).filter("sequence_no IS NOT NULL")

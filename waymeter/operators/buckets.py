@@ -51,13 +51,13 @@ def _totals(first: str, last: str, processed: str, lag: Column | str) -> list[Co
     ]
 
 
-def minute_totals(records: DataFrame) -> DataFrame:
-    """Records summed per minute bucket. Tasks pre-aggregate before the shuffle.
+def minute_totals(records: DataFrame, level: str = "MINUTE") -> DataFrame:
+    """Records summed per minute bucket, or per bucket of a coarser ``level``. Tasks pre-aggregate before the shuffle.
 
     Measures are decimals, so a sum does not depend on the order of the rows.
     """
     keys = ["metric_name", "metric_unit", *[c for c in SCOPE if c in records.columns]]
-    minute = timing.truncate_to(F.col("event_time"), "MINUTE").alias("bucket_start")
+    minute = timing.truncate_to(F.col("event_time"), level).alias("bucket_start")
     lag = timing.processing_lag_ms(F.col("event_time"), F.col("processed_at"))
     return records.groupBy(*keys, minute).agg(*_totals("event_time", "event_time", "processed_at", lag))
 
@@ -93,7 +93,8 @@ def facts_of(totals: DataFrame) -> DataFrame:
 
 def bucket_facts(records: DataFrame, granularities: tuple[str, ...] = timing.GRANULARITIES) -> DataFrame:
     """The fact table of a set of metric records."""
-    return roll_up(minute_totals(records), granularities)
+    # a single granularity needs no minutes in between
+    return roll_up(minute_totals(records, granularities[0] if len(granularities) == 1 else "MINUTE"), granularities)
 
 
 def ratio_of(

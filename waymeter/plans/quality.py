@@ -44,19 +44,23 @@ def acceptance_check(facts: DataFrame, granularity: str = "HOUR", since: Column
     if since is not None:
         rows = rows.filter(F.col("bucket_start") >= since)
     rate = lambda n, d: F.when(d > 0, n.cast("double") / d.cast("double")).otherwise(0.0)
-    calculated = (
-        rows.filter(F.col("metric_name").isin("request_order", "accept_order"))
-        .groupBy("bucket_start")
-        .agg(_sum_of("request_order").alias("requests"), _sum_of("accept_order").alias("accepts"))
-        .select("bucket_start", rate(F.col("accepts"), F.col("requests")).alias("calculated"))
-    )
-    reported = (
-        rows.filter(F.col("metric_name") == "acceptance_rate")
+    of = lambda name, column: F.sum(F.when(F.col("metric_name") == name, F.col(column)))
+    # one pass; a bucket needs rows of both kinds
+    sums = (
+        rows.filter(F.col("metric_name").isin("request_order", "accept_order", "acceptance_rate"))
         .groupBy("bucket_start")
-        .agg(F.sum("numerator_value").alias("n"), F.sum("denominator_value").alias("d"))
-        .select("bucket_start", rate(F.col("n"), F.col("d")).alias("reported"))
-    )
-    gaps = calculated.join(reported, "bucket_start").select(
+        .agg(
+            _sum_of("request_order").alias("requests"),
+            _sum_of("accept_order").alias("accepts"),
+            of("acceptance_rate", "numerator_value").alias("n"),
+            of("acceptance_rate", "denominator_value").alias("d"),
+            F.count(F.when(F.col("metric_name") == "acceptance_rate", 1)).alias("rates"),
+            F.count(F.when(F.col("metric_name") != "acceptance_rate", 1)).alias("counts"),
+        )
+        .filter("rates > 0 AND counts > 0")
+        .select("bucket_start", rate(F.col("accepts"), F.col("requests")).alias("calculated"), rate(F.col("n"), F.col("d")).alias("reported"))
+    )
+    gaps = sums.select(
         "bucket_start",
         F.round("calculated", 6).alias("calculated_rate"),
         F.round("reported", 6).alias("reported_rate"),

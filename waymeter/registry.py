@@ -45,8 +45,8 @@ def triggers(spark, sf, dedupe_terminal=False) -> DataFrame:
 
 
 @lru_cache(maxsize=32)
-def minutes(spark, sf, parts=ALL) -> DataFrame:
-    """Minute totals of the chosen producers."""
+def minutes(spark, sf, parts=ALL, level="MINUTE") -> DataFrame:
+    """Minute totals of the chosen producers, or totals of a coarser level."""
     records = []
     if "drivers" in parts:
         records += [
@@ -58,15 +58,17 @@ def minutes(spark, sf, parts=ALL) -> DataFrame:
             activity.passenger_activity_records(bed.passenger_activity(spark, sf)),
             activity.passenger_registrations(bed.passengers(spark, sf)),
         ]
-    found = [buckets.minute_totals(union_all(records))] if records else []
+    found = [buckets.minute_totals(union_all(records), level)] if records else []
     if "bookings" in parts:
-        found.append(b.trigger_minutes(triggers(spark, sf)))
+        found.append(b.trigger_minutes(triggers(spark, sf), level))
     shared = ["metric_name", "metric_unit", *DIMENSIONS, "bucket_start", *MEASURES, "first_event_at", "last_event_at", "last_ingested_at", "processing_lag_ms", "seq"]
     return union_all([f.select(*shared) for f in found])
 
 
 def facts(spark, sf, *granularities: str, parts=ALL) -> DataFrame:
-    return buckets.roll_up(minutes(spark, sf, parts), granularities or timing.GRANULARITIES)
+    # a single granularity needs no minutes in between
+    level = granularities[0] if len(granularities) == 1 else "MINUTE"
+    return buckets.roll_up(minutes(spark, sf, parts, level), granularities or timing.GRANULARITIES)
 
 
 def snapshot(spark, sf, parts=ALL) -> DataFrame:
