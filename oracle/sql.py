@@ -295,3 +295,7 @@ _FEED = [(*m[:3], m[3].replace("discount", "(CASE WHEN k%7 = 0 THEN 0 ELSE disco
 ORACLE["stream_booking_facts"] = on_facts(f"SELECT {FACT} FROM facts", "records_feed", ["DAY"], records_feed=booking_records("o", _FEED))
 ORACLE["stream_registrations"] = on_facts(f"SELECT {FACT} FROM facts", "records_new", records_new="SELECT * FROM new_passengers UNION ALL SELECT * FROM new_drivers")
 ORACLE["stream_locations"] = compose("SELECT * FROM timeseries")
+ORACLE["mart_roundtrip"] = on_facts(f"SELECT {FACT} FROM facts", grans=["MONTH"])
+ORACLE["vw_metric_daily_stored"] = ORACLE["vw_metric_daily"]
+ORACLE["stream_driver_records"] = on_facts(f"SELECT {FACT} FROM facts WHERE metric_name NOT IN ('churn_driver', 'new_driver')", "records_d", ["DAY"])
+ORACLE["stream_passenger_records"] = on_facts(f"SELECT {FACT} FROM facts WHERE metric_name NOT IN ('churn_passenger', 'new_passenger')", "records_p", ["DAY"])

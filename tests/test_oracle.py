@@ -20,9 +20,12 @@ QUICK = [
     "vw_data_freshness", "dashboard_driver_analytics", "dashboard_passenger_analytics", "latest_minutes", "fact_upsert",
     "latest_documents", "daily_documents", "upsert_do_nothing", "upsert_do_update", "audit_request_count",
     "audit_acceptance_top", "audit_money", "audit_fares", "audit_completeness", "active_shifted",
-    "retention_churn_rates", "passenger_cohorts", "supply_demand_map", "stream_registrations",
+    "retention_churn_rates", "passenger_cohorts", "supply_demand_map", "stream_registrations", "stream_booking_facts",
+    "stream_locations", "stream_driver_records", "stream_passenger_records", "mart_roundtrip", "vw_metric_daily_stored",
 ]
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
+from oracle.sql import ORACLE  # noqa: E402
+from waymeter.registry import QUERIES  # noqa: E402
+
 CHOSEN = list(QUERIES) if os.environ.get("WAYMETER_ALL") else QUICK
 
 
@@ -40,6 +43,17 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_entry_point_has_them_all():
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
+
+
+def test_stored_views_prune_folders(spark):
+    from waymeter import registry
+
+    plan = registry.stored_facts(spark, SF, "DAY", "MONTH").filter("bucket_granularity = 'DAY'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket_granularity" in plan
+
+
 def test_entry_has_rows(spark):
     df = entry_point.entry(spark)
     assert "metric_value" in df.columns and df.limit(1).count() == 1

@@ -16,7 +16,7 @@ from waymeter.operators.keyed import union_all
 from waymeter.plans import cohorts, quality, views
 from waymeter.schema import DIMENSIONS, FACT, MEASURES
 from waymeter.session import work_folder
-from waymeter.sources import cdc, testbed as bed
+from waymeter.sources import cdc, marts as marts_io, testbed as bed
 from waymeter.sources.catalog import is_valid, metric_catalog
 from waymeter.streaming import jobs
 
@@ -407,6 +407,23 @@ def vw_metric_daily(spark, sf):
     return views.metric_view(facts(spark, sf, "DAY"), metric_catalog(spark), "DAY", 6)
 
 
+def stored_facts(spark, sf, *granularities: str) -> DataFrame:
+    """Facts by way of the partitioned mart table, as a dashboard would read them."""
+    path = work_folder(spark, "mart")
+    marts_io.write_table(facts(spark, sf, *granularities), path, "fact_metric_bucket")
+    return marts_io.read_table(spark, path, "fact_metric_bucket")
+
+
+@query
+def mart_roundtrip(spark, sf):
+    return stored_facts(spark, sf, "DAY", "MONTH").filter("bucket_granularity = 'MONTH'").select(*FACT)
+
+
+@query
+def vw_metric_daily_stored(spark, sf):
+    return views.metric_view(stored_facts(spark, sf, "DAY", "MONTH"), metric_catalog(spark), "DAY", 6)
+
+
 @query
 def vw_metric_weekly(spark, sf):
     return views.metric_view(facts(spark, sf, "WEEK"), metric_catalog(spark), "WEEK", 6)
@@ -703,3 +720,22 @@ def stream_locations(spark, sf):
     for feed in _slices(spark, rows, "location-feed"):
         _finish(job.start(*_parted(feed), NOW))
     return job.timeseries().drop("heading_degree", "speed_kmh")
+
+
+@query
+def stream_driver_records(spark, sf):
+    """Daily driver facts of the live job, churn left to its own query."""
+    job = jobs.RecordJob(spark, work_folder(spark, "driver-job"), "drivers")
+    rows = jobs._driver_rows(bed.driver_locations(spark, sf), bed.driver_profiles(spark, sf))
+    for feed in _slices(spark, rows, "driver-feed"):
+        _finish(job.start(jobs.live_driver_records(*_parted(feed)), NOW))
+    return jobs.facts_of(job.log, ["drivers"], ("DAY",)).select(*FACT)
+
+
+@query
+def stream_passenger_records(spark, sf):
+    """Daily passenger facts of the live job, churn left to its own query."""
+    job = jobs.RecordJob(spark, work_folder(spark, "passenger-job"), "passengers")
+    for feed in _slices(spark, bed.passenger_activity(spark, sf), "activity-feed"):
+        _finish(job.start(jobs.live_passenger_records(feed), NOW))
+    return jobs.facts_of(job.log, ["passengers"], ("DAY",)).select(*FACT)
