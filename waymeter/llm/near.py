@@ -8,8 +8,10 @@ agree by chance, and what is near the threshold or above is verified on the full
 
 A bucket of g texts gives about g pairs, each text with the hub of the bucket (the text that
 shares most keys overall), not g * g: texts that link join a component, and only texts of
-different components still have to meet. Small buckets give those pairs at once, large
-ones are first split by further bands.
+different components still have to meet. Small buckets give those pairs at once. In large
+ones each text is described by what it adds to the hub and what it lacks of it. Two texts
+can only be similar if they share added shingles, which become the keys of new, smaller
+buckets, or if both lack more than they add, which few do; see :func:`_Linker._lost_pairs`.
 """
 
 from __future__ import annotations
@@ -32,10 +34,10 @@ CHANCE = 0.16992
 MISS = 1e-8
 #: The estimate may fall so far below the threshold: about six standard errors of 256 registers.
 SLACK = 0.15
-#: Buckets up to this size give every pair of different components.
-SMALL = 32
-#: Larger ones are split so many times before they do.
-SPLITS = 2
+#: Open buckets up to this size give every pair of different components.
+SMALL = 8
+#: Larger ones are divided so many times before they do.
+DIVISIONS = 3
 
 SKETCH = T.StructType(
     [
@@ -116,12 +118,11 @@ def filled(found: np.ndarray, orders: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(full: np.ndarray, rows: int, salt: int = 0) -> np.ndarray:
-    """One 64-bit key for each band of ``rows`` registers; another ``salt`` groups them another way."""
+def band_keys(full: np.ndarray, rows: int) -> np.ndarray:
+    """One 64-bit key for each band of ``rows`` registers."""
     bands = BUCKETS // rows
-    order = np.arange(BUCKETS) if not salt else np.argsort(mix(np.arange(BUCKETS, dtype=np.uint64) + np.uint64(salt * 7919)))
-    grouped = full[order[: bands * rows]].reshape(bands, rows).astype(np.uint64)
-    key = np.arange(bands, dtype=np.uint64) + np.uint64(salt << 20)
+    grouped = full[: bands * rows].reshape(bands, rows).astype(np.uint64)
+    key = np.arange(bands, dtype=np.uint64)
     for i in range(rows):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + grouped[:, i])
     return key.view(np.int64)
@@ -144,19 +145,29 @@ def sketcher(size: int, rows: int):
     return sketch
 
 
-def splitter(rows: int, salt: int):
-    """Keys of further bands under the key of a bucket."""
+DELTA = T.StructType([T.StructField("adds", T.LongType()), T.StructField("lacks", T.LongType()), T.StructField("elements", T.ArrayType(T.LongType()))])
 
-    @F.arrow_udf(T.ArrayType(T.LongType()))
-    def split(key: pa.Array, regs: pa.Array) -> pa.Array:
-        orders = _orders()
-        keys = (
-            mix(band_keys(filled(np.frombuffer(r, np.uint16), orders), rows, salt).view(np.uint64) + np.uint64(k & (2**64 - 1))).view(np.int64)
-            for k, r in zip(key.to_pylist(), regs.to_pylist())
-        )
-        return pa.array(list(keys), pa.list_(pa.int64()))
 
-    return split
+def delta_of(percent: int):
+    """What a set adds to the set of its hub: counts, and the smallest added elements.
+
+    Similar sets x, y differ in at most (1 - t) / t * |x| elements; so of more added
+    elements than that, x and y share one among so many smallest plus one.
+    """
+
+    @F.arrow_udf(DELTA)
+    def delta(own: pa.Array, hub: pa.Array) -> pa.Array:
+        adds, lacks, elements = [], [], []
+        for x, h in zip(own.to_pylist(), hub.to_pylist()):
+            x, h = np.frombuffer(x, np.uint64), np.frombuffer(h, np.uint64)
+            added = np.setdiff1d(x, h, True)
+            adds.append(len(added))
+            lacks.append(len(h) - len(x) + len(added))
+            elements.append(np.sort(added)[: (100 - percent) * len(x) // percent + 1].view(np.int64))
+        arrays = [pa.array(adds, pa.int64()), pa.array(lacks, pa.int64()), pa.array(elements, pa.list_(pa.int64()))]
+        return pa.StructArray.from_arrays(arrays, ["adds", "lacks", "elements"])
+
+    return delta
 
 
 @F.arrow_udf(T.DoubleType())
@@ -185,41 +196,58 @@ class _Linker:
 
     def __init__(self, classes: DataFrame, docs: DataFrame, size: int, percent: int):
         self.classes, self.docs, self.size, self.percent = classes, docs, size, percent
-        self.rows = band_rows(percent / 100)
+        # similar sets x, y differ in at most spread * (|x| + |y|) elements
+        self.spread = (100 - percent) / (100 + percent)
         self.links = self.tested = self.labels = None
 
     def run(self) -> DataFrame | None:
-        bucket = self.classes.select("rep", F.explode("keys").alias("key"))
-        for depth in range(SPLITS + 1):
-            bucket = self._shared(bucket)
-            if bucket.isEmpty():
-                break
-            self._verify(self._hub_pairs(bucket))
+        bucket = self._shared(self.classes.select("rep", F.explode("keys").alias("key")))
+        if bucket.isEmpty():
+            return None
+        self.near = self._with_sets(bucket)
+        for division in range(DIVISIONS + 1):
+            hubs, pairs = self._hub_pairs(bucket)
+            self._verify(pairs)
             open_ = self._open(bucket)
-            small = open_ if depth == SPLITS else open_.filter(F.col("size") <= SMALL)
-            self._verify(self._cross_pairs(small))
-            large = self._open(open_.filter(F.col("size") > SMALL).select("key", "rep", "size"))
-            if depth == SPLITS or large.isEmpty():
+            last = division == DIVISIONS
+            self._verify(self._cross_pairs(open_ if last else open_.filter(F.col("size") <= SMALL)))
+            large = open_.filter(F.col("size") > SMALL)
+            if last or large.isEmpty():
+                break
+            deltas = self._deltas(large, hubs)
+            self._verify(self._lost_pairs(deltas))
+            divided = deltas.select("rep", "hub", F.explode("elements").alias("element"))
+            bucket = self._shared(divided.select("rep", F.xxhash64("hub", "element").alias("key")))
+            if bucket.isEmpty():
                 break
-            split = splitter(self.rows, depth + 1)
-            rows = large.select("key", "rep").join(self.near.select("rep", "registers"), "rep")
-            bucket = rows.select("rep", F.explode(split("key", "registers")).alias("key"))
         return self.labels
 
     def _shared(self, bucket: DataFrame) -> DataFrame:
         """Members of keys that two classes or more share, with the size of the bucket."""
         sizes = stored(bucket.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "sizes")
-        members = stored(bucket.join(sizes, "key"), "members")
-        if self.links is None:
-            # the sketches of the classes that have company at all
-            self.near = stored(self.classes.select("rep", "n", "registers").join(members.select("rep").distinct(), "rep"), "near")
-        return members
+        return stored(bucket.join(sizes, "key"), "members")
+
+    def _with_sets(self, bucket: DataFrame) -> DataFrame:
+        """Sketch and full set, made again from the text, of the classes that have company at all."""
+        size = self.size
+
+        @F.arrow_udf(T.BinaryType())
+        def shingles(column: pa.Array) -> pa.Array:
+            return pa.array([x.tobytes() for x in shingle_sets(column, size)], pa.binary())
+
+        wanted = stored(bucket.select("rep").distinct(), "wanted")
+        near = self.classes.select("rep", "n", "registers").join(wanted, "rep", "left_semi")
+        rows = self.docs.join(wanted, self.docs["_id"] == wanted["rep"], "left_semi")
+        sets = stored(rows.select(F.col("_id").alias("_of"), shingles("_text").alias("shingles")), "sets")
+        # a document id with several texts has several sets: the one of this class has its size
+        both = near.join(sets, (F.col("rep") == F.col("_of")) & (F.octet_length("shingles") == 8 * F.col("n"))).drop("_of")
+        return stored(both.dropDuplicates(["rep"]), "near")
 
-    def _hub_pairs(self, bucket: DataFrame) -> DataFrame:
+    def _hub_pairs(self, bucket: DataFrame) -> tuple[DataFrame, DataFrame]:
         weight = bucket.groupBy("rep").agg(F.sum("size").alias("weight"))
         weighed = stored(bucket.join(weight, "rep"), "weighed")
         hubs = stored(weighed.groupBy("key").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("hub")), "hubs")
-        return _ordered(weighed.join(hubs, "key"), F.col("rep"), F.col("hub"))
+        return hubs, _ordered(weighed.join(hubs, "key"), F.col("rep"), F.col("hub"))
 
     def _open(self, bucket: DataFrame) -> DataFrame:
         """Members, with their component, of buckets that still hold more than one."""
@@ -227,7 +255,8 @@ class _Linker:
             labelled = bucket.withColumn("component", F.col("rep"))
         else:
             labelled = bucket.join(self.labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        labelled = stored(labelled, "labelled")
+        # two members have met their hub
+        labelled = stored(labelled.filter("size > 2"), "labelled")
         mixed = stored(labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key"), "open")
         return stored(labelled.join(mixed, "key"), "open")
 
@@ -236,43 +265,62 @@ class _Linker:
         right = bucket.select("key", F.col("rep").alias("b"), F.col("component").alias("of_b"))
         return _ordered(left.join(right, "key").filter("of_a < of_b"), F.col("a"), F.col("b"))
 
+    def _deltas(self, large: DataFrame, hubs: DataFrame) -> DataFrame:
+        """(hub, rep) of large open buckets with the component, size and delta of ``rep``."""
+        pairs = stored(large.join(hubs, "key").select("hub", "rep", "component").filter("hub != rep").distinct(), "spokes")
+        own = self.near.select(F.col("rep"), "n", "shingles")
+        hub = self.near.select(F.col("rep").alias("hub"), F.col("shingles").alias("hub_shingles"))
+        both = pairs.join(own, "rep").join(hub, "hub")
+        both = both.withColumn("d", delta_of(self.percent)("shingles", "hub_shingles"))
+        return stored(both.select("hub", "rep", "component", "n", "d.*"), "deltas")
+
+    def _lost_pairs(self, deltas: DataFrame) -> DataFrame:
+        """Pairs under one hub that may be similar without a common added element.
+
+        Sets that add nothing in common differ in adds + adds + |lacks - lacks| elements at
+        least. One of them, x, has no link to the hub, or both are in its component; by how
+        much its delta is too large, the other one must lack more than it adds.
+        """
+        k = self.spread
+        rows = deltas.withColumn("hub_n", F.col("n") - F.col("adds") + F.col("lacks"))
+        rows = rows.withColumn("excess", F.col("adds") + F.col("lacks") - k * (F.col("n") + F.col("hub_n")))
+        width = F.floor(F.col("hub_n") * ((100 - self.percent) / self.percent)) + 1
+        rows = rows.withColumn("bin", F.floor(F.col("lacks") / width))
+        x = rows.filter("excess > 0").select("hub", "bin", *[F.col(c).alias(f"x_{c}") for c in ("rep", "component", "n", "adds", "lacks", "excess")])
+        y = rows.filter("lacks > adds").withColumn("bin", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)))
+        both = x.join(y.drop("excess", "elements"), ["hub", "bin"]).filter("x_component != component")
+        both = both.filter((1 - k) * (F.col("lacks") - F.col("adds")) >= F.col("x_excess") - 1e-6)
+        differ = F.col("x_adds") + F.col("adds") + F.abs(F.col("x_lacks") - F.col("lacks"))
+        return _ordered(both.filter(differ <= k * (F.col("x_n") + F.col("n")) + 1e-6), F.col("x_rep"), F.col("rep"))
+
     def _verify(self, pairs: DataFrame) -> None:
         """Test pairs not tested yet; links are kept, and components formed anew."""
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        side = lambda tag: self.near.select(*[F.col(c).alias(f"{c}_{tag}") for c in ("rep", "n", "registers")])
+        side = lambda tag, *more: self.near.select(*[F.col(c).alias(f"{c}_{tag}") for c in ("rep", "n", *more)])
         pairs = stored(pairs, "pairs")
         self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
-        sized = pairs.join(side("a"), F.col("a") == F.col("rep_a")).join(side("b"), F.col("b") == F.col("rep_b"))
-        sized = sized.filter(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
+        at = lambda tag: F.col(tag) == F.col(f"rep_{tag}")
+        sized = pairs.join(side("a"), at("a")).join(side("b"), at("b"))
+        # sizes alone rule out most pairs, before any sketch is moved
+        sized = sized.filter(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")).select("a", "b")
+        sized = stored(sized, "sized")
+        if sized.isEmpty():
+            return
+        drawn = sized.join(side("a", "registers"), at("a")).join(side("b", "registers"), at("b"))
         likely = estimate("registers_a", "registers_b", "n_a", "n_b") >= self.percent / 100 - SLACK
         # few registers say little: small sets go to verification at once
-        sized = sized.filter((F.least("n_a", "n_b") < BUCKETS) | likely)
-        chosen = stored(sized.select("a", "b", "n_a", "n_b"), "likely")
-        if chosen.isEmpty():
-            return
-        sets = self._sets(chosen)
-        pick = lambda tag: sets.select(F.col("rep").alias(tag), F.col("shingles").alias(f"set_{tag}"))
-        both = chosen.join(pick("a"), "a").join(pick("b"), "b").withColumn("both", common("set_a", "set_b"))
-        found = both.filter(100 * F.col("both") >= self.percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
+        drawn = drawn.filter((F.least("n_a", "n_b") < BUCKETS) | likely).select("a", "b")
+        chosen = stored(drawn, "likely")
+        full = chosen.join(side("a", "shingles"), at("a")).join(side("b", "shingles"), at("b"))
+        full = full.withColumn("both", common("shingles_a", "shingles_b"))
+        found = full.filter(100 * F.col("both") >= self.percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
         found = stored(found, "links")
         if found.isEmpty():
             return
         self.links = found if self.links is None else self.links.unionByName(found)
         self.labels = components(self.links)
 
-    def _sets(self, pairs: DataFrame) -> DataFrame:
-        """The full sets of the classes in ``pairs``, made again from their texts."""
-        wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "wanted")
-        size = self.size
-
-        @F.arrow_udf(T.BinaryType())
-        def shingles(column: pa.Array) -> pa.Array:
-            return pa.array([x.tobytes() for x in shingle_sets(column, size)], pa.binary())
-
-        rows = self.docs.join(wanted, self.docs["_id"] == wanted["rep"], "left_semi")
-        return stored(rows.select(F.col("_id").alias("rep"), shingles("_text").alias("shingles")), "sets")
-
 
 def _ordered(pairs: DataFrame, a: Column, b: Column) -> DataFrame:
     return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a != b").distinct()
