@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from waymeter.llm.common import fold, mix, packed, row_chunks, stored, texts, unpacked, word_bounds, word_hashes
+from waymeter.llm.common import arrow_rows, fold, mix, packed, row_chunks, stored, texts, unpacked, word_bounds, word_hashes
 from waymeter.llm.graph import components
 
 BUCKET_BITS, MANTISSA = 8, 10
@@ -35,9 +35,11 @@ MISS = 1e-8
 #: The estimate may fall so far below the threshold: about six standard errors of 256 registers.
 SLACK = 0.15
 #: Open buckets up to this size give every pair of different components.
-SMALL = 8
+SMALL = 4
 #: Larger ones are divided so many times before they do.
 DIVISIONS = 3
+#: Rows of an Arrow batch; each may bring two sets of some kilobytes.
+BATCH_ROWS = 1000
 
 SKETCH = T.StructType(
     [
@@ -344,14 +346,15 @@ def find_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", siz
     sketch = sketcher(size, band_rows(percent / 100))
     row = F.col("_row") if keep_text else F.col("_row").dropFields(f"`{text}`")
     drawn = rows.withColumn("s", sketch(F.col(f"_row.`{text}`"))).select(row.alias("_row"), F.col(f"_row.`{doc_id}`").alias("_id"), "s.*")
-    drawn = stored(drawn, "sketches")
-    alike = drawn.filter("n > 0 AND _id IS NOT NULL").groupBy("set_id")
-    classes = stored(alike.agg(F.min("_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "registers", "keys")]), "classes")
-    labels = _Linker(classes, source, size, percent).run()
-    named = classes.select("set_id", "rep")
-    if labels is not None:
-        named = named.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("rep", F.coalesce("component", "rep"))
-    named = stored(named.select(F.col("set_id").alias("_of"), F.col("rep").alias("_group")), "named")
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        drawn = stored(drawn, "sketches")
+        alike = drawn.filter("n > 0 AND _id IS NOT NULL").groupBy("set_id")
+        classes = stored(alike.agg(F.min("_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "registers", "keys")]), "classes")
+        labels = _Linker(classes, source, size, percent).run()
+        named = classes.select("set_id", "rep")
+        if labels is not None:
+            named = named.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("rep", F.coalesce("component", "rep"))
+        named = stored(named.select(F.col("set_id").alias("_of"), F.col("rep").alias("_group")), "named")
     joined = drawn.select("_row", "_id", "n", "set_id").join(named, F.col("set_id") == F.col("_of"), "left")
     group = F.when(F.col("n") > 0, F.col("_group")).otherwise(F.col("_id"))
     group = F.when(F.col("_id").isNotNull(), group)
