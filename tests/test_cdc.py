@@ -164,3 +164,12 @@ def test_bucket_ends(spark):
 @pytest.mark.parametrize("text", ["", "2025-01-01", "2025-01-01T00:00:00", "2025-13-01T00:00:00Z", "x", None])
 def test_bad_instants(spark, text):
     assert spark.createDataFrame([(text,)], "x string").select(timing.parse_instant(F.col("x"))).first()[0] is None
+
+
+def test_arrival_order_over_topics(spark):
+    """Offsets of two topics clash; the time of arrival decides, then offset and topic."""
+    rows = [("driver", "2025-01-01 00:00:00.001", 900), ("driver_location", "2025-01-01 00:00:00.002", 3), ("driver", "2025-01-01 00:00:00.003", 901), ("driver_location", "2025-01-01 00:00:00.003", 901)]
+    df = spark.createDataFrame(rows, "entity string, at string, offset bigint").withColumn("at", F.to_timestamp("at"))
+    by = {e: cdc.arrival_order(F.col("at"), F.col("offset"), e) for e in ("driver", "driver_location")}
+    seqs = [r.seq for r in df.withColumn("seq", F.when(F.col("entity") == "driver", by["driver"]).otherwise(by["driver_location"])).collect()]
+    assert seqs == sorted(seqs) and len(set(seqs)) == 4 and seqs[-1] < 2**63
