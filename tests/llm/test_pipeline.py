@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waymeter.llm import mixing
 from waymeter.llm.common import stored, table
+from waymeter.llm.queries import TARGETS
 
 SF = "/root/testdata/sf0.01"
 
@@ -44,6 +45,33 @@ def test_rates_meet_the_targets(spark):
     assert np.allclose(w, rate, atol=0.02)
 
 
+def test_rates_of_soft_documents_converge(spark):
+    rng = np.random.default_rng(5)
+    logits = np.eye(3)[rng.choice(3, 2000, p=[0.7, 0.27, 0.03])] * 2 + rng.normal(size=(2000, 3))
+    p = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+    tokens = rng.integers(1, 2000, 2000)
+    scored = stored(spark.createDataFrame([(int(t), list(map(float, q))) for t, q in zip(tokens, p)], "tokens bigint, p array<double>"), "soft")
+    share = np.array([TARGETS[d] for d in mixing.DOMAINS])
+    rate, report = mixing.fit_rates(scored, TARGETS)
+    rows = scored.select("tokens", "p", rate.alias("w")).collect()
+    w, t, q = np.array([r.w for r in rows]), np.array([r.tokens for r in rows]), np.array([r.p for r in rows])
+    assert report["met"] and w.min() >= 0 and np.allclose((w * t) @ q / t.sum() / share, 1, atol=2e-4)
+    # of all rates that meet the targets, those nearest to 1: accelerated gradient steps on the dual, to the end
+    x = y = np.zeros(3)
+    most = np.linalg.eigvalsh((q * t[:, None]).T @ q).max()
+    for n in range(60_000):
+        x, last = y - ((np.maximum(0, 1 + q @ y) * t) @ q - share * t.sum()) / most, x
+        y = x + (n % 500) / (n % 500 + 3) * (x - last)
+    assert np.allclose(np.maximum(0, 1 + q @ x), w, atol=0.02)
+    # all documents alike: no rates can meet the targets, and the report says so
+    alike = spark.createDataFrame([(7, [0.5, 0.3, 0.2])] * 20, "tokens bigint, p array<double>")
+    rate, report = mixing.fit_rates(alike, TARGETS)
+    assert not report["met"]
+    have, want = 140 * np.array([0.5, 0.3, 0.2]), 140 * share
+    best = (have * want / have).sum() / have.sum()
+    assert np.isclose(alike.select(rate.alias("w")).first().w, best, atol=1e-4)
+
+
 def test_mixing_odd_inputs(spark):
     docs = spark.createDataFrame([(1, None, 5.0), (None, "a b", 1.0), (2, "", 1.0), (2, "", 1.0)], "doc_id bigint, text string, rate double")
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 1), (None, 1, 0), (7, None, None)], "doc_id bigint, quality int, toxic int")

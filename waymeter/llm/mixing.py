@@ -2,14 +2,15 @@
 
 A classifier trained on the labelled table gives each document posterior probabilities of
 its domain. Nonnegative rates are then fitted so that expected tokens per domain, the sum of
-rate * tokens * posterior, match the targets: projected gradient on the squared, scaled
-residuals. A step needs only the sums per domain, so each is one aggregate over a narrow
-table; rates are never stored, they follow from a document's posterior and the list of
-residuals so far.
+rate * tokens * posterior, match the targets: of all such rates, those nearest to 1. They are
+max(0, 1 + posterior * weights) with one weight for each domain, found by Newton steps. A step
+needs only sums over all documents, so each is one aggregate over a narrow table; rates are
+never stored, they follow from a document's posterior and the weights.
 """
 
 from __future__ import annotations
 
+import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ LEAST_ROWS = 4
 #: Iterations end when each domain's expected tokens are within this share of its target.
 TOLERANCE = 1e-4
 MOST_STEPS = 40
+#: The ridge on the weights, as a share of a domain's tokens, and the slope at which they count as the best, as a share of all.
+RIDGE, OPTIMAL = 1e-8, 1e-7
 
 _BREAKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 SIGNS = T.StructType([T.StructField("tokens", T.LongType()), T.StructField("features", T.ArrayType(T.IntegerType()))])
@@ -138,18 +141,9 @@ def posteriors(model: tuple[np.ndarray, np.ndarray]):
     return score
 
 
-def rate_of(residuals: list[np.ndarray], step: float):
-    """Arrow function: the rate after the steps so far, each projected on the nonnegative numbers."""
-
-    @F.arrow_udf(T.DoubleType())
-    def rate(p: pa.Array) -> pa.Array:
-        values = np.asarray(p.flatten()).reshape(len(p), len(DOMAINS)) if len(p) else np.zeros((0, len(DOMAINS)))
-        out = np.ones(len(p))
-        for r in residuals:
-            out = np.maximum(0.0, out - step * (values @ r))
-        return pa.array(out)
-
-    return rate
+def rate_of(weights: np.ndarray) -> Column:
+    """The rate as a column over ``p``: 1 plus the posteriors times the weights, no less than 0."""
+    return F.greatest(F.lit(0.0), sum((F.col("p")[i] * float(w) for i, w in enumerate(weights)), F.lit(1.0)))
 
 
 def fit_rates(scored: DataFrame, targets: dict[str, float], total: float | None = None, reach: float | None = None) -> tuple[Column, dict]:
@@ -157,38 +151,64 @@ def fit_rates(scored: DataFrame, targets: dict[str, float], total: float | None
 
     ``targets`` are weights that are scaled to one. The total of expected tokens is ``total``,
     or ``reach`` times what the first domain has, by its weight, or else all tokens there are.
-    A domain that no document belongs to is left out.
+    A domain that no document belongs to is left out. ``report["met"]`` tells whether every
+    target is met within TOLERANCE. If not, no rates meet them all, and these have the least
+    scaled residuals. Should the steps end before either holds, RuntimeError is raised.
     """
     k = range(len(DOMAINS))
     p = [F.col("p")[i] for i in k]
-    sums = [F.sum(F.col("tokens") * p[i]).alias(f"a{i}") for i in k]
-    cross = [F.sum(F.col("tokens") * p[i] * p[j]).alias(f"g{i}{j}") for i in k for j in k if i <= j]
-    row = scored.agg(*sums, *cross).first()
-    have = np.array([row[f"a{i}"] or 0.0 for i in k])
+    pairs = [(i, j) for i in k for j in k if i <= j]
+
+    def measure(weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Sum of tokens * rate^2, expected tokens, and their derivatives by the weights."""
+        rate = rate_of(weights)
+        t, active = F.col("tokens"), F.col("tokens") * (rate > 0).cast("double")
+        sums = [F.sum(t * rate * rate).alias("s"), *[F.sum(t * rate * p[i]).alias(f"a{i}") for i in k]]
+        row = scored.agg(*sums, *[F.sum(active * p[i] * p[j]).alias(f"g{i}{j}") for i, j in pairs]).first()
+        slopes = np.array([[row[f"g{min(i, j)}{max(i, j)}"] or 0.0 for j in k] for i in k])
+        return row["s"] or 0.0, np.array([row[f"a{i}"] or 0.0 for i in k]), slopes
+
+    weights = np.zeros(len(DOMAINS))
+    square, reached, slopes = measure(weights)
+    have = reached.copy()
     share = np.array([targets.get(d, 0.0) for d in DOMAINS])
     share = share / share.sum()
     if total is None:
         total = reach * have[0] / share[0] if reach and share[0] > 0 else have.sum()
     want = share * total
     used = have > 0
+    report = {"available": have, "wanted": want, "reached": have, "steps": 0, "met": True}
     if not used.any():
-        return F.lit(1.0), {"available": have, "wanted": want, "reached": have, "steps": 0}
-    scale = np.where(used, have, 1.0)
-    gram = np.array([[row[f"g{min(i, j)}{max(i, j)}"] or 0.0 for j in k] for i in k]) / np.sqrt(np.outer(scale, scale))
-    # residuals are divided by what a domain has, which makes the problem well conditioned
-    step = 1.0 / max(np.linalg.eigvalsh(gram).max(), 1e-12)
-    residuals: list[np.ndarray] = []
-    reached = have.copy()
-    while len(residuals) < MOST_STEPS:
-        r = np.where(used, (reached - want) / scale, 0.0)
-        if np.all(np.abs(reached - want)[used] <= TOLERANCE * np.maximum(want, TOLERANCE * total)[used]):
+        return F.lit(1.0), report
+    slack = TOLERANCE * np.maximum(want, TOLERANCE * total)
+    # Newton steps on the dual, which is convex; the ridge bounds the weights where targets cannot be met
+    ridge, center, missed = RIDGE * np.where(used, have, have.sum()), weights, np.inf
+    goal = lambda square, at: square / 2 - want[used] @ at[used] + ridge @ (at - center) ** 2 / 2
+    for steps in range(MOST_STEPS + 1):
+        excess = np.where(used, np.abs(reached - want) / slack, 0.0).max()
+        report |= {"reached": reached, "steps": steps, "met": bool(excess <= 1)}
+        if report["met"]:
+            return rate_of(weights), report
+        slope = np.where(used, reached - want, 0.0) + ridge * (weights - center)
+        if np.abs(slope).max() <= OPTIMAL * total:
+            # moving the centre takes the ridge's own share off the residuals, as far as that goes
+            if excess > missed / 2:
+                return rate_of(weights), report
+            center, missed = weights, excess
+            slope = np.where(used, reached - want, 0.0)
+        if steps == MOST_STEPS:
             break
-        residuals.append(r)
-        rated = scored.select("tokens", "p", rate_of(residuals, step)("p").alias("w"))
-        row = rated.agg(*[F.sum(F.col("w") * F.col("tokens") * p[i]).alias(f"a{i}") for i in k]).first()
-        reached = np.array([row[f"a{i}"] or 0.0 for i in k])
-    rate = rate_of(residuals, step)(F.col("p")) if residuals else F.lit(1.0)
-    return rate, {"available": have, "wanted": want, "reached": reached, "steps": len(residuals)}
+        scale = 1 / np.sqrt(np.diag(slopes) + ridge)
+        step = -scale * np.linalg.solve((slopes + np.diag(ridge)) * np.outer(scale, scale), scale * slope)
+        now, part = goal(square, weights), 1.0
+        while True:
+            tried = measure(weights + part * step)
+            if goal(tried[0], weights + part * step) <= now + 1e-4 * part * (slope @ step) + 1e-12 * abs(now) or part < 1e-6:
+                break
+            part /= 2
+        weights = weights + part * step
+        square, reached, slopes = tried
+    raise RuntimeError(f"rates did not converge in {MOST_STEPS} steps: {report}")
 
 
 def mix(
@@ -216,7 +236,9 @@ def mix(
     rows = rows.withColumn("_draw", F.shiftrightunsigned(place, 11).cast("double") / F.lit(float(1 << 53)))
     row = F.col("_row") if keep_text else F.col("_row").dropFields(f"`{text}`")
     scored = stored(rows.select(row.alias("_row"), "_draw", "s.tokens", "s.p"), "posteriors")
-    rate, _ = fit_rates(scored.select("tokens", "p"), targets, reach=reach)
+    rate, report = fit_rates(scored.select("tokens", "p"), targets, reach=reach)
+    if not report["met"]:
+        warnings.warn(f"no rates meet the targets; these come nearest: {report}", stacklevel=2)
     rated = scored.withColumn("_rate", rate)
     copies = F.floor("_rate") + (F.col("_draw") < F.col("_rate") - F.floor("_rate")).cast("bigint")
     added = {"n_tokens": F.col("tokens"), "posterior": F.col("p"), "rate": F.col("_rate"), "copies": copies.cast("bigint")}
