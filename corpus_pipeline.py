@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from waymeter.llm import exact, mixing, near, pieces, quality
 from waymeter.llm.common import stored, table
 
-#: Domains of the mix: nearly all of it good, and more of that than there is, so that every good document is drawn.
+#: Shares of the domains in the tokens kept.
 TARGETS = {"good": 0.97, "poor": 0.029, "toxic": 0.001}
-REACH = 2.0
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +33,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn at least once; the corpus holds each once, whatever its rate."""
-    mixed = mixing.mix(docs, table(spark, sf_dir, "labels"), TARGETS, reach=REACH)
+    """Documents drawn at rates up to 1, so that their tokens have the shares TARGETS."""
+    mixed = mixing.mix(docs, table(spark, sf_dir, "labels"), TARGETS, once=True)
     return mixed.filter("copies > 0").select(*docs.columns)
 
 

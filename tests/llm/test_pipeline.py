@@ -72,6 +72,25 @@ def test_rates_of_soft_documents_converge(spark):
     assert np.isclose(alike.select(rate.alias("w")).first().w, best, atol=1e-4)
 
 
+def test_the_mix_of_the_pipeline_is_kept(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    kept = {r.doc_id for r in corpus_pipeline.source_mixing(spark, docs, SF).select("doc_id").collect()}
+    label = {r._labelled: int(r.label) for r in mixing.worst_labels(labels).collect()}
+    scored = docs.select("doc_id", mixing.posteriors(mixing.train(docs, labels))(F.col("text")).alias("s")).select("doc_id", "s.*").collect()
+    assert len(kept) > 0.7 * len(scored) and not [r.doc_id for r in scored if label.get(r.doc_id) == 0 and r.doc_id not in kept]
+    p = np.array([np.eye(3)[label[r.doc_id]] if r.doc_id in label else r.p for r in scored if r.doc_id in kept])
+    t = np.array([r.tokens for r in scored if r.doc_id in kept])
+    # what is left is the noise of drawing whole documents
+    assert np.allclose(t @ p / t.sum(), [corpus_pipeline.TARGETS[d] for d in mixing.DOMAINS], atol=0.004)
+    # a domain without labels is left out, and the others keep their proportion
+    two = spark.createDataFrame([(7, [1.0, 1e-22, 0.0])] * 20 + [(7, [0.0, 1e-22, 1.0])] * 20, "tokens bigint, p array<double>")
+    report = mixing.fit_rates(two, corpus_pipeline.TARGETS, once=True)[1]
+    assert report["met"] and np.isclose(report["reached"][2] / report["reached"][0], 0.001 / 0.97, atol=1e-6) and report["reached"][0] > 139
+    soft = spark.createDataFrame([(7, [0.5, 0.3, 0.2])] * 20, "tokens bigint, p array<double>")
+    rate, report = mixing.fit_rates(soft, corpus_pipeline.TARGETS, once=True)
+    assert not report["met"] and soft.select(rate.alias("w")).first().w == 1
+
+
 def test_mixing_odd_inputs(spark):
     docs = spark.createDataFrame([(1, None, 5.0), (None, "a b", 1.0), (2, "", 1.0), (2, "", 1.0)], "doc_id bigint, text string, rate double")
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 1), (None, 1, 0), (7, None, None)], "doc_id bigint, quality int, toxic int")

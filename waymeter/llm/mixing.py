@@ -3,7 +3,8 @@
 A classifier trained on the labelled table gives each document posterior probabilities of
 its domain. Nonnegative rates are then fitted so that expected tokens per domain, the sum of
 rate * tokens * posterior, match the targets: of all such rates, those nearest to 1. They are
-max(0, 1 + posterior * weights) with one weight for each domain, found by Newton steps. A step
+max(0, 1 + posterior * weights) with one weight for each domain, found by Newton steps. Where
+each document may be drawn once only, rates are bounded by 1 and shares are the targets. A step
 needs only sums over all documents, so each is one aggregate over a narrow table; rates are
 never stored, they follow from a document's posterior and the weights.
 """
@@ -34,6 +35,8 @@ TOLERANCE = 1e-4
 MOST_STEPS = 40
 #: The ridge on the weights, as a share of a domain's tokens, and the slope at which they count as the best, as a share of all.
 RIDGE, OPTIMAL = 1e-8, 1e-7
+#: A domain with no more than this share of all tokens has no document; the classifier never gives an exact 0.
+ABSENT = 1e-12
 
 _BREAKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 SIGNS = T.StructType([T.StructField("tokens", T.LongType()), T.StructField("features", T.ArrayType(T.IntegerType()))])
@@ -80,6 +83,12 @@ def domain_of(quality: Column, toxic: Column) -> Column:
     return F.when(toxic == 1, 2).when(quality == 1, 0).when(quality == 0, 1).cast("double")
 
 
+def worst_labels(labels: DataFrame) -> DataFrame:
+    """(_labelled, label): the worst domain that a document is labelled with."""
+    named = labels.select(F.col("doc_id").alias("_labelled"), domain_of(F.col("quality"), F.col("toxic")).alias("label"))
+    return named.filter("_labelled IS NOT NULL AND label IS NOT NULL").groupBy("_labelled").agg(F.max("label").alias("label"))
+
+
 def train(
     docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", sample_rows: int = SAMPLE_ROWS
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -89,8 +98,7 @@ def train(
     With no labelled document, every domain is as likely; with labels of a single domain,
     that one is certain.
     """
-    named = labels.select(F.col("doc_id").alias("_labelled"), domain_of(F.col("quality"), F.col("toxic")).alias("label"))
-    named = named.filter("_labelled IS NOT NULL AND label IS NOT NULL").groupBy("_labelled").agg(F.max("label").alias("label"))
+    named = worst_labels(labels)
     # at most sample_rows small rows, so this broadcast does not grow with the data
     chosen = F.broadcast(named.orderBy(F.xxhash64("_labelled"), "_labelled").limit(sample_rows))
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(chosen, F.col("_id") == F.col("_labelled"))
@@ -141,12 +149,23 @@ def posteriors(model: tuple[np.ndarray, np.ndarray]):
     return score
 
 
-def rate_of(weights: np.ndarray) -> Column:
-    """The rate as a column over ``p``: 1 plus the posteriors times the weights, no less than 0."""
-    return F.greatest(F.lit(0.0), sum((F.col("p")[i] * float(w) for i, w in enumerate(weights)), F.lit(1.0)))
+def rate_of(weights: np.ndarray, share: np.ndarray | None = None) -> Column:
+    """The rate as a column over ``p``: 1 plus the posteriors times the weights, no less than 0.
+
+    With ``share`` posteriors count by what they exceed it, and the rate is 1 at most.
+    """
+    free = _free_rate(weights, share)
+    return F.greatest(F.lit(0.0), free if share is None else F.least(F.lit(1.0), free))
+
+
+def _free_rate(weights: np.ndarray, share: np.ndarray | None) -> Column:
+    over = np.zeros(len(DOMAINS)) if share is None else share
+    return sum(((F.col("p")[i] - float(over[i])) * float(w) for i, w in enumerate(weights)), F.lit(1.0))
 
 
-def fit_rates(scored: DataFrame, targets: dict[str, float], total: float | None = None, reach: float | None = None) -> tuple[Column, dict]:
+def fit_rates(
+    scored: DataFrame, targets: dict[str, float], total: float | None = None, reach: float | None = None, once: bool = False
+) -> tuple[Column, dict]:
     """The rate as a column over ``p``, and a report of available, wanted and reached tokens per domain.
 
     ``targets`` are weights that are scaled to one. The total of expected tokens is ``total``,
@@ -154,60 +173,72 @@ def fit_rates(scored: DataFrame, targets: dict[str, float], total: float | None
     A domain that no document belongs to is left out. ``report["met"]`` tells whether every
     target is met within TOLERANCE. If not, no rates meet them all, and these have the least
     scaled residuals. Should the steps end before either holds, RuntimeError is raised.
+
+    With ``once`` rates are 1 at most and the total is what then can be kept with these
+    shares. If no documents have them, all rates are 1 and the report says that targets are not met.
     """
     k = range(len(DOMAINS))
     p = [F.col("p")[i] for i in k]
     pairs = [(i, j) for i in k for j in k if i <= j]
 
-    def measure(weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """Sum of tokens * rate^2, expected tokens, and their derivatives by the weights."""
-        rate = rate_of(weights)
-        t, active = F.col("tokens"), F.col("tokens") * (rate > 0).cast("double")
-        sums = [F.sum(t * rate * rate).alias("s"), *[F.sum(t * rate * p[i]).alias(f"a{i}") for i in k]]
-        row = scored.agg(*sums, *[F.sum(active * p[i] * p[j]).alias(f"g{i}{j}") for i, j in pairs]).first()
+    def measure(weights: np.ndarray, over: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray, float]:
+        """The function whose slope by the weights is the second value, that slope, its own slope, and expected tokens of all domains."""
+        rate, free, t = rate_of(weights, over), _free_rate(weights, over), F.col("tokens")
+        x = p if over is None else [p[i] - float(over[i]) for i in k]
+        active = t * ((free > 0) & (F.lit(True) if over is None else free <= 1)).cast("double")
+        sums = [F.sum(t * rate * (free - rate / 2)).alias("s"), F.sum(t * rate).alias("kept"), *[F.sum(t * rate * x[i]).alias(f"a{i}") for i in k]]
+        row = scored.agg(*sums, *[F.sum(active * x[i] * x[j]).alias(f"g{i}{j}") for i, j in pairs]).first()
         slopes = np.array([[row[f"g{min(i, j)}{max(i, j)}"] or 0.0 for j in k] for i in k])
-        return row["s"] or 0.0, np.array([row[f"a{i}"] or 0.0 for i in k]), slopes
+        return row["s"] or 0.0, np.array([row[f"a{i}"] or 0.0 for i in k]), slopes, row["kept"] or 0.0
 
     weights = np.zeros(len(DOMAINS))
-    square, reached, slopes = measure(weights)
-    have = reached.copy()
+    value, sums, slopes, kept = measure(weights)
+    have, used = sums.copy(), sums > ABSENT * sums.sum()
     share = np.array([targets.get(d, 0.0) for d in DOMAINS])
     share = share / share.sum()
     if total is None:
         total = reach * have[0] / share[0] if reach and share[0] > 0 else have.sum()
     want = share * total
-    used = have > 0
     report = {"available": have, "wanted": want, "reached": have, "steps": 0, "met": True}
     if not used.any():
         return F.lit(1.0), report
-    slack = TOLERANCE * np.maximum(want, TOLERANCE * total)
+    over, aim = None, want
+    if once:
+        if not share[used].sum() > 0:
+            return F.lit(1.0), report | {"met": False}
+        share = np.where(used, share, 0.0) / share[used].sum()
+        over, aim, total = share, np.zeros(len(DOMAINS)), have.sum()
+        value, sums, slopes, kept = measure(weights, over)
     # Newton steps on the dual, which is convex; the ridge bounds the weights where targets cannot be met
-    ridge, center, missed = RIDGE * np.where(used, have, have.sum()), weights, np.inf
-    goal = lambda square, at: square / 2 - want[used] @ at[used] + ridge @ (at - center) ** 2 / 2
+    ridge, center, missed = RIDGE * np.where(used & (not once), have, have.sum()), weights, np.inf
+    goal = lambda value, at: value - aim[used] @ at[used] + ridge @ (at - center) ** 2 / 2
     for steps in range(MOST_STEPS + 1):
-        excess = np.where(used, np.abs(reached - want) / slack, 0.0).max()
-        report |= {"reached": reached, "steps": steps, "met": bool(excess <= 1)}
+        if once:
+            want = share * kept
+        slack = TOLERANCE * np.maximum(want, TOLERANCE * want.sum())
+        excess = np.where(used, np.abs(sums - aim) / np.maximum(slack, 1e-300), 0.0).max()
+        report |= {"wanted": want, "reached": sums + want if once else sums, "steps": steps, "met": bool(excess <= 1 and (kept > 0 or not once))}
         if report["met"]:
-            return rate_of(weights), report
-        slope = np.where(used, reached - want, 0.0) + ridge * (weights - center)
+            return rate_of(weights, over), report
+        slope = np.where(used, sums - aim, 0.0) + ridge * (weights - center)
         if np.abs(slope).max() <= OPTIMAL * total:
             # moving the centre takes the ridge's own share off the residuals, as far as that goes
-            if excess > missed / 2:
-                return rate_of(weights), report
+            if excess > missed / 2 or not kept:
+                return (F.lit(1.0), report | {"reached": have}) if once else (rate_of(weights), report)
             center, missed = weights, excess
-            slope = np.where(used, reached - want, 0.0)
+            slope = np.where(used, sums - aim, 0.0)
         if steps == MOST_STEPS:
             break
         scale = 1 / np.sqrt(np.diag(slopes) + ridge)
         step = -scale * np.linalg.solve((slopes + np.diag(ridge)) * np.outer(scale, scale), scale * slope)
-        now, part = goal(square, weights), 1.0
+        now, part = goal(value, weights), 1.0
         while True:
-            tried = measure(weights + part * step)
+            tried = measure(weights + part * step, over)
             if goal(tried[0], weights + part * step) <= now + 1e-4 * part * (slope @ step) + 1e-12 * abs(now) or part < 1e-6:
                 break
             part /= 2
         weights = weights + part * step
-        square, reached, slopes = tried
+        value, sums, slopes, kept = tried
     raise RuntimeError(f"rates did not converge in {MOST_STEPS} steps: {report}")
 
 
@@ -220,6 +251,7 @@ def mix(
     reach: float | None = None,
     seed: int = 0,
     keep_text: bool = True,
+    once: bool = False,
 ) -> DataFrame:
     """``docs`` with ``n_tokens``, ``posterior`` (of DOMAINS), ``rate`` and ``copies``.
 
@@ -228,6 +260,9 @@ def mix(
     empty text has no tokens and counts for nothing, but has a rate. Rows are independent,
     so repeated rows stay. ``keep_text=False`` leaves the text out. Columns of ``docs`` with
     the name of a result column are replaced; an empty table gives an empty result.
+
+    With ``once`` no document is drawn more than once, the shares of what is kept are the
+    targets, and a labelled document belongs to the domain of its label for certain.
     """
     model = train(docs, labels, text, doc_id)
     rows = packed(docs).withColumn("s", posteriors(model)(F.col(f"_row.`{text}`")))
@@ -235,8 +270,12 @@ def mix(
     place = F.when(F.col(f"_row.`{doc_id}`").isNull(), F.xxhash64(F.col(f"_row.`{text}`"), F.lit(seed))).otherwise(place)
     rows = rows.withColumn("_draw", F.shiftrightunsigned(place, 11).cast("double") / F.lit(float(1 << 53)))
     row = F.col("_row") if keep_text else F.col("_row").dropFields(f"`{text}`")
-    scored = stored(rows.select(row.alias("_row"), "_draw", "s.tokens", "s.p"), "posteriors")
-    rate, report = fit_rates(scored.select("tokens", "p"), targets, reach=reach)
+    p = F.col("s.p")
+    if once:
+        rows = rows.join(worst_labels(labels), F.col(f"_row.`{doc_id}`") == F.col("_labelled"), "left")
+        p = F.when(F.col("label").isNull(), p).otherwise(F.array(*[(F.col("label") == i).cast("double") for i in range(len(DOMAINS))]))
+    scored = stored(rows.select(row.alias("_row"), "_draw", "s.tokens", p.alias("p")), "posteriors")
+    rate, report = fit_rates(scored.select("tokens", "p"), targets, reach=reach, once=once)
     if not report["met"]:
         warnings.warn(f"no rates meet the targets; these come nearest: {report}", stacklevel=2)
     rated = scored.withColumn("_rate", rate)
