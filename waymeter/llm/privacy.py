@@ -142,6 +142,15 @@ def document_counts(docs: DataFrame, text: str) -> DataFrame:
     return partial.groupBy("term").agg(F.sum("n").alias("n"))
 
 
+def distinct_texts(docs: DataFrame, text: str, keys: DataFrame) -> DataFrame:
+    """The texts of ``docs``, each once; only those that ``keys`` (_key, rows) has several rows of are grouped."""
+    several = stored(keys.filter("rows > 1").select(F.col("_key").alias("_several")), "several")
+    own = docs.select(F.col(f"`{text}`").alias(text), F.xxhash64(F.col(f"`{text}`")).alias("_own"))
+    again = F.col("_own") == F.col("_several")
+    once = own.join(several, again, "left_anti").select(F.col(f"`{text}`"))
+    return once.unionAll(own.join(several, again, "left_semi").select(F.col(f"`{text}`")).distinct())
+
+
 @F.arrow_udf(T.ArrayType(TERM))
 def find_terms(column: pa.Array, spans: pa.Array) -> pa.Array:
     """The terms of a text outside its base spans, with their places in code points."""
@@ -187,19 +196,19 @@ def _disclosing(found: DataFrame, docs: DataFrame, text: str, generalise: float,
     """(_uid, extra): spans of terms to treat, for the documents that have some."""
     held = found.filter(F.size("_spans") > 0)
     pairs = held.select("_uid", "_key", F.explode(F.array_distinct(F.transform("_spans", lambda s: s["entity"]))).alias("entity"))
-    # by text first, so that copies count as one
-    protected = pairs.groupBy("entity", "_key").agg(F.count(F.lit(1)).alias("n")).groupBy("entity")
-    protected = protected.agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n_entity")).filter(F.col("texts") >= LEAST_TEXTS)
-    protected = stored(protected.select("entity", "n_entity"), "entities")
+    # every count is of different texts: one row for each text first, so that copies count as one
+    protected = pairs.select("entity", "_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    protected = stored(protected.filter(F.col("n_entity") >= LEAST_TEXTS), "entities")
     owners = pairs.select("_uid", "entity").join(protected.select("entity"), "entity").groupBy("_uid").agg(F.collect_set("entity").alias("entities"))
     owners = stored(owners.withColumnRenamed("_uid", "_owner"), "owners")
-    with_text = held.select("_uid", "_text", "_spans").join(owners, F.col("_uid") == F.col("_owner"))
-    terms = with_text.select("_uid", "entities", F.explode(find_terms("_text", "_spans")).alias("t")).select("_uid", "entities", "t.*")
+    with_text = held.select("_uid", "_key", "_text", "_spans").join(owners, F.col("_uid") == F.col("_owner"))
+    terms = with_text.select("_uid", "_key", "entities", F.explode(find_terms("_text", "_spans")).alias("t")).select("_uid", "_key", "entities", "t.*")
     terms = stored(terms, "terms")
-    together = terms.select(F.explode("entities").alias("entity"), "term").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
+    together = terms.select(F.explode("entities").alias("entity"), "term", "_key").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
     together = stored(together.filter(F.col("n_both") >= LEAST_TOGETHER), "together")
-    counts = document_counts(docs, text)
-    n_docs = F.lit(found.count())
+    keys = found.groupBy("_key").agg(F.count(F.lit(1)).alias("rows"))
+    counts = document_counts(distinct_texts(docs, text, keys), text)
+    n_docs = F.lit(keys.count())
     rated = together.join(counts, "term").join(protected, "entity")
     gain = F.log2(n_docs * F.col("n_both") / (F.col("n_entity") * F.col("n")))
     share = gain / F.nullif(F.log2(n_docs / F.col("n_entity")), F.lit(0.0))
@@ -219,7 +228,7 @@ def sanitise(
 
     Spans come by start, then in the order of KINDS. Base spans always stay; terms are added
     where they disclose an entity of their own document. An entity needs LEAST_TEXTS
-    different texts, so copies of one text are no evidence. A null text has no spans and
+    different texts, and all counts are of different texts, so copies of one text are no evidence. A null text has no spans and
     stays null. Rows are numbered when they are stored, so repeated rows are treated alike.
     ``keep_text=False`` leaves text and ``sanitised`` out. Columns of ``docs`` with the name
     of a result column are replaced.
