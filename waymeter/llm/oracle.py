@@ -132,10 +132,32 @@ g AS (SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP13 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '{_TERM}') AS ts FROM documents),
+i AS (
+  SELECT row_number() OVER () AS q, item_id, regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '{_TERM}') AS ts FROM benchmark),
+g AS (SELECT count(*) FILTER (len(ts) > 0) AS nd, sum(len(ts))::BIGINT AS nt FROM d),
+f AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM f, g GROUP BY term, nd),
+v AS (
+  SELECT r, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(ts) * nd) // nt))) AS v
+  FROM f JOIN d USING (r) JOIN w USING (term), g),
+a AS (SELECT q, item_id, term, count(*) AS times FROM (SELECT q, item_id, unnest(ts) AS term FROM i) GROUP BY ALL),
+s AS (SELECT q, item_id, r, sum(times * v)::BIGINT AS score FROM a JOIN v USING (term) GROUP BY ALL),
+k AS (
+  SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM s JOIN d USING (r) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
 ORACLE: dict[str, str] = {
     "op4_url_filters": OP4,
     "op5_quality_rules": OP5,
     "op6_warc": OP6,
     "op8_minhash_dedup": OP8,
     "op10_exact_dedup": OP10,
+    "op13_ranked_search": OP13,
 }
