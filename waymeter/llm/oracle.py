@@ -132,6 +132,30 @@ g AS (SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
+# the cyclic redundancy check bit by bit, of the digits of a number
+_CRC = "list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split_regex(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda s, x: list_reduce(list_prepend(xor(s, x), range(8)), lambda v, i: xor(v >> 1, (v & 1) * 3988292384)))"
+
+OP11 = f"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS txt,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list({{'role': role, 'txt': txt}} ORDER BY pos) AS ts FROM t GROUP BY c),
+h AS (SELECT c, ts, (xor({_CRC}, 4294967295) % 9)::BIGINT AS h FROM o),
+r AS (SELECT h.c, list_concat(coalesce(o.ts[1:h.h], []), h.ts[h.h + 1:]) AS ts FROM h LEFT JOIN o ON o.c = h.c - h.c % 5),
+p AS (SELECT c, d, len(ts) = d AS is_end, ts[1:d] AS k FROM (SELECT c, ts, unnest(range(0, len(ts) + 1)) AS d FROM r)),
+n AS (
+  SELECT k, d, min(c) AS c, count(*) AS n, (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE strlen(k[d].txt) END AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (is_end), '')) AS ends
+  FROM p GROUP BY k, d),
+ch AS (SELECT k[1:d - 1] AS k, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch USING (k, d)),
+u AS (SELECT k[1:e] AS k, e AS d, saved, n_children FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM f)),
+s AS (SELECT k, d, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM u GROUP BY ALL)
+SELECT f.c AS conv_id, f.d AS depth, q.c AS parent_conv_id, f.n AS n_convs, f.n_children, n_leaves, saved_tokens, f.ends AS ends_sha256
+FROM f JOIN s USING (k, d) LEFT JOIN n q ON q.d = f.d - 1 AND q.k = f.k[1:f.d - 1]
+"""
+
 _TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 OP13 = rf"""
@@ -159,5 +183,6 @@ ORACLE: dict[str, str] = {
     "op6_warc": OP6,
     "op8_minhash_dedup": OP8,
     "op10_exact_dedup": OP10,
+    "op11_prefix_trie": OP11,
     "op13_ranked_search": OP13,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waymeter.llm import exact, mixing, near, pieces, privacy, quality, ranking, secrets, tokens, urls, warc
+from waymeter.llm import exact, mixing, near, pieces, privacy, quality, ranking, secrets, tokens, trie, urls, warc
 from waymeter.llm.common import table
 
 
@@ -83,6 +83,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.find_copies(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ranking.search(docs, table(spark, sf_dir, "benchmark"), k=20)
@@ -99,5 +103,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_ranked_search": op13_ranked_search,
 }
