@@ -156,6 +156,27 @@ SELECT f.c AS conv_id, f.d AS depth, q.c AS parent_conv_id, f.n AS n_convs, f.n_
 FROM f JOIN s USING (k, d) LEFT JOIN n q ON q.d = f.d - 1 AND q.k = f.k[1:f.d - 1]
 """
 
+OP12 = """
+WITH d AS (
+  SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST) AS r, doc_id, hex(encode(coalesce(text, ''))) AS x,
+    strlen(coalesce(text, '')) AS n
+  FROM documents),
+s AS (
+  SELECT r, p, x[2 * p - 1:2 * p + 198] AS g FROM (SELECT r, x, unnest(range(1, n - 98)) AS p FROM d WHERE n >= 100)),
+m AS (SELECT r, p FROM (SELECT r, p, row_number() OVER (PARTITION BY g ORDER BY r, p) AS k FROM s) WHERE k > 1),
+c AS (SELECT r, p, coalesce(p - lag(p) OVER (PARTITION BY r ORDER BY p) > 100, true) AS head FROM m),
+i AS (SELECT r, p, sum(head::INT) OVER (PARTITION BY r ORDER BY p) AS run FROM c),
+e AS (SELECT r, run, min(p) AS a, max(p) + 100 AS b FROM i GROUP BY r, run),
+k AS (
+  SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 1) AS since, lead(a) OVER (PARTITION BY r ORDER BY a) AS next FROM e),
+o AS (
+  SELECT r, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans,
+    string_agg(x[2 * since - 1:2 * a - 2] || CASE WHEN next IS NULL THEN x[2 * b - 1:] ELSE '' END, '' ORDER BY a) AS kept
+  FROM k JOIN d USING (r) GROUP BY r)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN o USING (r)
+"""
+
 _TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 OP13 = rf"""
@@ -184,5 +205,6 @@ ORACLE: dict[str, str] = {
     "op8_minhash_dedup": OP8,
     "op10_exact_dedup": OP10,
     "op11_prefix_trie": OP11,
+    "op12_suffix_dedup": OP12,
     "op13_ranked_search": OP13,
 }

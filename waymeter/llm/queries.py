@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waymeter.llm import exact, mixing, near, pieces, privacy, quality, ranking, secrets, tokens, trie, urls, warc
+from waymeter.llm import exact, mixing, near, pieces, privacy, quality, ranking, secrets, suffixes, tokens, trie, urls, warc
 from waymeter.llm.common import table
 
 
@@ -87,6 +87,12 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffixes.remove_repeats(docs, length=100, keep_text=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ranking.search(docs, table(spark, sf_dir, "benchmark"), k=20)
@@ -104,5 +110,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_ranked_search": op13_ranked_search,
 }
