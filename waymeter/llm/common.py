@@ -34,6 +34,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps: Spark removes them once their plans are collected."""
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int):
     """Arrow batches of at most so many rows for the jobs run inside: bounds what a Python worker holds."""

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from waymeter.llm.common import CHUNK_BYTES, mix, packed, row_chunks, stored, texts, unpacked
+from waymeter.llm.common import CHUNK_BYTES, mix, packed, release, row_chunks, stored, texts, unpacked
 from waymeter.llm.exact import BLOCK_ENTRIES, FILTER, FILTER_ENTRIES, _filter_batch, merged_filter, repeated_prints
 
 #: Bits of a gram's hash that the filters keep.
@@ -425,6 +425,7 @@ def remove_repeats(
     every = long.select("_uid", anchors_udf(length)("_text").alias("a")).select("_uid", F.explode(F.arrays_zip("a.pos", "a.gram", "a.context")).alias("a"))
     every = every.select("_uid", "a.pos", "a.gram", "a.context").join(repeated, "gram", "left_semi")
     every = stored(every.join(ranks, "_uid"), "anchors")
+    release(spark)
 
     # one class for each context; the first occurrence keeps its strings for now
     classes = every.groupBy("gram", "context").agg(F.min(F.struct("rank", "pos", "_uid")).alias("first"))
@@ -439,20 +440,20 @@ def remove_repeats(
         (F.col("pos") - F.greatest(F.lit(0), F.lit(length) - F.col("_n") + F.col("pos")) + length).cast("bigint").alias("high"),
     ]
     lost = stored(later.select("_uid", *span), "later")
-
-    # texts are moved once: those that may lose something, with the contexts that are asked for
-    wanted = lost.select("_uid").distinct().join(asked, "_uid", "full")
-    touched = rows.select("_uid", "_text").join(wanted, "_uid").withColumn("asked", F.coalesce("asked", F.array()))
-    touched = touched.withColumn("contexts", contexts_udf(length)("_text", F.col("asked.pos")))
-    touched = stored(touched, "texts")
-    contexts = touched.select("_uid", F.explode(F.arrays_zip("asked", "contexts")).alias("c")).select("_uid", "c.asked.*", "c.contexts.*")
+    release(spark)
+    contexts = rows.select("_uid", "_text").join(asked, "_uid").withColumn("contexts", contexts_udf(length)("_text", F.col("asked.pos")))
+    contexts = contexts.select("_uid", F.explode(F.arrays_zip("asked", "contexts")).alias("c")).select("_uid", "c.asked.*", "c.contexts.*")
+    contexts = stored(contexts, "contexts")
+    release(spark)
     sorted_ = contexts.filter(F.col("classes") <= most_classes).repartition("gram").sortWithinPartitions("gram")
     between = sorted_.select("gram", "rank", "pos", "left", "_uid", "bytes").mapInArrow(sorter(length), "_uid bigint, low bigint, high bigint")
     lost = lost.unionByName(between).unionByName(_lost_in_large(contexts.filter(F.col("classes") > most_classes), length))
 
-    pieces = lost.groupBy("_uid").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
-    pieces = touched.select("_uid", "_text").join(pieces, "_uid").select(F.col("_uid").alias("_of"), removal_udf(keep_text)("_text", "lows", "highs").alias("r"))
+    pieces = stored(lost.groupBy("_uid").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs")), "pieces")
+    release(spark)
+    pieces = rows.select("_uid", "_text").join(pieces, "_uid").select(F.col("_uid").alias("_of"), removal_udf(keep_text)("_text", "lows", "highs").alias("r"))
     pieces = stored(pieces, "removed")
+    release(spark)
     joined = rows.drop("_id", "_tie", *([] if keep_text else ["_text"])).join(pieces, F.col("_uid") == F.col("_of"), "left")
     found = {
         "n_bytes": F.col("_n"),
