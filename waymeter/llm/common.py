@@ -7,6 +7,7 @@ them, and the planner sees the true size of the table when it picks a join.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -36,7 +37,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of finished steps: Spark removes them once their plans are collected."""
-    spark.sparkContext._jvm.System.gc()
+    gc.collect()
+    for _ in range(2):
+        # what the first round finds unreachable may have held on to more
+        spark.sparkContext._jvm.System.gc()
 
 
 @contextmanager

@@ -433,13 +433,14 @@ def remove_repeats(
     many = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
     asked = classes.join(many, "gram").select("gram", "classes", "first.*")
     asked = asked.groupBy("_uid").agg(F.collect_list(F.struct("pos", "gram", "rank", "classes")).alias("asked"))
-    later = every.join(classes, ["gram", "context"]).filter("rank != first.rank OR pos != first.pos")
     reach = length - gram_of(length)
     span = [
         (F.col("pos") - F.least("pos", F.lit(reach))).cast("bigint").alias("low"),
         (F.col("pos") - F.greatest(F.lit(0), F.lit(length) - F.col("_n") + F.col("pos")) + length).cast("bigint").alias("high"),
     ]
+    later = every.join(classes, ["gram", "context"]).filter("rank != first.rank OR pos != first.pos")
     lost = stored(later.select("_uid", *span), "later")
+    del later
     release(spark)
     contexts = rows.select("_uid", "_text").join(asked, "_uid").withColumn("contexts", contexts_udf(length)("_text", F.col("asked.pos")))
     contexts = contexts.select("_uid", F.explode(F.arrays_zip("asked", "contexts")).alias("c")).select("_uid", "c.asked.*", "c.contexts.*")
