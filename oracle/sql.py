@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from oracle.parts import BOOKING_METRICS, DIMS, GRANS, MEASURES, SNAPSHOT, booking_records, bucket, compose, day, facts_cte, passenger_activity
+import re
+
+from oracle.parts import BOOKING_METRICS, CTES, DIMS, GRANS, MEASURES, SNAPSHOT, booking_records, bucket, compose, day, facts_cte, passenger_activity
 
 FACT = "metric_name, bucket_start, bucket_granularity, service_type, service_tier, area_code, cohort_key, entity_type, entity_id, metric_value, numerator_value, denominator_value, sample_size, first_event_at, last_event_at, last_ingested_at, processing_lag_ms, last_updated"
 RECORD = f"metric_name, metric_unit, {DIMS}, ev AS event_time, proc AS processed_at, " + ", ".join(f"CAST({m} AS DECIMAL(20,6)) AS {m}" for m in MEASURES) + ", seq"
@@ -95,13 +97,20 @@ ORACLE: dict[str, str] = {
     "revenue_columns": compose("SELECT booking_id, fee + discount AS gsv, round(fee * (CAST(1 AS DOUBLE) / CAST(1.1 AS DOUBLE)), 4) AS revenue_net, greatest(0, fee + discount - fee) AS net_driver_income FROM o"),
     "metric_keys": on_facts(
         "SELECT concat_ws('|', metric_name, bucket_granularity, strftime(bucket_start, '%Y-%m-%dT%H:%M:%SZ'), service_type, service_tier, area_code, cohort_key, entity_type, entity_id) AS metric_key, metric_value FROM facts",
-        "records_b", ["DAY"],
     ),
     "booking_triggers": compose(
-        f"""SELECT booking_id, passenger_id, 'REQUESTED' AS kind, created_at AS event_time, {DIMS}, CAST(NULL AS DOUBLE) AS accept_seconds, CAST(NULL AS DOUBLE) AS board_seconds, CAST(NULL AS DOUBLE) AS lead_seconds, k*4 AS seq FROM o
-        UNION ALL SELECT booking_id, passenger_id, 'ACCEPTED', accepted_at, {DIMS}, (k%5+1)*60, NULL, NULL, k*4+1 FROM o WHERE outcome IN ('F','P')
-        UNION ALL SELECT booking_id, passenger_id, 'COMPLETED', completed_at, {DIMS}, NULL, (k%26+5)*60, (k%5+1+k%7+1+k%26+5)*60, k*4+3 FROM o WHERE outcome = 'F'
-        UNION ALL SELECT booking_id, passenger_id, 'CANCELED', canceled_at, {DIMS}, NULL, NULL, NULL, k*4+3 FROM o WHERE outcome = 'P'"""
+        " UNION ALL ".join(
+            f"SELECT booking_id, passenger_id, '{kind}' AS kind, {at} AS event_time, {DIMS}, CAST({fee} AS DOUBLE) AS platform_fee, CAST({discount} AS DOUBLE) AS discount_amount, "
+            f"CAST({accept} AS DOUBLE) AS accept_seconds, CAST({board} AS DOUBLE) AS board_seconds, CAST({lead} AS DOUBLE) AS lead_seconds, "
+            + ", ".join(f"CAST({p if kind == 'REQUESTED' else 'NULL'} AS DOUBLE) AS {p}" for p in ("pickup_lat", "pickup_lon", "dropoff_lat", "dropoff_lon"))
+            + f", k*4+{step} AS seq FROM o WHERE {where}"
+            for kind, at, fee, discount, accept, board, lead, step, where in (
+                ("REQUESTED", "created_at", "NULL", "NULL", "NULL", "NULL", "NULL", 0, "true"),
+                ("ACCEPTED", "accepted_at", "NULL", "NULL", "(k%5+1)*60", "NULL", "NULL", 1, "outcome IN ('F','P')"),
+                ("COMPLETED", "completed_at", "fee", "discount", "NULL", "(k%26+5)*60", "(k%5+1+k%7+1+k%26+5)*60", 3, "outcome = 'F'"),
+                ("CANCELED", "canceled_at", "NULL", "NULL", "NULL", "NULL", "NULL", 3, "outcome = 'P'"),
+            )
+        )
     ),
     "booking_records": compose(f"SELECT {RECORD} FROM records_b"),
     "booking_repeated_ends": compose(TALLY.format("repeated"), repeated=REPEATED),
@@ -130,13 +139,10 @@ ORACLE: dict[str, str] = {
     ),
     "enriched_locations": compose(f"SELECT id AS driver_id, seq, ts AS updated_at, avail AS availability, {DIMS}, lat, lon FROM located"),
     "sticky_dimensions": compose(
-        """SELECT metric_name, service_type, service_tier, area_code, CAST(sum(v) AS DECIMAL(20,6)) AS metric_value FROM (
-            SELECT 'online_driver' AS metric_name, st AS service_type, '' AS service_tier, ar AS area_code, 1 AS v FROM own WHERE avail IN ('AVAILABLE','BUSY','ONLINE') AND ch
-            UNION ALL SELECT 'busy_driver', st, '', ar, 1 FROM own WHERE avail = 'BUSY' AND ch) GROUP BY ALL""",
-        own="""SELECT *, (pminute IS NULL OR pminute <> minute OR pavail <> avail) AS ch,
-            coalesce(last_value(CASE WHEN seq%3 = 0 THEN 'S' || CAST(seq%2 AS VARCHAR) END IGNORE NULLS) OVER w, '') AS st,
-            coalesce(last_value(CASE WHEN seq%5 = 0 THEN 'A' || CAST(seq%4 AS VARCHAR) END IGNORE NULLS) OVER w, '') AS ar
-            FROM loc WINDOW w AS (PARTITION BY id ORDER BY seq ROWS UNBOUNDED PRECEDING)""",
+        f"SELECT metric_name, {DIMS}, CAST(sum(metric_value) AS DECIMAL(20,6)) AS metric_value FROM driving GROUP BY ALL",
+        carried="""SELECT *, coalesce(last_value(CASE WHEN seq%3 = 0 THEN 'S' || CAST(seq%2 AS VARCHAR) END IGNORE NULLS) OVER w, '') AS service_type, '' AS service_tier,
+            coalesce(last_value(CASE WHEN seq%5 = 0 THEN 'A' || CAST(seq%4 AS VARCHAR) END IGNORE NULLS) OVER w, '') AS area_code
+            FROM ev WHERE event_type <> 'signup' WINDOW w AS (PARTITION BY id ORDER BY seq ROWS UNBOUNDED PRECEDING)""",
     ),
     "missing_fares": "SELECT o_orderkey AS booking_id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
     "fact_metric_bucket": on_facts(f"SELECT {FACT} FROM facts"),
@@ -145,7 +151,7 @@ ORACLE: dict[str, str] = {
     "rejected_facts": on_facts(
         """SELECT CASE WHEN seq%4 = 1 THEN 'no_such_metric' ELSE metric_name END AS metric_name,
         CASE WHEN seq%4 = 1 OR seq%4 = 2 OR (seq%4 = 3 AND metric_value > 0) THEN 'rejected' ELSE 'kept' END AS verdict, count(*) AS facts FROM facts GROUP BY ALL""",
-        "records_dp", ["DAY"],
+        grans=["DAY"],
     ),
     "catalog_coverage": on_facts(
         "SELECT c.metric_name, c.subject_area, c.default_unit, c.is_additive, true AS valid, count(f.metric_name) AS facts FROM catalog c LEFT JOIN facts f ON f.metric_name = c.metric_name GROUP BY ALL",
@@ -168,13 +174,14 @@ ORACLE: dict[str, str] = {
         "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY driver_id ORDER BY event_time DESC) AS rn FROM timeseries) WHERE rn = 1"
     ),
     "vw_booking_route_paths": compose(
-        """SELECT booking_id, segment_type, count(*) AS points, arg_min(latitude, sequence_no) AS first_lat, arg_max(longitude, sequence_no) AS last_lng,
+        """SELECT booking_id, segment_type, count(*) AS points,
+        string_agg(concat_ws(' ', sequence_no, latitude, longitude, strftime(event_time, '%Y-%m-%d %H:%M:%S')), ';' ORDER BY sequence_no) AS path,
         min(event_time) AS started_at, max(event_time) AS ended_at, max(received_at) AS last_received_at FROM segments GROUP BY booking_id, segment_type"""
     ),
-    "vw_data_freshness": on_facts(freshness(), "records_dp", ["MONTH"]),
+    "vw_data_freshness": on_facts(freshness(), grans=["MONTH"]),
     "audit_sla": on_facts(
         f"SELECT source_name, ingestion_lag_seconds, processing_lag_seconds, CASE WHEN ingestion_lag_seconds > 5 THEN 'LAGGING' ELSE 'OK' END AS status FROM ({freshness()})",
-        "records_dp", ["MONTH"],
+        grans=["MONTH"],
     ),
     "dashboard_operations_realtime": on_facts(
         f"""SELECT metric_name, {DIMS}, metric_value, numerator_value, denominator_value, metric_unit, event_time, last_updated FROM snapshot
@@ -192,7 +199,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT f.metric_name, {DIMS}, round(sum({shown(digits=None)}), 6), CAST(CAST(bucket_start AS DATE) AS TIMESTAMP) FROM facts f JOIN catalog c ON c.metric_name = f.metric_name
         WHERE bucket_granularity = 'DAY' AND f.metric_name IN ('new_driver','active_driver','retention_driver','churn_driver','productivity')
         AND bucket_start >= CAST(CAST((SELECT max(ts) FROM events) AS DATE) AS TIMESTAMP) - INTERVAL 90 DAY GROUP BY f.metric_name, {DIMS}, CAST(bucket_start AS DATE)""",
-        "records_d", ["DAY", "MONTH"],
+        grans=["DAY", "MONTH"],
     ),
     "dashboard_passenger_analytics": on_facts(
         """SELECT CAST(bucket_start AS DATE) AS date, metric_name, cohort_key, CAST(sum(metric_value) AS DOUBLE) AS metric_value, sum(numerator_value) AS numerator_value, sum(denominator_value) AS denominator_value FROM facts
@@ -206,7 +213,6 @@ ORACLE: dict[str, str] = {
     "latest_minutes": on_facts(
         f"SELECT bucket_start, metric_name, {DIMS}, metric_value FROM facts ORDER BY bucket_start DESC, metric_name, {DIMS} LIMIT 10", grans=["MINUTE"]
     ),
-    "fact_upsert": on_facts(f"SELECT {FACT} FROM facts WHERE metric_name IN ('online_driver','busy_driver','new_driver')", "records_d", ["DAY"]),
     "latest_metric_snapshot": on_facts("SELECT * FROM snapshot", grans=["MONTH"]),
     "driver_location_timeseries": compose("SELECT * FROM timeseries"),
     "latest_documents": compose(
@@ -236,7 +242,7 @@ ORACLE: dict[str, str] = {
         for name, gran, tail in (("audit_acceptance_rate", "HOUR", ""), ("audit_acceptance_top", "DAY", "ORDER BY diff DESC, bucket_start LIMIT 10"))
     },
     "audit_money": on_facts(
-        """SELECT *, CAST(abs(gsv - (revenue_vat + discount_order)) AS DECIMAL(30,6)) AS gsv_check, abs(gsv - (revenue_vat + discount_order)) <= 1 AND abs(CAST(revenue_net AS DOUBLE) - CAST(revenue_vat AS DOUBLE) / 1.1) <= 1 AS passed FROM (
+        """SELECT *, CAST(abs(gsv - (revenue_vat + discount_order)) AS DECIMAL(30,6)) AS gsv_check, round(abs(CAST(revenue_net AS DOUBLE) - CAST(revenue_vat AS DOUBLE) / 1.1), 3) AS net_check, abs(gsv - (revenue_vat + discount_order)) <= 1 AND abs(CAST(revenue_net AS DOUBLE) - CAST(revenue_vat AS DOUBLE) / 1.1) <= 1 AS passed FROM (
         SELECT bucket_start, """
         + ", ".join(f"CAST(sum(CASE WHEN metric_name = '{n}' THEN metric_value ELSE 0 END) AS DECIMAL(30,6)) AS {n}" for n in ("gsv", "revenue_vat", "revenue_net", "discount_order"))
         + " FROM facts GROUP BY bucket_start) WHERE gsv > 0",
@@ -247,7 +253,7 @@ ORACLE: dict[str, str] = {
     ),
     "audit_fares": """SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS booking_id, true AS discount_ok, l_linenumber <> 7 AS total_ok, true AS income_ok FROM lineitem""",
     "audit_recent_writes": on_facts(
-        "SELECT count(*) AS recent_rows, count(*) > 0 AS passed FROM facts WHERE last_updated >= (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE", "records_dp", ["MINUTE"]
+        "SELECT count(*) AS recent_rows, count(*) > 0 AS passed FROM facts WHERE last_updated >= (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE", grans=["MINUTE"]
     ),
     "audit_completeness": compose(
         f"""SELECT day, sum(copies) AS change_rows, count(*) AS distinct_changes, sum(req) AS requests, sum(req) AS reported,
@@ -255,9 +261,9 @@ ORACLE: dict[str, str] = {
         SELECT {day('created_at')} AS day, booking_id, seq, CASE WHEN seq%8 = 0 THEN 2 ELSE 1 END AS copies, CASE WHEN op = 'c' THEN 1 ELSE 0 END AS req FROM changes
         UNION ALL SELECT {day('created_at')}, booking_id, seq+1, 1, 0 FROM changes WHERE status = 'COMPLETED' AND k%5 = 0) GROUP BY day"""
     ),
-    "driver_earnings": "SELECT l_suppkey AS driver_id, CAST(sum(CAST(round(CAST(l_extendedprice AS DECIMAL(18,4)) * (1 - CAST(l_discount AS DECIMAL(6,4))), 0) AS BIGINT)) AS BIGINT) AS amount FROM lineitem WHERE l_suppkey%3 <> 0 GROUP BY 1",
+    "driver_earnings": "SELECT l_suppkey AS driver_id, CAST(sum(CAST(round(CAST(l_extendedprice AS DECIMAL(18,4)) * (1 - CAST(l_discount AS DECIMAL(6,4))), 0) AS BIGINT)) AS BIGINT) AS amount FROM lineitem GROUP BY 1",
 }
-_BALANCES = "SELECT s_suppkey AS driver_id, CAST(coalesce(amount, 0) AS BIGINT) AS balance FROM supplier LEFT JOIN earned ON earned.driver_id = s_suppkey"
+_BALANCES = "SELECT s_suppkey AS driver_id, CAST(coalesce(amount, 0) AS BIGINT) AS balance FROM (SELECT s_suppkey FROM supplier UNION ALL SELECT max(s_suppkey) + 1 FROM supplier) LEFT JOIN earned ON earned.driver_id = s_suppkey"
 ORACLE["driver_balances"] = compose(_BALANCES, earned=ORACLE["driver_earnings"])
 ORACLE["payout_ledger"] = compose(
     """SELECT driver_id, 'TRANSACTION' AS entry, 'PAYOUT' AS detail, balance AS amount, CAST(NULL AS BIGINT) AS previous_balance, CAST(NULL AS BIGINT) AS new_balance FROM balances WHERE balance > 0
@@ -299,3 +305,34 @@ ORACLE["mart_roundtrip"] = on_facts(f"SELECT {FACT} FROM facts", grans=["MONTH"]
 ORACLE["vw_metric_daily_stored"] = ORACLE["vw_metric_daily"]
 ORACLE["stream_driver_records"] = on_facts(f"SELECT {FACT} FROM facts WHERE metric_name NOT IN ('churn_driver', 'new_driver')", "records_d", ["DAY"])
 ORACLE["stream_passenger_records"] = on_facts(f"SELECT {FACT} FROM facts WHERE metric_name NOT IN ('churn_passenger', 'new_passenger')", "records_p", ["DAY"])
+ORACLE["stream_driver_churn"] = on_facts(f"SELECT {FACT} FROM facts WHERE metric_name = 'churn_driver'", "records_d", ["DAY"])
+ORACLE["stream_passenger_churn"] = on_facts(f"SELECT {FACT} FROM facts WHERE metric_name = 'churn_passenger'", "records_p", ["DAY"])
+ORACLE["stream_documents"] = ORACLE["latest_documents"]
+ORACLE["stream_daily_documents"] = ORACLE["daily_documents"]
+ORACLE["stream_snapshot"] = ORACLE["latest_metric_snapshot"]
+ORACLE["stream_replay"] = ORACLE["stream_booking_facts"]
+ORACLE["stream_late_booking"] = on_facts(
+    f"SELECT {FACT.replace(', last_updated', '')} FROM facts WHERE metric_name = 'request_order'", "records_b", ["MINUTE", "HOUR", "DAY"]
+)
+# trips in the order of their times; everybody churns in the end
+ORACLE["stream_chained"] = compose(
+    f"SELECT metric_name, {day('ev')} AS day, count(*) AS records FROM found GROUP BY ALL",
+    trips2=f"""SELECT passenger_id AS id, completed_at AS ts, completed_at AS ingest, k AS seq, {day('completed_at')} AS d,
+        lag(completed_at) OVER w AS pts, lag({day('completed_at')}) OVER w AS pday, lead(k) OVER w AS nseq, TIMESTAMP '9999-01-01' AS stream_end
+        FROM o WHERE outcome = 'F' WINDOW w AS (PARTITION BY passenger_id ORDER BY completed_at, k%250)""",
+    found=passenger_activity("trips2"),
+)
+ORACLE["mart_refresh"] = on_facts(f"SELECT {FACT} FROM facts", grans=["DAY", "WEEK", "MONTH"])
+# the same tables over every second position
+_CHAIN = ["located", "loc", "busy", "churn_scope", "driving"]
+_HALF = {f"{name}_half": re.sub(rf"\b({'|'.join(_CHAIN)})\b(?=\s|\.|$|,|\))", r"\1_half", CTES[name]) for name in _CHAIN}
+_HALF["located_half"] += " AND seq%2 = 0"
+_KEY = FACT.split(", ")[:9]
+ORACLE["fact_upsert"] = compose(
+    "SELECT " + ", ".join(f"coalesce(a.{c}, h.{c}) AS {c}" for c in _KEY)
+    + "".join(f", CASE WHEN a.metric_name IS NULL THEN h.{c} ELSE a.{c} END AS {c}" for c in [*MEASURES, "processing_lag_ms"])
+    + ", least(a.first_event_at, h.first_event_at) AS first_event_at"
+    + "".join(f", greatest(a.{c}, h.{c}) AS {c}" for c in ("last_event_at", "last_ingested_at", "last_updated"))
+    + " FROM facts a FULL JOIN facts_half h ON " + " AND ".join(f"a.{c} = h.{c}" for c in _KEY),
+    facts=facts_cte("records_d", ["DAY"]), facts_half=facts_cte("driving_half", ["DAY"]), **_HALF,
+)

@@ -98,6 +98,32 @@ def test_freshness_and_sla(spark, facts):
     assert rows["booking_route_segments"].ingestion_lag_seconds is None and rows["booking_route_segments"].status == "OK"
 
 
+def test_refresh_rewrites_only_touched_folders(spark):
+    import glob
+    import os
+
+    path, log = work_folder(spark, "mart"), marts.FactLog(spark, work_folder(spark, "log"))
+    totals = lambda rows: b.trigger_minutes(b.booking_triggers(bookings(spark, rows)))
+    days = [trip(f"b{d}", seq=10 * d, start=d * 24 * 60) for d in range(6)]
+    log.write(totals(sum(days, [])), "s", 0)
+    tables.write_table(buckets.roll_up(log.minutes("s")), path, "fact_metric_bucket")
+    files = lambda: {os.path.dirname(f): os.path.basename(f) for f in glob.glob(f"{path}/fact_metric_bucket/*/*/*.parquet")}
+    before = files()
+    log.write(totals(trip("late", seq=90, start=2 * 24 * 60 + 3)), "s", 1)
+    marts.refresh_facts(log, "s", 1, path)
+    after_ = files()
+    changed = {os.path.relpath(k, f"{path}/fact_metric_bucket") for k in after_ if before.get(k) != after_[k]}
+    assert before.keys() == after_.keys()
+    assert sorted(c.split("/")[0].split("=")[1] for c in changed) == ["DAY", "HOUR", "MINUTE", "MONTH", "WEEK"]
+    whole = buckets.roll_up(log.minutes("s")).select(*FACT)
+    stored = tables.read_table(spark, path, "fact_metric_bucket").select(*FACT)
+    assert sorted(whole.collect()) == sorted(stored.collect())
+    fresh = tables.write_table(marts.latest_snapshot(buckets.roll_up(log.minutes("s"), ("MONTH",))), path, "latest_metric_snapshot")
+    assert fresh is None
+    seen = spark.read.schema(tables.FRESHNESS_ROW).parquet(f"{path}/freshness/fact_metric_bucket").agg(F.max("last_event_time")).first()[0]
+    assert seen == whole.agg(F.max("last_event_at")).first()[0]
+
+
 def test_route_paths_are_in_order(spark):
     rows = [("b", "PATH", n, 1.0 + n, 2.0, after(n), after(n)) for n in (3, 1, 2)]
     df = spark.createDataFrame(rows, "booking_id string, segment_type string, sequence_no int, latitude double, longitude double, event_time timestamp_ntz, received_at timestamp_ntz")

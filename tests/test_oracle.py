@@ -22,6 +22,7 @@ QUICK = [
     "audit_acceptance_top", "audit_money", "audit_fares", "audit_completeness", "active_shifted",
     "retention_churn_rates", "passenger_cohorts", "supply_demand_map", "stream_registrations", "stream_booking_facts",
     "stream_locations", "stream_driver_records", "stream_passenger_records", "mart_roundtrip", "vw_metric_daily_stored",
+    "stream_driver_churn", "stream_passenger_churn", "stream_documents", "stream_snapshot", "stream_late_booking", "stream_chained",
 ]
 from oracle.sql import ORACLE  # noqa: E402
 from waymeter.registry import QUERIES  # noqa: E402

@@ -61,7 +61,7 @@ def _seconds(start: str, end: str) -> str:
     return f"CASE WHEN {end} >= {start} THEN {span} WHEN {span} >= 0 THEN {span} END"
 
 
-def _life_triggers(lives: DataFrame) -> DataFrame:
+def _life_triggers(lives: DataFrame, kinds: tuple[str, ...] | None = None) -> DataFrame:
     timed = lives.selectExpr(
         "*",
         "coalesce(request.created_at, request.updated_at, request.ingest_ts) AS requested_at",
@@ -81,7 +81,7 @@ def _life_triggers(lives: DataFrame) -> DataFrame:
         f"{_seconds('started_at', 'completed_at')} AS board_seconds",
         f"{_seconds('created_last', 'completed_at')} AS lead_seconds",
     )
-    triggers = [
+    made = [
         _trigger("request", "REQUESTED", "requested_at", "request IS NOT NULL", **{p: f"request.{p}" for p in POINTS}),
         _trigger("accept", "ACCEPTED", "accepted_at", "accept IS NOT NULL", accept_seconds="accept_seconds"),
         _trigger(
@@ -98,6 +98,7 @@ def _life_triggers(lives: DataFrame) -> DataFrame:
         ),
         _trigger("ending", "CANCELED", "canceled_at", "ending.cancels"),
     ]
+    triggers = [t for t in made if kinds is None or any(f"'kind', '{kind}'" in t for kind in kinds)]
     return timed.selectExpr("booking_id", f"inline(array({', '.join(triggers)}))").filter("kind IS NOT NULL")
 
 
@@ -106,9 +107,12 @@ def booking_triggers(
     dedupe_terminal: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
     keys: DataFrame | None = None,
+    kinds: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Triggers of every booking life, one shuffle on booking_id for ordinary keys.
 
+    With ``kinds`` only triggers of these kinds, so that columns no one asks for are never read.
+
     ``dedupe_terminal`` ignores all rows of a booking after its first end, where the
     default counts a repeated end again. ``keys`` may give (booking_id, seq) from a
     cheaper scan than ``bookings`` for finding heavy keys.
@@ -126,7 +130,7 @@ def booking_triggers(
         rows,
         "booking_id",
         "seq",
-        lambda part, chunk: _life_triggers(_lives(part, chunk, dedupe_terminal)),
+        lambda part, chunk: _life_triggers(_lives(part, chunk, dedupe_terminal), kinds),
         rows_per_task,
         keys,
     )

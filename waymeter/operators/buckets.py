@@ -62,20 +62,29 @@ def minute_totals(records: DataFrame, level: str = "MINUTE") -> DataFrame:
     return records.groupBy(*keys, minute).agg(*_totals("event_time", "event_time", "processed_at", lag))
 
 
-def roll_up(minutes: DataFrame, granularities: tuple[str, ...] = timing.GRANULARITIES) -> DataFrame:
+def roll_up(minutes: DataFrame, granularities: tuple[str, ...] = timing.GRANULARITIES, folders: DataFrame | None = None) -> DataFrame:
     """Facts of the given granularities, all five by default, from minute totals.
 
     Every measure is a sum, minimum or maximum, so coarse buckets are exact from
-    minutes, and the five-fold fan-out touches minute rows in place of records.
+    minutes, and the five-fold fan-out touches minute rows in place of records. With ``folders``
+    (see :func:`touched_folders`) only buckets of these are made.
     """
     keys = ["metric_name", "metric_unit", *[c for c in SCOPE if c in minutes.columns]]
     wide = expand_granularities(minutes, "bucket_start", granularities=granularities)
+    if folders is not None:
+        wide = wide.withColumn("bucket_date", F.col("bucket_start").cast("date")).join(folders, ["bucket_granularity", "bucket_date"], "left_semi")
     totals = wide.groupBy(*keys, "bucket_granularity", "bucket_start").agg(
         *_totals("first_event_at", "last_event_at", "last_ingested_at", "processing_lag_ms")
     )
     return facts_of(totals)
 
 
+def touched_folders(minutes: DataFrame, granularities: tuple[str, ...] = timing.GRANULARITIES) -> DataFrame:
+    """Granularity and date of every bucket that these minutes add to."""
+    wide = expand_granularities(minutes.select("bucket_start"), "bucket_start", granularities=granularities)
+    return wide.select("bucket_granularity", F.col("bucket_start").cast("date").alias("bucket_date")).distinct()
+
+
 def facts_of(totals: DataFrame) -> DataFrame:
     """Totals in the shape of the fact table, plus ``metric_unit`` and the last ``seq``."""
     return with_scope(totals).select(

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from waymeter.functions import fields, timing
+from waymeter.operators import buckets
 from waymeter.operators.keyed import latest, union_all
 from waymeter.schema import COORDINATE, DIMENSIONS, FACT, FACT_KEY, LOCATION, MEASURES, ROUTE, SNAPSHOT, SNAPSHOT_KEY
+from waymeter.sources import marts as tables
+from waymeter.sources.versions import Folder, Manifests
 
 
 def fact_table(facts: DataFrame) -> DataFrame:
@@ -86,9 +89,9 @@ def daily_documents(enriched: DataFrame, prefix: str = "driver_locations_timeser
     )
 
 
-def append_daily_documents(enriched: DataFrame, path: str) -> None:
-    """Append documents to one folder per UTC day."""
-    daily_documents(enriched).drop("index_name").write.partitionBy("event_day").mode("append").json(path)
+def append_daily_documents(enriched: DataFrame, path: str, batch_id: int) -> None:
+    """Documents of one batch to a folder of their own, below it one folder per UTC day; a replay overwrites them."""
+    daily_documents(enriched).drop("index_name").write.partitionBy("event_day").mode("overwrite").json(f"{path}/batch_id={batch_id}")
 
 
 def upsert(current: DataFrame, incoming: DataFrame, key: str, do_update: bool = False) -> DataFrame:
@@ -121,8 +124,9 @@ class FactLog:
 
     Every micro-batch writes its minute totals to a folder of its own, so a replayed
     batch overwrites itself and late rows simply add to their bucket. Reading sums the
-    deltas. ``compact`` folds old deltas into one base; readers use the highest complete
-    base and the deltas beyond it.
+    deltas. After every ``compact_every`` batches their deltas are folded into a new base, which
+    a manifest swaps in at once: readers take the base it names and the deltas beyond it. Deltas
+    and bases of which the last two manifests need nothing go, so the folders stay few.
     """
 
     COLUMNS = (
@@ -132,55 +136,85 @@ class FactLog:
         "last_event_at timestamp_ntz, last_ingested_at timestamp_ntz, processing_lag_ms int, seq bigint"
     )
 
-    def __init__(self, spark, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark, path: str, compact_every: int = 50):
+        self.spark, self.path, self.compact_every = spark, path.rstrip("/"), compact_every
+
+    def _manifests(self, source: str) -> Manifests:
+        return Manifests(Folder(self.spark, f"{self.path}/{source}"), keep=2)
 
     def write(self, minutes: DataFrame, source: str, batch_id: int) -> None:
-        """Store one micro-batch of minute totals."""
+        """Store one micro-batch of minute totals, and compact when enough are waiting."""
         shaped = minutes.to(self.spark.createDataFrame([], self.COLUMNS).schema)
-        shaped.write.mode("overwrite").parquet(f"{self.path}/delta/source={source}/batch_id={batch_id}")
-
-    def _folders(self, below: str) -> list[str]:
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{below}")
-        system = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not system.exists(root):
-            return []
-        return [
-            s.getPath().getName()
-            for s in system.listStatus(root)
-            if s.isDirectory() and system.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
-        ]
-
-    def _bases(self, source: str) -> list[int]:
-        return sorted(int(name.split("=")[1]) for name in self._folders(f"base/source={source}"))
+        shaped.write.mode("overwrite").parquet(f"{self.path}/{source}/delta/batch_id={batch_id}")
+        if (batch_id + 1) % self.compact_every == 0:
+            self.compact(source)
 
     def _deltas(self, source: str, beyond: int) -> list[int]:
-        found = [int(name.split("=")[1]) for name in self._folders(f"delta/source={source}")]
-        return sorted(n for n in found if n > beyond)
+        """Complete deltas that no base has taken in."""
+        found = Folder(self.spark, f"{self.path}/{source}").matches("delta/batch_id=*/_SUCCESS")
+        return sorted(n for n in (int(name.split("=")[1]) for name in found) if n > beyond)
+
+    def _stored(self, source: str) -> tuple[dict, list[int]]:
+        manifest = self._manifests(source).load()
+        return manifest, self._deltas(source, manifest.get("upto", -1))
+
+    def _read(self, source: str, manifest: dict, deltas: list[int]) -> DataFrame:
+        paths = [f"{self.path}/{source}/{manifest['base']}"] if manifest else []
+        paths += [f"{self.path}/{source}/delta/batch_id={n}" for n in deltas]
+        return self.spark.read.schema(self.COLUMNS).parquet(*paths) if paths else self.spark.createDataFrame([], self.COLUMNS)
 
     def minutes(self, source: str) -> DataFrame:
         """Minute totals of one source; a minute may come in several rows."""
-        bases = self._bases(source)
-        beyond = bases[-1] if bases else -1
-        paths = [f"{self.path}/base/source={source}/upto={beyond}"] if bases else []
-        paths += [f"{self.path}/delta/source={source}/batch_id={n}" for n in self._deltas(source, beyond)]
-        if not paths:
-            return self.spark.createDataFrame([], self.COLUMNS)
-        return self.spark.read.schema(self.COLUMNS).parquet(*paths)
+        return self._read(source, *self._stored(source))
 
     def compact(self, source: str) -> None:
         """Fold all complete deltas of a source into a new base."""
-        bases = self._bases(source)
-        deltas = self._deltas(source, bases[-1] if bases else -1)
-        if deltas:
-            merged = merge_minutes(self.minutes(source)).to(self.spark.createDataFrame([], self.COLUMNS).schema)
-            merged.write.mode("overwrite").parquet(f"{self.path}/base/source={source}/upto={deltas[-1]}")
+        manifest, deltas = self._stored(source)
+        if not deltas:
+            return
+        merged = merge_minutes(self._read(source, manifest, deltas)).to(self.spark.createDataFrame([], self.COLUMNS).schema)
+        base = f"base/upto={deltas[-1]}"
+        merged.write.mode("overwrite").parquet(f"{self.path}/{source}/{base}")
+        kept = self._manifests(source).put(deltas[-1], {"base": base, "upto": deltas[-1]})
+        folder = Folder(self.spark, f"{self.path}/{source}")
+        for name in folder.names("base"):
+            if f"base/{name}" not in [m["base"] for m in kept]:
+                folder.delete(f"base/{name}")
+        # who has just read the manifest before this one still finds its deltas
+        gone = kept[0]["upto"] if len(kept) > 1 else -1
+        for name in folder.names("delta"):
+            if int(name.split("=")[1]) <= gone:
+                folder.delete(f"delta/{name}")
+
+    def delta(self, source: str, batch_id: int) -> DataFrame:
+        """Minute totals of one micro-batch that no base has taken in yet."""
+        return self.spark.read.schema(self.COLUMNS).parquet(f"{self.path}/{source}/delta/batch_id={batch_id}")
 
     def all_minutes(self, sources: list[str]) -> DataFrame:
         return union_all([self.minutes(source) for source in sources])
 
 
+def refresh_facts(log: FactLog, source: str, batch_id: int, path: str, granularities: tuple[str, ...] = timing.GRANULARITIES) -> None:
+    """Roll up again, and overwrite, only the folders of the stored fact table that a batch adds to."""
+    folders = buckets.touched_folders(log.delta(source, batch_id), granularities)
+    tables.write_table(buckets.roll_up(log.minutes(source), granularities, folders), path, "fact_metric_bucket", refresh=True)
+
+
+def newer(columns: list[str], key: list[str]):
+    """Combine rows of a keyed table: of each key the row with the highest ``seq`` stays."""
+
+    def combine(current: DataFrame, rows: DataFrame) -> DataFrame:
+        both = current.unionByName(rows.select(*current.columns))
+        return latest(both, key, "seq", [c for c in current.columns if c not in key]).select(*columns)
+
+    return combine
+
+
+def add_totals(current: DataFrame, rows: DataFrame) -> DataFrame:
+    """Combine rows of a keyed table of bucket totals: measures add up."""
+    return merge_minutes(current.unionByName(rows.select(*current.columns))).to(current.schema)
+
+
 def merge_minutes(minutes: DataFrame) -> DataFrame:
     """Minute rows of one key summed into one."""
     return minutes.groupBy("metric_name", "metric_unit", *DIMENSIONS, "bucket_start").agg(

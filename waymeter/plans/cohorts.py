@@ -8,39 +8,49 @@ from waymeter.functions import timing
 from waymeter.schema import DIMENSIONS
 
 
-def daily_counts(facts: DataFrame, metric: str) -> DataFrame:
-    """One metric per reporting day and scope."""
+#: Days that activity moves forward: the base of retention and of churn.
+SHIFTS = {"prev": 1, "tminus3": 3}
+BASES = {"retention": "prev", "churn": "tminus3"}
+
+
+def daily_counts(facts: DataFrame, metrics: list[str]) -> DataFrame:
+    """Metrics per reporting day and scope."""
     return (
-        facts.filter((F.col("metric_name") == metric) & (F.col("bucket_granularity") == "DAY"))
-        .groupBy(timing.local_day(F.col("bucket_start")).alias("day"), *DIMENSIONS)
+        facts.filter(F.col("metric_name").isin(metrics) & (F.col("bucket_granularity") == "DAY"))
+        .groupBy("metric_name", timing.local_day(F.col("bucket_start")).alias("day"), *DIMENSIONS)
         .agg(F.sum("metric_value").alias("value"))
     )
 
 
-def shifted_active(facts: DataFrame, who: str, days: int) -> DataFrame:
-    """Active count of ``days`` days before, as the metric of each day.
+def shifted_active(facts: DataFrame, users: list[str]) -> DataFrame:
+    """Active counts of the day and of three days before, as metrics of each day.
 
     Days without activity after an active day show up too: the count moves forward.
     """
-    name = f"active_{who}_prev" if days == 1 else f"active_{who}_tminus{days}"
-    return daily_counts(facts, f"active_{who}").select(
-        F.lit(name).alias("metric_name"),
-        F.date_add("day", days).alias("day"),
-        *DIMENSIONS,
-        F.col("value").alias("metric_value"),
-    )
+    moved = [F.struct(F.concat("metric_name", F.lit(f"_{tag}")).alias("metric_name"), F.date_add("day", n).alias("day")) for tag, n in SHIFTS.items()]
+    counts = daily_counts(facts, [f"active_{who}" for who in users])
+    return counts.select(F.inline(F.array(*moved)), *DIMENSIONS, F.col("value").alias("metric_value"))
 
 
-def rate(facts: DataFrame, who: str, kind: str) -> DataFrame:
-    """Retention against t-1, or churn against t-3, per day and scope; null without a base."""
-    days = {"retention": 1, "churn": 3}[kind]
-    base = shifted_active(facts, who, days).select("day", *DIMENSIONS, F.col("metric_value").alias("denominator"))
-    hits = daily_counts(facts, f"{kind}_{who}").withColumnRenamed("value", "numerator")
-    # daily rows per scope are few: this join is over aggregates
-    joined = hits.join(base, ["day", *DIMENSIONS], "left")
+def rates(facts: DataFrame, users: list[str]) -> DataFrame:
+    """Retention against t-1 and churn against t-3, per day and scope; null without a base.
+
+    One pass: each daily count goes to the rates and days it is numerator or base of, and they are
+    summed where they meet.
+    """
+    roles = {}
+    for who in users:
+        for kind, tag in BASES.items():
+            name = f"{kind}_rate_{who}"
+            roles.setdefault(f"{kind}_{who}", []).append((name, 0, "value", "NULL"))
+            roles.setdefault(f"active_{who}", []).append((name, SHIFTS[tag], "NULL", "value"))
+    part = "named_struct('rate', '{}', 'on', date_add(day, {}), 'numerator', CAST({} AS DECIMAL(38,6)), 'denominator', CAST({} AS DECIMAL(38,6)))"
+    cases = " ".join(f"WHEN '{metric}' THEN array({', '.join(part.format(*role) for role in given)})" for metric, given in roles.items())
+    parts = daily_counts(facts, list(roles)).selectExpr(f"inline(CASE metric_name {cases} END)", *DIMENSIONS)
+    joined = parts.groupBy("rate", "on", *DIMENSIONS).agg(F.sum("numerator").alias("numerator"), F.sum("denominator").alias("denominator"))
     n, d = F.col("numerator").cast("double"), F.col("denominator").cast("double")
-    return joined.select(
-        F.lit(f"{kind}_rate_{who}").alias("metric_name"), "day", *DIMENSIONS,
+    return joined.filter("numerator IS NOT NULL").select(
+        F.col("rate").alias("metric_name"), F.col("on").alias("day"), *DIMENSIONS,
         F.col("numerator").cast("bigint").alias("numerator_value"),
         F.coalesce(F.col("denominator").cast("bigint"), F.lit(0)).alias("denominator_value"),
         F.round(F.when(d > 0, n / d), 6).alias("metric_value"),

@@ -147,7 +147,12 @@ def data_freshness(
         )
         for name, (frame, event, received) in sources.items()
     ]
-    return union_all(ends).select(
+    return with_lags(union_all(ends), as_of)
+
+
+def with_lags(ends: DataFrame, as_of: Column) -> DataFrame:
+    """Ingestion and processing lag, from the newest times of each table."""
+    return ends.select(
         "*",
         timing.rounded_seconds(F.col("last_ingested_at"), as_of).alias("ingestion_lag_seconds"),
         timing.rounded_seconds(F.col("last_event_time"), F.col("last_ingested_at")).alias("processing_lag_seconds"),

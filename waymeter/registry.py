@@ -8,13 +8,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import lru_cache
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from waymeter.functions import fields, metrics as m, money, points, timing
 from waymeter.operators import activity, bookings as b, buckets, drivers, marts
 from waymeter.operators.keyed import union_all
 from waymeter.plans import cohorts, quality, views
-from waymeter.schema import DIMENSIONS, FACT, MEASURES
+from waymeter.schema import DIMENSIONS, FACT, MEASURES, RECORD
 from waymeter.session import work_folder
 from waymeter.sources import cdc, marts as marts_io, testbed as bed
 from waymeter.sources.catalog import is_valid, metric_catalog
@@ -44,9 +45,8 @@ def triggers(spark, sf, dedupe_terminal=False) -> DataFrame:
     return b.booking_triggers(bed.bookings(spark, sf), dedupe_terminal, keys=bed.booking_keys(spark, sf))
 
 
-@lru_cache(maxsize=32)
-def minutes(spark, sf, parts=ALL, level="MINUTE") -> DataFrame:
-    """Minute totals of the chosen producers, or totals of a coarser level."""
+def _all_records(spark, sf, parts=ALL) -> list[DataFrame]:
+    """Metric records of the chosen producers."""
     records = []
     if "drivers" in parts:
         records += [
@@ -58,6 +58,15 @@ def minutes(spark, sf, parts=ALL, level="MINUTE") -> DataFrame:
             activity.passenger_activity_records(bed.passenger_activity(spark, sf)),
             activity.passenger_registrations(bed.passengers(spark, sf)),
         ]
+    if "bookings" in parts:
+        records.append(b.trigger_records(triggers(spark, sf)))
+    return records
+
+
+@lru_cache(maxsize=32)
+def minutes(spark, sf, parts=ALL, level="MINUTE") -> DataFrame:
+    """Minute totals of the chosen producers, or totals of a coarser level."""
+    records = _all_records(spark, sf, [part for part in parts if part != "bookings"])
     found = [buckets.minute_totals(union_all(records), level)] if records else []
     if "bookings" in parts:
         found.append(b.trigger_minutes(triggers(spark, sf), level))
@@ -81,7 +90,9 @@ def enriched(spark, sf) -> DataFrame:
 
 
 def routes(spark, sf) -> DataFrame:
-    return marts.route_segments(b.trigger_routes(triggers(spark, sf)))
+    # routes need neither money nor any trigger but the request
+    asked = b.booking_triggers(bed.bookings(spark, sf, money=False), keys=bed.booking_keys(spark, sf), kinds=("REQUESTED",))
+    return marts.route_segments(b.trigger_routes(asked))
 
 
 def events_end(spark, sf):
@@ -205,7 +216,7 @@ def revenue_columns(spark, sf):
 
 @query
 def metric_keys(spark, sf):
-    return facts(spark, sf, "DAY", parts=("bookings",)).select(m.metric_key().alias("metric_key"), "metric_value")
+    return facts(spark, sf).select(m.metric_key().alias("metric_key"), "metric_value")
 
 
 # ---- stateful producers ------------------------------------------------------------
@@ -213,8 +224,7 @@ def metric_keys(spark, sf):
 
 @query
 def booking_triggers(spark, sf):
-    kept = ["booking_id", "passenger_id", "kind", "event_time", *DIMENSIONS, "accept_seconds", "board_seconds", "lead_seconds", "seq"]
-    return triggers(spark, sf).select(*kept)
+    return triggers(spark, sf).select("booking_id", "passenger_id", "kind", "event_time", *DIMENSIONS, *b.TRIGGER_VALUES, "seq")
 
 
 def _shown(records: DataFrame) -> DataFrame:
@@ -312,8 +322,7 @@ def sticky_dimensions(spark, sf):
             "area_code": F.when(F.col("seq") % 5 == 0, F.concat(F.lit("A"), F.col("seq") % 4)),
         }
     )
-    rows = drivers.driver_records(own).filter("metric_name IN ('online_driver', 'busy_driver')")
-    return rows.groupBy("metric_name", *DIMENSIONS).agg(F.sum("metric_value").cast("decimal(20,6)").alias("metric_value"))
+    return drivers.driver_records(own).groupBy("metric_name", *DIMENSIONS).agg(F.sum("metric_value").cast("decimal(20,6)").alias("metric_value"))
 
 
 @query
@@ -326,8 +335,10 @@ def missing_fares(spark, sf):
 
 def _earnings(spark, sf) -> tuple[DataFrame, DataFrame]:
     people = bed.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("driver_id"))
+    # one more driver, who has earned nothing
+    people = people.unionByName(people.agg((F.max("driver_id") + 1).alias("driver_id")))
     net = F.expr("CAST(round(CAST(l_extendedprice AS DECIMAL(18,4)) * (1 - CAST(l_discount AS DECIMAL(6,4)))) AS BIGINT)")
-    paid = bed.table(spark, sf, "lineitem").filter("l_suppkey % 3 <> 0").select(F.col("l_suppkey").alias("driver_id"), net.alias("amount"))
+    paid = bed.table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("driver_id"), net.alias("amount"))
     return people, paid
 
 
@@ -368,7 +379,7 @@ def passenger_facts(spark, sf):
 @query
 def rejected_facts(spark, sf):
     """Facts that break a constraint: unknown metric, bad granularity, negative measure."""
-    rows = facts(spark, sf, "DAY", parts=("drivers", "passengers"))
+    rows = facts(spark, sf, "DAY")
     spoiled = rows.withColumns(
         {
             "metric_name": F.expr("CASE WHEN seq % 4 = 1 THEN 'no_such_metric' ELSE metric_name END"),
@@ -424,6 +435,19 @@ def vw_metric_daily_stored(spark, sf):
     return views.metric_view(stored_facts(spark, sf, "DAY", "MONTH"), metric_catalog(spark), "DAY", 6)
 
 
+@query
+def mart_refresh(spark, sf):
+    """The fact mart built from the records up to 1996, then refreshed where the later ones fall."""
+    path, log = work_folder(spark, "refreshed-mart"), marts.FactLog(spark, work_folder(spark, "refreshed-log"))
+    everything, levels = minutes(spark, sf), ("DAY", "WEEK", "MONTH")
+    later = F.col("bucket_start") >= F.lit("1997-01-01").cast("timestamp_ntz")
+    log.write(everything.filter(~later), "all", 0)
+    marts_io.write_table(buckets.roll_up(log.minutes("all"), levels), path, "fact_metric_bucket")
+    log.write(everything.filter(later), "all", 1)
+    marts.refresh_facts(log, "all", 1, path, levels)
+    return marts_io.read_table(spark, path, "fact_metric_bucket").select(*FACT)
+
+
 @query
 def vw_metric_weekly(spark, sf):
     return views.metric_view(facts(spark, sf, "WEEK"), metric_catalog(spark), "WEEK", 6)
@@ -460,14 +484,19 @@ def vw_booking_route_paths(spark, sf):
     paths = views.booking_route_paths(routes(spark, sf))
     return paths.select(
         "booking_id", "segment_type", F.size("path_points").cast("bigint").alias("points"),
-        F.col("path_points")[0]["lat"].alias("first_lat"), F.try_element_at("path_points", F.lit(-1))["lng"].alias("last_lng"),
+        F.array_join(F.transform("path_points", lambda p: F.concat_ws(" ", p["sequence_no"], p["lat"], p["lng"], F.date_format(p["event_time"], "yyyy-MM-dd HH:mm:ss"))), ";").alias("path"),
         "started_at", "ended_at", "last_received_at",
     )
 
 
 def _freshness(spark, sf) -> DataFrame:
-    rows, places = facts(spark, sf, "MONTH", parts=("drivers", "passengers")), marts.location_timeseries(enriched(spark, sf))
-    return views.data_freshness(rows, marts.latest_snapshot(rows), places, routes(spark, sf), events_end(spark, sf) + timing.minutes(1))
+    """Freshness of the mart tables as written: the newest times are observed on the way out."""
+    path = work_folder(spark, "fresh-mart")
+    marts_io.write_table(facts(spark, sf, "MONTH"), path, "fact_metric_bucket")
+    marts_io.write_table(marts.latest_snapshot(marts_io.read_table(spark, path, "fact_metric_bucket")), path, "latest_metric_snapshot")
+    marts_io.write_table(marts.location_timeseries(enriched(spark, sf)), path, "driver_location_timeseries")
+    marts_io.write_table(routes(spark, sf), path, "booking_route_segments")
+    return views.with_lags(marts_io.read_freshness(spark, path), events_end(spark, sf) + timing.minutes(1))
 
 
 @query
@@ -490,7 +519,7 @@ def dashboard_operations_hourly(spark, sf):
 
 @query
 def dashboard_driver_analytics(spark, sf):
-    rows = facts(spark, sf, "DAY", "MONTH", parts=("drivers",))
+    rows = facts(spark, sf, "DAY", "MONTH")
     return views.driver_analytics(marts.latest_snapshot(rows), rows, metric_catalog(spark), events_end(spark, sf))
 
 
@@ -518,7 +547,7 @@ def fact_upsert(spark, sf):
     everything = facts(spark, sf, "DAY", parts=("drivers",))
     early = bed.driver_locations(spark, sf).filter("seq % 2 = 0")
     half = buckets.bucket_facts(drivers.driver_records(early, bed.driver_profiles(spark, sf)), ("DAY",))
-    return marts.upsert_facts(half.select(*FACT), everything.select(*FACT)).filter("metric_name IN ('online_driver', 'busy_driver', 'new_driver')")
+    return marts.upsert_facts(half.select(*FACT), everything.select(*FACT))
 
 
 @query
@@ -533,22 +562,20 @@ def driver_location_timeseries(spark, sf):
 
 @query
 def latest_documents(spark, sf):
-    doc = F.col("document")
-    return marts.latest_documents(enriched(spark, sf)).select(
-        "driver_id",
-        *[F.get_json_object(doc, f"$.{n}").alias(n) for n in ("availability", "serviceType", "areaCode")],
-        F.get_json_object(doc, "$.location.lat").cast("double").alias("lat"),
-        F.get_json_object(doc, "$.@timestamp").alias("moment"),
-    )
+    return _shown_documents(marts.latest_documents(enriched(spark, sf)))
 
 
 @query
 def daily_documents(spark, sf):
     """Documents appended to one folder per UTC day, counted back per day and state."""
     folder = work_folder(spark, "documents")
-    marts.append_daily_documents(enriched(spark, sf), folder)
+    marts.append_daily_documents(enriched(spark, sf), folder, 0)
     back = spark.read.schema("driver_id string, seq bigint, document string, event_day string").json(folder)
-    return back.groupBy("event_day", F.get_json_object("document", "$.availability").alias("availability")).agg(
+    return _tallied_documents(back)
+
+
+def _tallied_documents(documents: DataFrame) -> DataFrame:
+    return documents.groupBy("event_day", F.get_json_object("document", "$.availability").alias("availability")).agg(
         F.count(F.lit(1)).alias("documents"), F.max("seq").alias("last_seq")
     )
 
@@ -589,7 +616,7 @@ def audit_acceptance_top(spark, sf):
 
 @query
 def audit_money(spark, sf):
-    return quality.money_check(facts(spark, sf, "HOUR", parts=("bookings",)), limit=None).drop("net_check")
+    return quality.money_check(facts(spark, sf, "HOUR", parts=("bookings",)), limit=None)
 
 
 @query
@@ -620,7 +647,7 @@ def audit_fares(spark, sf):
 
 @query
 def audit_recent_writes(spark, sf):
-    return quality.recent_writes(facts(spark, sf, "MINUTE", parts=("drivers", "passengers")), events_end(spark, sf))
+    return quality.recent_writes(facts(spark, sf, "MINUTE"), events_end(spark, sf))
 
 
 @query
@@ -634,13 +661,13 @@ def audit_completeness(spark, sf):
 @query
 def active_shifted(spark, sf):
     rows = facts(spark, sf, "DAY", parts=("drivers", "passengers"))
-    return union_all([cohorts.shifted_active(rows, who, days) for who in ("passenger", "driver") for days in (1, 3)])
+    return cohorts.shifted_active(rows, ["passenger", "driver"])
 
 
 @query
 def retention_churn_rates(spark, sf):
     rows = facts(spark, sf, "DAY", parts=("drivers", "passengers"))
-    return union_all([cohorts.rate(rows, who, kind) for who in ("passenger", "driver") for kind in ("retention", "churn")])
+    return cohorts.rates(rows, ["passenger", "driver"])
 
 
 @query
@@ -658,8 +685,8 @@ def supply_demand_map(spark, sf):
 # ---- streams -----------------------------------------------------------------------
 
 
-def _slices(spark, rows: DataFrame, name: str, parts: int = 3):
-    """Rows as a file stream that grows by one slice of ``seq`` at a time.
+def _slices(spark, rows: DataFrame, name: str, parts: int = 3, *more: DataFrame):
+    """Rows as a file stream that grows by one slice of ``seq`` at a time, and at last by what ``more`` has.
 
     Yields the stream after each slice was written. A run over what is there takes a slice as
     one micro-batch, however many files it has, so the order of files never matters.
@@ -669,8 +696,8 @@ def _slices(spark, rows: DataFrame, name: str, parts: int = 3):
     kept = spark.read.schema(rows.schema).parquet(f"{folder}/all")
     low, high = kept.agg(F.min("seq"), F.max("seq")).first()
     slice_of = F.floor((F.col("seq") - low) * parts / (high - low + 1)) if low is not None else F.lit(0)
-    for i in range(parts):
-        kept.filter(slice_of == i).write.mode("append").parquet(f"{folder}/feed")
+    for slice_ in [*[kept.filter(slice_of == i) for i in range(parts)], *more]:
+        slice_.write.mode("append").parquet(f"{folder}/feed")
         yield spark.readStream.schema(rows.schema).parquet(f"{folder}/feed")
 
 
@@ -698,11 +725,12 @@ def stream_booking_facts(spark, sf):
 @query
 def stream_registrations(spark, sf):
     log = work_folder(spark, "registrations")
-    people, cars = jobs.RecordJob(spark, log, "passengers"), jobs.RecordJob(spark, log, "drivers")
+    people = jobs.RegistrationJob(spark, log, "passengers", "passenger_id", "new_passenger", [])
+    cars = jobs.RegistrationJob(spark, log, "drivers", "driver_id", "new_driver", DIMENSIONS)
     for feed in _slices(spark, bed.passengers(spark, sf), "people-feed"):
-        _finish(people.start(jobs.live_registrations(feed, "passenger_id", "new_passenger"), NOW))
+        _finish(people.start(feed, NOW))
     for feed in _slices(spark, bed.driver_profiles(spark, sf), "cars-feed"):
-        _finish(cars.start(jobs.live_registrations(feed, "driver_id", "new_driver"), NOW))
+        _finish(cars.start(feed, NOW))
     return jobs.facts_of(cars.log, ["passengers", "drivers"]).select(*FACT)
 
 
@@ -712,26 +740,72 @@ def _parted(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return feed.filter("is_location").withColumnRenamed("event_time", "updated_at"), profiles
 
 
-@query
-def stream_locations(spark, sf):
+def _driver_feed(spark, sf, name: str):
+    """Positions and profile changes as one feed, so that arrival order decides who sees what."""
+    return _slices(spark, jobs._driver_rows(bed.driver_locations(spark, sf), bed.driver_profiles(spark, sf)), name)
+
+
+def _location_job(spark, sf) -> jobs.LocationJob:
     job = jobs.LocationJob(spark, work_folder(spark, "location-job"))
-    # positions and profiles come as one feed, so that arrival order decides who sees what
-    rows = jobs._driver_rows(bed.driver_locations(spark, sf), bed.driver_profiles(spark, sf))
-    for feed in _slices(spark, rows, "location-feed"):
+    for feed in _driver_feed(spark, sf, "location-feed"):
         _finish(job.start(*_parted(feed), NOW))
-    return job.timeseries().drop("heading_degree", "speed_kmh")
+    return job
+
+
+@query
+def stream_locations(spark, sf):
+    return _location_job(spark, sf).timeseries().drop("heading_degree", "speed_kmh")
+
+
+def _shown_documents(documents: DataFrame) -> DataFrame:
+    doc = F.col("document")
+    return documents.select(
+        "driver_id",
+        *[F.get_json_object(doc, f"$.{n}").alias(n) for n in ("availability", "serviceType", "areaCode")],
+        F.get_json_object(doc, "$.location.lat").cast("double").alias("lat"),
+        F.get_json_object(doc, "$.@timestamp").alias("moment"),
+    )
+
+
+@query
+def stream_documents(spark, sf):
+    """Latest documents as the live job keeps them, batch by batch."""
+    return _shown_documents(_location_job(spark, sf).latest_documents())
+
+
+@query
+def stream_daily_documents(spark, sf):
+    """Daily documents of the live job, counted back per day and state."""
+    return _tallied_documents(_location_job(spark, sf).daily_documents())
 
 
 @query
 def stream_driver_records(spark, sf):
     """Daily driver facts of the live job, churn left to its own query."""
     job = jobs.RecordJob(spark, work_folder(spark, "driver-job"), "drivers")
-    rows = jobs._driver_rows(bed.driver_locations(spark, sf), bed.driver_profiles(spark, sf))
-    for feed in _slices(spark, rows, "driver-feed"):
+    for feed in _driver_feed(spark, sf, "driver-feed"):
         _finish(job.start(jobs.live_driver_records(*_parted(feed)), NOW))
     return jobs.facts_of(job.log, ["drivers"], ("DAY",)).select(*FACT)
 
 
+@query
+def stream_driver_churn(spark, sf):
+    """Daily churn of drivers by event-time timers of the live job."""
+    job = jobs.RecordJob(spark, work_folder(spark, "driver-churn-job"), "churn")
+    for feed in _driver_feed(spark, sf, "driver-churn-feed"):
+        _finish(job.start(jobs.live_driver_churn(*_parted(feed)), NOW, event_time=True))
+    return jobs.facts_of(job.log, ["churn"], ("DAY",)).select(*FACT)
+
+
+@query
+def stream_passenger_churn(spark, sf):
+    """Daily churn of passengers by event-time timers of the live job."""
+    job = jobs.RecordJob(spark, work_folder(spark, "passenger-churn-job"), "churn")
+    for feed in _slices(spark, bed.passenger_activity(spark, sf), "churn-feed"):
+        _finish(job.start(jobs.live_passenger_churn(feed), NOW, event_time=True))
+    return jobs.facts_of(job.log, ["churn"], ("DAY",)).select(*FACT)
+
+
 @query
 def stream_passenger_records(spark, sf):
     """Daily passenger facts of the live job, churn left to its own query."""
@@ -739,3 +813,95 @@ def stream_passenger_records(spark, sf):
     for feed in _slices(spark, bed.passenger_activity(spark, sf), "activity-feed"):
         _finish(job.start(jobs.live_passenger_records(feed), NOW))
     return jobs.facts_of(job.log, ["passengers"], ("DAY",)).select(*FACT)
+
+
+@query
+def stream_chained(spark, sf):
+    """Passenger KPIs per day by one query from booking changes on: lives, then activity, then windows.
+
+    Changes arrive in the order of their times. Two last changes, forty and eighty days on, move the
+    watermark past every timer, and past the windows that these fall into.
+    """
+    # batch forgets nobody
+    job = jobs.PassengerDayJob(spark, work_folder(spark, "chained-job"), idle_days=36_500)
+    changes = _by_time(bed.bookings(spark, sf))
+    end = changes.agg(F.max("updated_at")).scalar()
+    for feed in _slices(spark, changes, "chained-feed", 3, *[_closing(spark, changes, end + timing.days(n)) for n in (40, 80)]):
+        _finish(job.start(feed, NOW))
+    return job.days()
+
+
+def _by_time(changes: DataFrame) -> DataFrame:
+    """Changes numbered by their times, to the microsecond and then by their number so far."""
+    return changes.withColumn("seq", jobs.micros("updated_at") + F.pmod("seq", F.lit(1_000)))
+
+
+def _closing(spark, changes: DataFrame, moment) -> DataFrame:
+    """One change of no booking at a moment."""
+    values = {"booking_id": F.lit("closing"), "op": F.lit("u"), "status": F.lit(""), "created_at": moment, "updated_at": moment, "ingest_ts": moment}
+    last = [values[f.name].alias(f.name) if f.name in values else F.lit(None).cast(f.dataType).alias(f.name) for f in changes.schema if f.name != "seq"]
+    return spark.range(1).select(*last).withColumn("seq", jobs.micros("updated_at")).select(*changes.columns)
+
+
+@query
+def stream_snapshot(spark, sf):
+    """The latest snapshot as a keyed table that each batch merges into; the second batch comes twice."""
+    job = jobs.SnapshotJob(spark, work_folder(spark, "snapshot-job"))
+    records = union_all([r.select(*RECORD) for r in _all_records(spark, sf)])
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        job.write_batch(batch, batch_id)
+        if batch_id == 1:
+            job.write_batch(batch, batch_id)
+
+    for feed in _slices(spark, records, "record-feed"):
+        _finish(jobs.start(feed, write_batch, f"{job.path}/checkpoint", NOW))
+    return job.snapshot()
+
+
+@query
+def stream_replay(spark, sf):
+    """Daily booking facts of a job that dies twice after its state was committed and before its sink was."""
+    job = jobs.BookingJob(spark, work_folder(spark, "replay-job"))
+    for number, feed in enumerate(_slices(spark, stored_changes(spark, sf, "booking"), "replay-feed")):
+        if number < 2:
+            _die_after_state(job, cdc.bookings(feed))
+        _finish(job.start(cdc.bookings(feed), NOW))
+    return jobs.facts_of(job.log, ["bookings"], ("DAY",)).select(*FACT)
+
+
+class Died(RuntimeError):
+    pass
+
+
+def _die_after_state(job: jobs.BookingJob, bookings: DataFrame) -> None:
+    def write_half(batch: DataFrame, batch_id: int) -> None:
+        # all of the state is computed and committed with this; the facts are never written
+        batch.write.mode("overwrite").parquet(f"{job.path}/triggers/batch_id={batch_id}")
+        raise Died("stopped between state and sink")
+
+    running = jobs.start(jobs.live_triggers(bookings), write_half, f"{job.path}/checkpoint/bookings", NOW)
+    try:
+        running.awaitTermination(600)
+    except StreamingQueryException as error:
+        if "stopped between state and sink" not in str(error):
+            raise
+    else:
+        raise AssertionError("the job was to die")
+
+
+@query
+def stream_late_booking(spark, sf):
+    """Requests per minute, hour and day where every seventh booking comes long after its time.
+
+    Two sources of one job: what is on time, and what comes behind the watermark of the first. Buckets
+    that were closed long ago are corrected.
+    """
+    job = jobs.BookingJob(spark, work_folder(spark, "late-job"))
+    late = F.pmod(F.col("booking_id").cast("bigint"), F.lit(7)) == 0
+    changes = bed.bookings(spark, sf)
+    held_back = F.when(late, F.col("seq") + changes.agg(F.max("seq")).scalar() + 1).otherwise(F.col("seq"))
+    for feed in _slices(spark, changes.withColumn("seq", held_back), "late-feed", 4):
+        _finish(job.start(feed, NOW))
+    found = jobs.facts_of(job.log, ["bookings"], ("MINUTE", "HOUR", "DAY"))
+    return found.filter("metric_name = 'request_order'").select(*[c for c in FACT if c not in ("last_updated",)])

@@ -50,8 +50,8 @@ def order_money(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per booking with its dimensions, money and life-cycle times."""
+def orders(spark: SparkSession, sf_dir: str, money: bool = True) -> DataFrame:
+    """One row per booking with its dimensions, money (0 if not asked for) and life-cycle times."""
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     k = F.col("o_orderkey")
@@ -72,7 +72,8 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     # lines are grouped by booking_id, so this join leaves rows placed for the booking scan
-    priced = scoped.join(order_money(spark, sf_dir), "booking_id", "left")
+    free = scoped.withColumns({"fee": F.lit(0), "discount": F.lit(0)})
+    priced = scoped.join(order_money(spark, sf_dir), "booking_id", "left") if money else free
     k = F.col("k")
     return (
         priced.withColumn("accepted_at", _after(F.col("created_at"), minutes=minute(5, 1)))
@@ -98,7 +99,7 @@ def booking_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bookings(spark: SparkSession, sf_dir: str, money: bool = True) -> DataFrame:
     """Booking changes: one per life-cycle step of each order."""
     none = F.lit(None).cast("timestamp_ntz")
 
@@ -128,7 +129,7 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     late = (F.col("k") % 4 + 1).cast("int")
     return (
-        orders(spark, sf_dir)
+        orders(spark, sf_dir, money)
         .select("k", *kept, F.inline(steps))
         .withColumn("ingest_ts", _after(F.col("updated_at"), seconds=late))
         .drop("k")

@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from waymeter.functions import fields, timing
-from waymeter.operators import bookings as b, buckets, marts
-from waymeter.schema import DIMENSIONS, WIDE
+from waymeter.operators import activity, bookings as b, buckets, drivers, marts
+from waymeter.schema import DIMENSIONS, DRIVER_LOCATION, WIDE
 from waymeter.session import ROCKSDB_PROVIDER
 from waymeter.sources.catalog import UNITS
+from waymeter.sources.versions import KeyedTable
 from waymeter.streaming import processors as p
 
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
@@ -63,46 +64,59 @@ def _records(fired: DataFrame) -> DataFrame:
     )
 
 
-def live_registrations(changes: DataFrame, key: str, metric: str) -> DataFrame:
-    """Records of first ``c`` changes of a stream."""
-    shaped = changes
-    for name in DIMENSIONS:
-        if name not in shaped.columns:
-            shaped = shaped.withColumn(name, F.lit(""))
-    rows = shaped.select(
-        key, "op", *DIMENSIONS, "seq",
-        micros("created_at").alias("created_us"), micros("updated_at").alias("updated_us"), micros("ingest_ts").alias("ingest_us"),
-    )
-    fired = rows.groupBy(key).transformWithState(
-        statefulProcessor=p.FirstCreate(metric), outputStructType=p.RECORD_OUT, outputMode="Append", timeMode="ProcessingTime"
-    )
-    return _records(fired)
-
-
-def _passenger_trips(activity: DataFrame) -> DataFrame:
-    trips = activity.filter("upper(type) = 'COMPLETED'").withColumn("event_time", F.coalesce("event_time", "ingest_ts"))
-    return trips.select(
-        "passenger_id", "seq", F.col("event_time").cast("timestamp").alias("event_ts"), micros("event_time").alias("event_us"),
+def _passenger_trips(activity: DataFrame, delay: str | None = None) -> DataFrame:
+    """Completed trips. With a delay all activity moves the watermark, whatever became of the trip."""
+    rows = activity.withColumn("event_time", F.coalesce("event_time", "ingest_ts"))
+    rows = rows.withColumn("event_ts", F.col("event_time").cast("timestamp"))
+    done = F.upper("type") == "COMPLETED"
+    if delay is not None:
+        # a condition on the event time stays above the watermark
+        rows, done = rows.withWatermark("event_ts", delay), F.when(F.col("event_ts").isNotNull(), done)
+    return rows.filter(done).select(
+        "passenger_id", "seq", "event_ts", micros("event_time").alias("event_us"),
         micros("ingest_ts").alias("ingest_us"), _day_number("event_time").alias("day"),
     )
 
 
-def _half(rows: DataFrame, key: str, processor: p.StatefulProcessor, delay: str | None) -> DataFrame:
-    """One half of an activity processor: with a delay it keeps event time and drops rows behind the watermark."""
-    timed = rows.drop("event_ts") if delay is None else rows.withWatermark("event_ts", delay)
-    mode = "ProcessingTime" if delay is None else "EventTime"
+def _half(rows: DataFrame, key: str, processor: p.StatefulProcessor, event_time: bool = False) -> DataFrame:
+    """One half of an activity processor; in event time, rows behind the watermark are dropped."""
+    timed, mode = (rows, "EventTime") if event_time else (rows.drop("event_ts"), "ProcessingTime")
     fired = timed.groupBy(key).transformWithState(statefulProcessor=processor, outputStructType=p.RECORD_OUT, outputMode="Append", timeMode=mode)
     return _records(fired)
 
 
 def live_passenger_records(activity: DataFrame) -> DataFrame:
     """Active, retained and returned passengers of a stream; however late a trip is, it counts."""
-    return _half(_passenger_trips(activity), "passenger_id", p.PassengerDays(p.RECORDS), None)
+    return _half(_passenger_trips(activity), "passenger_id", p.PassengerDays(p.RECORDS))
 
 
 def live_passenger_churn(activity: DataFrame, delay: str = "5 minutes") -> DataFrame:
     """Churned passengers of a stream, by timers of the event time. Start it with ``event_time=True``."""
-    return _half(_passenger_trips(activity), "passenger_id", p.PassengerDays(p.CHURN), delay)
+    return _half(_passenger_trips(activity, delay), "passenger_id", p.PassengerDays(p.CHURN), event_time=True)
+
+
+def live_passenger_days(bookings: DataFrame, delay: str = "5 minutes", idle_days: int = p.STATE_DAYS) -> DataFrame:
+    """Passenger KPIs per day straight from booking changes: (window, metric_name, day, records).
+
+    One query with three stateful operators. Booking lives fire triggers, which carry the event
+    time of their change on; completed trips go through the passenger processor, whose records carry
+    the time they were decided at; a window over that time counts them. A day may come
+    in several windows, as churn is decided days after it is due. What idles for ``idle_days`` is forgotten. Start it with ``event_time=True``.
+    """
+    times = {"created": "created_at", "accepted": "accepted_at", "start": "start_trip_at", "completed": "completed_at", "updated": "updated_at", "ingest": "ingest_ts"}
+    rows = bookings.withColumn("event_ts", F.coalesce("updated_at", "created_at", "ingest_ts").cast("timestamp")).withWatermark("event_ts", delay)
+    rows = rows.withColumns({f"{name}_us": micros(column) for name, column in times.items()}).drop(*times.values())
+    chained = {"outputMode": "Append", "timeMode": "EventTime", "eventTimeColumnName": "event_ts"}
+    fired = rows.groupBy("booking_id").transformWithState(
+        statefulProcessor=p.BookingLife(carry_time=True, idle_days=idle_days), outputStructType=f"{p.TRIGGER_OUT}, event_ts timestamp", **chained
+    )
+    trips = fired.filter("kind = 'COMPLETED' AND passenger_id <> ''").withColumn("event_time", from_micros("event_us"))
+    trips = trips.select("passenger_id", "seq", "event_ts", "event_us", "ingest_us", _day_number("event_time").alias("day"))
+    found = trips.groupBy("passenger_id").transformWithState(
+        statefulProcessor=p.PassengerDays(p.BOTH, idle_days), outputStructType=f"{p.RECORD_OUT}, event_ts timestamp", **chained
+    )
+    day = timing.local_day(from_micros("event_us")).alias("day")
+    return found.groupBy(F.window("event_ts", "1 day"), "metric_name", day).agg(F.count(F.lit(1)).alias("records"))
 
 
 def _driver_rows(locations: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -117,8 +131,10 @@ def _driver_rows(locations: DataFrame, profiles: DataFrame) -> DataFrame:
 
 
 def _timed_driver_rows(locations: DataFrame, profiles: DataFrame) -> DataFrame:
+    # profile changes are never late, and only positions move the watermark
+    moment = F.when(F.col("is_location"), F.col("event_time").cast("timestamp"))
     return _driver_rows(locations, profiles).select(
-        "driver_id", "seq", "is_location", *DIMENSIONS, F.col("event_time").cast("timestamp").alias("event_ts"),
+        "driver_id", "seq", "is_location", *DIMENSIONS, moment.alias("event_ts"),
         F.upper(fields.blank(F.col("availability"))).alias("availability"),
         micros("event_time").alias("event_us"),
         micros("ingest_ts").alias("ingest_us"),
@@ -129,23 +145,13 @@ def _timed_driver_rows(locations: DataFrame, profiles: DataFrame) -> DataFrame:
 
 def live_driver_records(locations: DataFrame, profiles: DataFrame) -> DataFrame:
     """Driver KPI records of a stream of positions and profile changes, churn left out; late rows count."""
-    return _half(_timed_driver_rows(locations, profiles), "driver_id", p.DriverDays(p.RECORDS), None)
+    return _half(_timed_driver_rows(locations, profiles), "driver_id", p.DriverDays(p.RECORDS))
 
 
 def live_driver_churn(locations: DataFrame, profiles: DataFrame, delay: str = "5 minutes") -> DataFrame:
     """Churned drivers of a stream, by timers of the event time. Start it with ``event_time=True``."""
-    return _half(_timed_driver_rows(locations, profiles), "driver_id", p.DriverDays(p.CHURN), delay)
-
-
-def live_enriched(locations: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Positions of a stream with their driver's profile fields."""
-    rows = _driver_rows(locations, profiles).withColumns(
-        {"event_us": micros("event_time"), "ingest_us": micros("ingest_ts")}
-    ).drop("event_time", "ingest_ts")
-    found = rows.groupBy("driver_id").transformWithState(
-        statefulProcessor=p.ProfileLookup(), outputStructType=p.LOCATION_OUT, outputMode="Append", timeMode="ProcessingTime"
-    )
-    return found.withColumns({"updated_at": from_micros("updated_us"), "ingest_ts": from_micros("ingest_us")}).drop("updated_us", "ingest_us")
+    rows = _timed_driver_rows(locations, profiles).withWatermark("event_ts", delay)
+    return _half(rows, "driver_id", p.DriverDays(p.CHURN), event_time=True)
 
 
 def start(
@@ -218,29 +224,121 @@ class RecordJob:
         return start(records, self.write_batch, f"{self.path}/checkpoint/{self.source}", trigger, event_time)
 
 
+class PassengerDayJob:
+    """Passenger KPIs per day by one chained query; windows are written per batch and summed when read."""
+
+    def __init__(self, spark: SparkSession, path: str, idle_days: int = p.STATE_DAYS):
+        self.spark, self.path, self.idle_days = spark, path.rstrip("/"), idle_days
+
+    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        batch.select("metric_name", "day", "records").write.mode("overwrite").parquet(f"{self.path}/days/batch_id={batch_id}")
+
+    def start(self, bookings: DataFrame, trigger: dict | None = None) -> StreamingQuery:
+        return start(live_passenger_days(bookings, idle_days=self.idle_days), self.write_batch, f"{self.path}/checkpoint", trigger, event_time=True)
+
+    def days(self) -> DataFrame:
+        shape = "metric_name string, day date, records bigint, batch_id bigint"
+        return self.spark.read.schema(shape).parquet(f"{self.path}/days").groupBy("metric_name", "day").agg(F.sum("records").alias("records"))
+
+
+class RegistrationJob:
+    """First ``c`` change of each key to the fact log; keys seen are a table that each batch merges into."""
+
+    def __init__(self, spark: SparkSession, path: str, source: str, key: str, metric: str, dimensions: list[str]):
+        self.path, self.source, self.key, self.metric, self.dimensions = path.rstrip("/"), source, key, metric, dimensions
+        self.log = marts.FactLog(spark, f"{path}/facts")
+        self.seen = KeyedTable(spark, f"{path}/seen/{source}", f"{key} string", [key])
+
+    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        created = batch.filter("lower(op) = 'c'").persist()
+        try:
+            known = self.seen.read(batch_id, self.seen.touched(created))
+            fresh = activity.registrations(created.join(known, self.key, "left_anti"), self.key, self.metric, self.dimensions)
+            self.log.write(buckets.minute_totals(fresh), self.source, batch_id)
+            self.seen.merge(created.select(self.key).distinct(), batch_id, lambda now, rows: now.union(rows).distinct())
+        finally:
+            created.unpersist()
+
+    def start(self, changes: DataFrame, trigger: dict | None = None) -> StreamingQuery:
+        return start(changes, self.write_batch, f"{self.path}/checkpoint/{self.source}", trigger)
+
+
+class SnapshotJob:
+    """Metric records to the latest value of each metric and scope, kept as month totals by key."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.months = KeyedTable(spark, f"{path}/months", marts.FactLog.COLUMNS, ["metric_name", *DIMENSIONS])
+
+    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        folder = f"{self.path}/totals/batch_id={batch_id}"
+        session = batch.sparkSession
+        shape = session.createDataFrame([], marts.FactLog.COLUMNS).schema
+        buckets.minute_totals(batch, "MONTH").to(shape).write.mode("overwrite").parquet(folder)
+        self.months.merge(session.read.schema(shape).parquet(folder), batch_id, marts.add_totals)
+
+    def start(self, records: DataFrame, trigger: dict | None = None) -> StreamingQuery:
+        return start(records, self.write_batch, f"{self.path}/checkpoint", trigger)
+
+    def snapshot(self) -> DataFrame:
+        return marts.latest_snapshot(buckets.roll_up(self.months.read(), ("MONTH",)))
+
+
 class LocationJob:
-    """Enriched positions to the time series, the latest documents and daily documents."""
+    """Positions and profile changes to the time series, the latest documents and daily documents.
+
+    A batch looks profiles up as they stood when each position came: among its own changes,
+    and before those in the table of profiles, of which it reads and writes the buckets it touches.
+    """
+
+    PROFILE = "driver_id string, service_type string, service_tier string, area_code string"
+    DOCUMENT = "driver_id string, seq bigint, document string"
+    POSITION = f"{DRIVER_LOCATION}, service_type string, service_tier string, area_code string"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self.profiles = KeyedTable(spark, f"{self.path}/profiles", self.PROFILE, ["driver_id"])
+        self.documents = KeyedTable(spark, f"{self.path}/documents", self.DOCUMENT, ["driver_id"])
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.path}/positions/batch_id={batch_id}")
+        rows = batch.persist()
+        try:
+            positions = rows.filter("is_location").select("driver_id", "op", "availability", "lat", "lon", F.col("event_time").alias("updated_at"), "seq", "ingest_ts")
+            changes = rows.filter("NOT is_location").select("driver_id", "seq", "ingest_ts", *DIMENSIONS)
+            before = self.profiles.read(batch_id, self.profiles.touched(rows)).join(rows.select("driver_id").distinct(), "driver_id", "left_semi")
+            known = before.select("driver_id", F.lit(-(2**63)).alias("seq"), F.lit(None).cast("timestamp_ntz").alias("ingest_ts"), *DIMENSIONS)
+            folder = f"{self.path}/positions/batch_id={batch_id}"
+            drivers.enrich_locations(positions, changes.unionByName(known)).write.mode("overwrite").parquet(folder)
+            stored = rows.sparkSession.read.schema(self.POSITION).parquet(folder)
+            self.profiles.merge(changes, batch_id, _last_fields)
+            documents = stored.select("driver_id", "seq", marts.document().alias("document"))
+            self.documents.merge(documents, batch_id, marts.newer(["driver_id", "seq", "document"], ["driver_id"]))
+            marts.append_daily_documents(stored, f"{self.path}/daily", batch_id)
+        finally:
+            rows.unpersist()
 
     def start(self, locations: DataFrame, profiles: DataFrame, trigger: dict | None = None) -> StreamingQuery:
-        return start(live_enriched(locations, profiles), self.write_batch, f"{self.path}/checkpoint/locations", trigger)
+        return start(_driver_rows(locations, profiles), self.write_batch, f"{self.path}/checkpoint/locations", trigger)
 
     def positions(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/positions").drop("batch_id")
+        return self.spark.read.schema(f"{self.POSITION}, batch_id bigint").parquet(f"{self.path}/positions").drop("batch_id")
 
     def timeseries(self) -> DataFrame:
         return marts.location_timeseries(self.positions())
 
     def latest_documents(self) -> DataFrame:
-        return marts.latest_documents(self.positions())
+        return self.documents.read().select("driver_id", "document")
+
+    def daily_documents(self) -> DataFrame:
+        shape = "driver_id string, seq bigint, document string, event_day string, batch_id bigint"
+        return self.spark.read.schema(shape).json(f"{self.path}/daily").drop("batch_id")
+
 
-    def append_daily_documents(self) -> None:
-        marts.append_daily_documents(self.positions(), f"{self.path}/daily")
+def _last_fields(current: DataFrame, changes: DataFrame) -> DataFrame:
+    """Profiles with the last non-empty value of each field; ``current`` is older than every change."""
+    both = current.withColumn("seq", F.lit(-(2**63))).unionByName(changes.select("driver_id", *DIMENSIONS, "seq"))
+    last = [F.max_by(d, F.when(F.col(d) != "", F.col("seq"))).alias(d) for d in DIMENSIONS]
+    return both.groupBy("driver_id").agg(*last)
 
 
 def facts_of(log: marts.FactLog, sources: list[str], granularities: tuple[str, ...] = timing.GRANULARITIES) -> DataFrame:
