@@ -73,6 +73,30 @@ def test_rows_without_id_repeats_and_empty_tables(spark):
     assert near.find_groups(docs.limit(0)).count() == 0
 
 
+def test_repeated_ids_with_different_texts_lose_no_link(spark):
+    a, b = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    rows = [(1, a), (1, b), (2, a[:-1] + ["x"]), (3, b[:-1] + ["y"]), (4, [f"c{i}" for i in range(60)])]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id bigint, text string")
+    found = sorted((r.doc_id, r.component_id) for r in near.find_groups(docs).collect())
+    assert found == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+
+
+def test_one_passage_in_many_texts_is_divided(spark):
+    """Two frequent passages, alone and together, in texts that else differ: no pairs, and groups inside are found."""
+    rng = random.Random(8)
+    word = lambda: "w" + str(rng.randrange(10**6))
+    one, two = [word() for _ in range(40)], [word() for _ in range(40)]
+    rows = []
+    for i in range(240):
+        own = [word() for _ in range(rng.randrange(20, 40))]
+        rows.append((2 * i, (one if i % 3 else two) + (two if i % 5 == 0 else []) + own))
+        if i % 10 == 0:
+            rows.append((2 * i + 1, rows[-1][1][:-1]))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id bigint, text string")
+    expected = brute([(i, " ".join(t)) for i, t in rows], 5, 80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near.find_groups(docs).collect()} == expected
+
+
 def test_bands_keep_similar_pairs():
     for percent in (80, 85):
         rows = near.band_rows(percent / 100)

@@ -90,6 +90,35 @@ def test_limits_follow_their_group(spark):
     assert not found[300] and found[301] and all(kept for i, kept in found.items() if i != 300), (plain, marked)
 
 
+def test_each_limit_rejects_an_outlier(spark):
+    """One text beyond each of the five limits, and one that is within the fixed rules but repeats itself."""
+    words = lambda i, n, size=5: " ".join(f"{chr(97 + (i + k) % 26)}{chr(97 + k % 26)}{i}{k}"[:size].ljust(size, "x") for k in range(n))
+    plain = [(i, "\n".join(words(i * 7 + j, 10) for j in range(6)), "en", "books") for i in range(150)]
+    again = " ".join(f"r{k}q" for k in range(5))
+    odd = {
+        "symbols": words(900, 40) + " " + "# " * 8,
+        "short words": " ".join("abcdefghijklmnopqrstuvwxyz"),
+        "long words": " ".join(f"{k}" * 30 for k in "abcdefghijklmnop"),
+        "lines": "\n".join(f"{words(901 + k, 9)}\na" for k in range(12)),
+        "repeats": again + " " + words(950, 44) + " " + again,
+    }
+    rows = plain + [(1000 + i, t, "en", "books") for i, t in enumerate(odd.values())]
+    found = {r.doc_id: r for r in quality.assess(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()}
+    assert all(found[i].kept for i, *_ in plain)
+    assert not any(found[1000 + i].base_failed or found[1000 + i].kept for i in range(len(odd))), {n: found[1000 + i] for i, n in enumerate(odd)}
+
+
+def test_limits_shrink_smoothly(spark):
+    """One more text moves the limits of a small group a little, whatever its size."""
+    highs = []
+    for n in range(95, 106):
+        cells = [("en", "a", "symbols", 0, 500 * 20)] + [("en", "b", "symbols", 200, n)]
+        frame = spark.createDataFrame([(*c,) for c in cells], "_lang string, _source string, rate string, bucket bigint, n bigint")
+        highs.append({r._source: r.symbols_high for r in quality.limits(frame).collect()}["b"])
+    steps = [b - a for a, b in zip(highs, highs[1:])]
+    assert min(steps) >= 0 and max(steps) <= 0.03 * highs[0]
+
+
 def test_sketches_are_close_and_merge(spark):
     values = spark.range(1, 4000).select((F.col("id") * F.col("id")).alias("v"))
     back = values.select("v", quality.bucket_start(quality.bucket(F.col("v"))).alias("low")).collect()

@@ -29,6 +29,18 @@ def test_counts_equal_the_library(docs):
         assert row.over_limit == (row.n_tokens > 512)
 
 
+def test_long_runs_of_one_character(spark):
+    """One row of one character must not end the job."""
+    runs = {" " * 1_000_000: 1_000_000, "\n" * 1_000_000: None, "a" * 1_000_000: None, "7" * 1_000_000: None, "a1 -" * 250_000: None}
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(runs)], "doc_id bigint, text string")
+    found = {r.doc_id: r.n_tokens for r in tokens.count_tokens(rows, path).collect()}
+    assert found == {i: len(library.encode(t, add_special_tokens=False)) if n is None else n for i, (t, n) in enumerate(runs.items())}
+
+
 def test_other_vocabularies_give_their_counts(docs):
     import sentencepiece
 

@@ -19,10 +19,10 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from waymeter.llm.common import fold, packed, row_chunks, stored, texts, unpacked, word_bounds, word_hashes
+from waymeter.llm.common import fold, packed, release, row_chunks, stored, texts, unpacked, word_bounds, word_hashes
 
 DOMAINS = ("good", "poor", "toxic")
-HASH_BITS = 20
+HASH_BITS = 17
 #: Word features, and after them shares of a text in sixteen steps each.
 WORDS, STEPS, SHARES = 1 << HASH_BITS, 16, 4
 FEATURES = WORDS + STEPS * SHARES
@@ -120,6 +120,8 @@ def train(
     # domains without labels would leave gaps, so those seen are numbered anew
     number = F.create_map(*[F.lit(x) for i, d in enumerate(seen) for x in (d, float(i))])[F.col("label")]
     ready = stored(rows.select(number.alias("label"), F.udf(vector, VectorUDT())("at").alias("features")), "vectors")
+    # the optimiser keeps some twenty copies of the coefficients on the driver; make room for them
+    release(docs.sparkSession)
     model = LogisticRegression(family="multinomial", regParam=0.0001, elasticNetParam=0.9, maxIter=50, standardization=False).fit(ready)
     weights[[d for d in range(len(DOMAINS)) if float(d) not in seen], -1] = -50.0
     for i, d in enumerate(seen):
@@ -265,6 +267,7 @@ def mix(
     targets, and a labelled document belongs to the domain of its label for certain.
     """
     model = train(docs, labels, text, doc_id)
+    release(docs.sparkSession)
     rows = packed(docs).withColumn("s", posteriors(model)(F.col(f"_row.`{text}`")))
     place = F.coalesce(F.xxhash64(F.col(f"_row.`{doc_id}`"), F.lit(seed)), F.lit(0))
     place = F.when(F.col(f"_row.`{doc_id}`").isNull(), F.xxhash64(F.col(f"_row.`{text}`"), F.lit(seed))).otherwise(place)

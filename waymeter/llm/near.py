@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from waymeter.llm.common import arrow_rows, fold, mix, packed, row_chunks, stored, texts, unpacked, word_bounds, word_hashes
+from waymeter.llm.common import arrow_rows, fold, mix, packed, release, row_chunks, stored, texts, unpacked, word_bounds, word_hashes
 from waymeter.llm.graph import components
 
 BUCKET_BITS, MANTISSA = 8, 10
@@ -34,10 +34,8 @@ CHANCE = 0.16992
 MISS = 1e-8
 #: The estimate may fall so far below the threshold: about six standard errors of 256 registers.
 SLACK = 0.15
-#: Open buckets up to this size give every pair of different components.
+#: Open buckets up to this size give every pair of different components; larger ones are divided until none is left.
 SMALL = 4
-#: Larger ones are divided so many times before they do.
-DIVISIONS = 3
 #: Rows of an Arrow batch; each may bring two sets of some kilobytes.
 BATCH_ROWS = 1000
 
@@ -197,6 +195,7 @@ class _Linker:
     """The search for links between classes of texts that have one set."""
 
     def __init__(self, classes: DataFrame, docs: DataFrame, size: int, percent: int):
+        # classes: rep (a number of its own), first (its smallest document id), set_id, n, registers, keys
         self.classes, self.docs, self.size, self.percent = classes, docs, size, percent
         # similar sets x, y differ in at most spread * (|x| + |y|) elements
         self.spread = (100 - percent) / (100 + percent)
@@ -207,19 +206,20 @@ class _Linker:
         if bucket.isEmpty():
             return None
         self.near = self._with_sets(bucket)
-        for division in range(DIVISIONS + 1):
+        # a division leaves the hub out, so buckets shrink and this ends
+        while True:
             hubs, pairs = self._hub_pairs(bucket)
             self._verify(pairs)
             open_ = self._open(bucket)
-            last = division == DIVISIONS
-            self._verify(self._cross_pairs(open_ if last else open_.filter(F.col("size") <= SMALL)))
+            self._verify(self._cross_pairs(open_.filter(F.col("size") <= SMALL)))
             large = open_.filter(F.col("size") > SMALL)
-            if last or large.isEmpty():
+            if large.isEmpty():
                 break
             deltas = self._deltas(large, hubs)
             self._verify(self._lost_pairs(deltas))
             divided = deltas.select("rep", "hub", F.explode("elements").alias("element"))
             bucket = self._shared(divided.select("rep", F.xxhash64("hub", "element").alias("key")))
+            release(self.docs.sparkSession)
             if bucket.isEmpty():
                 break
         return self.labels
@@ -233,17 +233,21 @@ class _Linker:
         """Sketch and full set, made again from the text, of the classes that have company at all."""
         size = self.size
 
-        @F.arrow_udf(T.BinaryType())
+        @F.arrow_udf(T.StructType([T.StructField("own_id", T.BinaryType()), T.StructField("shingles", T.BinaryType())]))
         def shingles(column: pa.Array) -> pa.Array:
-            return pa.array([x.tobytes() for x in shingle_sets(column, size)], pa.binary())
-
-        wanted = stored(bucket.select("rep").distinct(), "wanted")
-        near = self.classes.select("rep", "n", "registers").join(wanted, "rep", "left_semi")
-        rows = self.docs.join(wanted, self.docs["_id"] == wanted["rep"], "left_semi")
-        sets = stored(rows.select(F.col("_id").alias("_of"), shingles("_text").alias("shingles")), "sets")
-        # a document id with several texts has several sets: the one of this class has its size
-        both = near.join(sets, (F.col("rep") == F.col("_of")) & (F.octet_length("shingles") == 8 * F.col("n"))).drop("_of")
-        return stored(both.dropDuplicates(["rep"]), "near")
+            sets = [x.tobytes() for x in shingle_sets(column, size)]
+            ids = [hashlib.blake2b(x, digest_size=16).digest() for x in sets]
+            return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(sets, pa.binary())], ["own_id", "shingles"])
+
+        near = self.classes.drop("keys").join(bucket.select("rep").distinct(), "rep", "left_semi")
+        near = stored(near, "wanted")
+        rows = self.docs.join(near.select("first").distinct(), self.docs["_id"] == F.col("first"), "left_semi")
+        sets = rows.select(F.col("_id").alias("_of"), shingles("_text").alias("s")).select("_of", "s.*")
+        # a document id may have several texts: the set is told by its digest; equal rows have one
+        both = near.join(sets, (F.col("first") == F.col("_of")) & (F.col("set_id") == F.col("own_id")))
+        both = stored(both.select("rep", "n", "registers", "shingles").dropDuplicates(["rep"]), "near")
+        release(self.docs.sparkSession)
+        return both
 
     def _hub_pairs(self, bucket: DataFrame) -> tuple[DataFrame, DataFrame]:
         weight = bucket.groupBy("rep").agg(F.sum("size").alias("weight"))
@@ -328,6 +332,19 @@ def _ordered(pairs: DataFrame, a: Column, b: Column) -> DataFrame:
     return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a != b").distinct()
 
 
+def _one_document(rows: DataFrame, classes: DataFrame, links: DataFrame | None, labels: DataFrame | None) -> DataFrame | None:
+    """Labels with the classes joined that hold texts of one and the same document id."""
+    several = rows.groupBy("_id").agg(F.min("set_id").alias("least"), F.max("set_id").alias("most")).filter("least != most")
+    several = stored(several.select("_id", "least"), "repeated")
+    if several.isEmpty():
+        return labels
+    number = classes.select("set_id", "rep")
+    ties = rows.select("_id", "set_id").join(several, "_id").select("set_id", "least").distinct()
+    ties = ties.join(number.withColumnRenamed("rep", "a"), "set_id").join(number.select(F.col("set_id").alias("least"), F.col("rep").alias("b")), "least")
+    ties = ties.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b")
+    return components(stored(ties if links is None else ties.unionByName(links), "ties"))
+
+
 def find_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_shingles``, ``component_id`` and ``kept`` (one document of each group).
 
@@ -335,7 +352,8 @@ def find_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", siz
     ``size``-word shingles, and a group is what links connect; its id is the smallest
     ``doc_id`` in it. A null or empty text, or one without words, has an empty set and links
     with nothing. A row without ``doc_id`` links with nothing either, has no group and is
-    kept. ``doc_id`` names a document: rows that repeat it with an equal text are one.
+    kept. ``doc_id`` names a document: rows that repeat it are in one group, and those with
+    equal texts are one.
     Columns of ``docs`` with the name of a result column are replaced.
 
     Rows are stored once with their sketch; ``keep_text=False`` leaves the text out of that
@@ -348,13 +366,18 @@ def find_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", siz
     drawn = rows.withColumn("s", sketch(F.col(f"_row.`{text}`"))).select(row.alias("_row"), F.col(f"_row.`{doc_id}`").alias("_id"), "s.*")
     with arrow_rows(docs.sparkSession, BATCH_ROWS):
         drawn = stored(drawn, "sketches")
-        alike = drawn.filter("n > 0 AND _id IS NOT NULL").groupBy("set_id")
-        classes = stored(alike.agg(F.min("_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "registers", "keys")]), "classes")
-        labels = _Linker(classes, source, size, percent).run()
-        named = classes.select("set_id", "rep")
+        named_rows = drawn.filter("n > 0 AND _id IS NOT NULL")
+        alike = named_rows.groupBy("set_id").agg(F.min("_id").alias("first"), *[F.first(c).alias(c) for c in ("n", "registers", "keys")])
+        classes = stored(alike.withColumn("rep", F.monotonically_increasing_id()), "classes")
+        linker = _Linker(classes, source, size, percent)
+        labels = linker.run()
+        labels = _one_document(named_rows, classes, linker.links, labels)
+        named = classes.select("set_id", "rep", "first")
         if labels is not None:
             named = named.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("rep", F.coalesce("component", "rep"))
-        named = stored(named.select(F.col("set_id").alias("_of"), F.col("rep").alias("_group")), "named")
+        group = named.groupBy("rep").agg(F.min("first").alias("_group"))
+        named = stored(named.join(group, "rep").select(F.col("set_id").alias("_of"), "_group"), "named")
+        release(docs.sparkSession)
     joined = drawn.select("_row", "_id", "n", "set_id").join(named, F.col("set_id") == F.col("_of"), "left")
     group = F.when(F.col("n") > 0, F.col("_group")).otherwise(F.col("_id"))
     group = F.when(F.col("_id").isNotNull(), group)

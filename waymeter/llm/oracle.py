@@ -60,27 +60,23 @@ q0 AS (
 q1 AS (
   SELECT *, sum(n) OVER (PARTITION BY lvl, lang, source, k ORDER BY b) AS upto, sum(n) OVER (PARTITION BY lvl, lang, source, k) AS texts FROM q0),
 q2 AS (
-  SELECT lvl, lang, source, k, texts, min(b) FILTER (upto * 4 >= texts) AS b1, min(b) FILTER (upto * 4 >= texts * 2) AS b2,
-    min(b) FILTER (upto * 4 >= texts * 3) AS b3
-  FROM q1 GROUP BY ALL),
+  SELECT lvl, lang, source, k, texts, t, min(b) FILTER (upto * 20 >= texts * t) AS b
+  FROM q1, (SELECT unnest([3, 5, 10, 15, 17]) AS t) GROUP BY ALL),
 q AS (
-  SELECT lvl, lang, source, k, texts,
-    CASE WHEN b1 < 64 THEN b1 ELSE (b1 - ((b1 - 32) >> 6) * 64) << ((b1 - 32) >> 6) END AS s1,
-    CASE WHEN b2 < 64 THEN b2 ELSE (b2 - ((b2 - 32) >> 6) * 64) << ((b2 - 32) >> 6) END AS s2,
-    CASE WHEN b3 < 64 THEN b3 ELSE (b3 - ((b3 - 32) >> 6) * 64) << ((b3 - 32) >> 6) END AS s3
-  FROM q2),
+  SELECT lvl, lang, source, k, texts, t, CASE WHEN b < 64 THEN b ELSE (b - ((b - 32) >> 6) * 64) << ((b - 32) >> 6) END AS s FROM q2),
 p AS (
-  SELECT o.lang, o.source, o.k, [150, 30, 120, 40][o.k] AS least_spread,
-    CASE WHEN o.texts >= 50 THEN o.s1 WHEN l.texts >= 50 THEN l.s1 ELSE e.s1 END AS s1,
-    CASE WHEN o.texts >= 50 THEN o.s2 WHEN l.texts >= 50 THEN l.s2 ELSE e.s2 END AS s2,
-    CASE WHEN o.texts >= 50 THEN o.s3 WHEN l.texts >= 50 THEN l.s3 ELSE e.s3 END AS s3
-  FROM q o JOIN q l ON l.lvl = 'lang' AND l.k = o.k AND l.lang IS NOT DISTINCT FROM o.lang JOIN q e ON e.lvl = 'all' AND e.k = o.k
+  SELECT o.lang, o.source, o.k, o.t, (o.texts * o.s + 100 * ((l.texts * l.s + 100 * e.s) // (l.texts + 100))) // (o.texts + 100) AS s
+  FROM q o JOIN q l ON l.lvl = 'lang' AND l.k = o.k AND l.t = o.t AND l.lang IS NOT DISTINCT FROM o.lang
+  JOIN q e ON e.lvl = 'all' AND e.k = o.k AND e.t = o.t
   WHERE o.lvl = 'own'),
+z AS (
+  SELECT lang, source, k, max(s) FILTER (t = 5) - 6 * greatest((max(s) FILTER (t = 10) - max(s) FILTER (t = 3)) // 2, 60) AS low,
+    max(s) FILTER (t = 15) + 6 * greatest((max(s) FILTER (t = 17) - max(s) FILTER (t = 10)) // 2, [100, 20, 60, 30][k]) AS high
+  FROM p GROUP BY lang, source, k),
 f AS (
-  SELECT lang, source, max(s1 - 6 * greatest(s2 - s1, least_spread)) FILTER (k = 1) AS low1,
-    max(s3 + 6 * greatest(s3 - s2, least_spread)) FILTER (k = 1) AS high1, max(s3 + 6 * greatest(s3 - s2, least_spread)) FILTER (k = 2) AS high2,
-    max(s3 + 6 * greatest(s3 - s2, least_spread)) FILTER (k = 3) AS high3, max(s3 + 6 * greatest(s3 - s2, least_spread)) FILTER (k = 4) AS high4
-  FROM p GROUP BY ALL),
+  SELECT lang, source, max(low) FILTER (k = 1) AS low1, max(high) FILTER (k = 1) AS high1, max(high) FILTER (k = 2) AS high2,
+    max(high) FILTER (k = 3) AS high3, max(high) FILTER (k = 4) AS high4
+  FROM z GROUP BY ALL),
 judged AS (
   SELECT m.*, NOT base_failed AND coalesce(v[1] >= low1 AND v[1] <= high1 AND v[2] <= high2 AND v[3] <= high3 AND v[4] <= high4, true) AS kept
   FROM m LEFT JOIN f ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source)

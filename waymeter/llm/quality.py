@@ -3,8 +3,9 @@
 Per text a few counts become integer rates. Their distribution in every (language, source)
 is kept in a mergeable quantile sketch: a histogram whose buckets are the integers up to
 63 and then 64 per power of two, so a quantile is off by 1/32 at most, sketches merge
-by adding counts, and any cluster layout gives the same limits. Limits are fences around
-the quartiles, and texts are filtered by a join with them.
+by adding counts, and any cluster layout gives the same limits. Limits are fences that lie
+outside the quartiles by what the tails of the group spread; small groups lean on the sketch of
+their language, and that on the one of all texts. Texts are filtered by a join with the limits.
 """
 
 from __future__ import annotations
@@ -17,17 +18,19 @@ SPACES = r"[ \t-\r]+"
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: rate: (numerator, denominator, scale, limit on the low side too, least spread)
+#: rate: (numerator, denominator, scale, least spread below if that side is limited, least spread above)
 RATES = {
-    "word_length": ("word_chars", "n_words", 100, True, 150),
-    "symbols": ("n_symbols", "n_words", 1000, False, 30),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, False, 120),
-    "repeats": ("n_repeat_words", "n_words", 1000, False, 40),
+    "word_length": ("word_chars", "n_words", 100, 60, 100),
+    "symbols": ("n_symbols", "n_words", 1000, None, 20),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, None, 60),
+    "repeats": ("n_repeat_words", "n_words", 1000, None, 30),
 }
-#: How many times the distance between quartile and median a text may lie outside the quartile.
+#: How many spreads a text may lie outside the quartile. A spread is half the way from the median to the outer 15 %, so junk up to that share does not widen it.
 REACH = 6
-#: A group with fewer texts takes the merged sketch of its language, then of all texts.
-LEAST_TEXTS = 50
+#: Texts that the next wider sketch counts as when quantiles are blended.
+PRIOR_TEXTS = 100
+#: Quantiles that are read from a sketch, in twentieths.
+QUANTILES = {"q15": 3, "q25": 5, "q50": 10, "q75": 15, "q85": 17}
 
 
 def with_counts(rows: DataFrame, text: str = "_text") -> DataFrame:
@@ -93,29 +96,31 @@ def sketch(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys, F.explode(cells).alias("c")).groupBy(*keys, "c.rate", "c.bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quartiles(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Merge sketches to ``keys`` and read q1, q2, q3 of every rate."""
+def quantiles(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Merge sketches to ``keys`` and read the QUANTILES of every rate."""
     merged = cells.groupBy(*keys, "rate", "bucket").agg(F.sum("n").alias("n"))
     # a window over the buckets of one sketch: some 1,500 at most, whatever the data
     whole = W.partitionBy(*keys, "rate")
     summed = merged.withColumns({"upto": F.sum("n").over(whole.orderBy("bucket")), "texts": F.sum("n").over(whole)})
-    reached = [F.min(F.when(F.col("upto") * 4 >= F.col("texts") * k, F.col("bucket"))) for k in (1, 2, 3)]
-    found = summed.groupBy(*keys, "rate", "texts").agg(*[value.alias(f"b{k}") for k, value in enumerate(reached, 1)])
-    return found.select(*keys, "rate", "texts", *[bucket_start(F.col(f"b{k}")).alias(f"q{k}") for k in (1, 2, 3)])
+    reached = [F.min(F.when(F.col("upto") * 20 >= F.col("texts") * k, F.col("bucket"))).alias(q) for q, k in QUANTILES.items()]
+    found = summed.groupBy(*keys, "rate", "texts").agg(*reached)
+    return found.select(*keys, "rate", "texts", *[bucket_start(F.col(q)).alias(q) for q in QUANTILES])
 
 
-def limits(cells: DataFrame, reach: int = REACH, least_texts: int = LEAST_TEXTS) -> DataFrame:
+def limits(cells: DataFrame, reach: int = REACH, prior_texts: int = PRIOR_TEXTS) -> DataFrame:
     """One row per (language, source) with ``<rate>_low`` and ``<rate>_high``."""
-    own, language = quartiles(cells, ["_lang", "_source"]), quartiles(cells, ["_lang"])
-    every = quartiles(cells, [])
+    own, language = quantiles(cells, ["_lang", "_source"]), quantiles(cells, ["_lang"])
+    every = quantiles(cells, [])
     other = lambda df, tag: df.select(*[F.col(c).alias(f"{tag}_{c}") for c in df.columns])
     both = own.join(other(language, "l"), F.col("_lang").eqNullSafe(F.col("l__lang")) & (F.col("rate") == F.col("l_rate")))
     both = both.join(other(every, "e"), F.col("rate") == F.col("e_rate"))
-    pick = lambda q: F.when(F.col("texts") >= least_texts, F.col(q)).when(F.col("l_texts") >= least_texts, F.col(f"l_{q}")).otherwise(F.col(f"e_{q}"))
-    both = both.select("_lang", "_source", "rate", *[pick(q).alias(q) for q in ("q1", "q2", "q3")])
-    least = F.create_map(*[F.lit(x) for name, r in RATES.items() for x in (name, r[4])])[F.col("rate")]
-    low = F.col("q1") - reach * F.greatest(F.col("q2") - F.col("q1"), least)
-    high = F.col("q3") + reach * F.greatest(F.col("q3") - F.col("q2"), least)
+    # a group of n texts weighs n against PRIOR_TEXTS of its language, and so on: no jump at any size
+    blend = lambda n, value, wider: f"(({n} * {value} + {prior_texts} * {wider}) DIV ({n} + {prior_texts}))"
+    mixed = [F.expr(blend("texts", q, blend("l_texts", f"l_{q}", f"e_{q}"))).alias(q) for q in QUANTILES]
+    both = both.select("_lang", "_source", "rate", *mixed)
+    least = lambda side: F.create_map(*[F.lit(x) for name, r in RATES.items() for x in (name, r[side] or 0)])[F.col("rate")]
+    low = F.col("q25") - reach * F.greatest(F.expr("(q50 - q15) DIV 2"), least(3))
+    high = F.col("q75") + reach * F.greatest(F.expr("(q85 - q50) DIV 2"), least(4))
     both = both.withColumns({"low": low, "high": high})
     at = lambda name, side: F.max(F.when(F.col("rate") == name, F.col(side)))
     sides = [at(name, side).alias(f"{name}_{side}") for name, r in RATES.items() for side in (["low", "high"] if r[3] else ["high"])]
@@ -128,7 +133,7 @@ def assess(
     lang: str = "lang",
     source: str = "source",
     reach: int = REACH,
-    least_texts: int = LEAST_TEXTS,
+    prior_texts: int = PRIOR_TEXTS,
     keep_text: bool = True,
 ) -> DataFrame:
     """``docs`` with the counts, ``n_lines``, ``base_failed`` and ``kept``.
@@ -152,7 +157,7 @@ def assess(
     counted = stored(with_counts(rows).select(row.alias("_row"), "_lang", "_source", *names), "counts")
     passed = counted.select("_lang", "_source", *names).filter(~base_failed())
     # the sketches are small; the limits are read from their table, and the planner sees its size
-    bounds = stored(limits(stored(sketch(passed, ["_lang", "_source"]), "sketch"), reach, least_texts), "limits")
+    bounds = stored(limits(stored(sketch(passed, ["_lang", "_source"]), "sketch"), reach, prior_texts), "limits")
     bounds = bounds.withColumnsRenamed({"_lang": "_of_lang", "_source": "_of_source"})
     joined = counted.join(bounds, F.col("_lang").eqNullSafe(F.col("_of_lang")) & F.col("_source").eqNullSafe(F.col("_of_source")), "left")
     inside = F.lit(True)

@@ -22,8 +22,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the ranks of byte_bpe_50k.json, for the faster of the libraries that read that vocabulary
-    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokens.count_tokens(docs, vocabulary).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 

@@ -48,7 +48,7 @@ RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15),
     Rule("google", r"AIza[A-Za-z0-9_-]+", 0, 39),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
 )
 BASE = 3
 
