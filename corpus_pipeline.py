@@ -18,17 +18,26 @@ TARGETS = {"good": 0.97, "poor": 0.029, "toxic": 0.001}
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that neither the fixed rules nor the limits of their language and source reject."""
+    """Documents that neither the fixed rules nor the limits of their language and source reject.
+
+    Null and empty texts go, having no words; repeated rows are judged alike; an empty table stays empty.
+    """
     return quality.assess(docs).filter("kept").select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the largest id."""
+    """Of equal texts, the document with the largest id.
+
+    Null texts equal empty ones; of rows that repeat an id and a text one stays; an empty table stays empty.
+    """
     return exact.find_copies(docs).filter("kept").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, similarity 0.8), the document with the smallest id."""
+    """Of each group of near duplicates (five-word shingles, similarity 0.8), the document with the smallest id.
+
+    Null and empty texts are like nothing and stay, as do rows without an id; an empty table stays empty.
+    """
     return near.find_groups(docs).filter("kept").select(*docs.columns)
 
 
@@ -39,9 +48,12 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each document, whether they decode to its text, and a second segmentation sampled for its row."""
-    coded = pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), k=1)
-    return coded.selectExpr("doc_id", "lang", "source", "n_pieces", "ids", "decoded_equal", "samples[0].ids AS sampled_ids", "samples[0].log_p AS sampled_log_p")
+    """Ids of each document, whether they decode to its text, and two segmentations sampled for its row with their inclusion.
+
+    Null and empty texts have no ids; repeated rows have the same samples; an empty table stays empty.
+    """
+    coded = pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), k=2)
+    return coded.selectExpr("doc_id", "lang", "source", "n_pieces", "ids", "decoded_equal", "transform(samples, s -> s.ids) AS sampled_ids", "transform(samples, s -> s.log_p) AS sampled_log_p", "transform(samples, s -> s.log_inclusion) AS sampled_log_inclusion")
 
 
 STAGES = [
