@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from waymeter.llm.common import arrow_rows, fold, mix, packed, release, row_chunks, stored, texts, unpacked, word_bounds, word_hashes
 from waymeter.llm.graph import components
+from waymeter.session import work_folder
 
 BUCKET_BITS, MANTISSA = 8, 10
 BUCKETS = 1 << BUCKET_BITS
@@ -35,7 +36,9 @@ MISS = 1e-8
 #: The estimate may fall so far below the threshold: about six standard errors of 256 registers.
 SLACK = 0.15
 #: Open buckets up to this size give every pair of different components; larger ones are divided until none is left.
-SMALL = 4
+SMALL = 32
+#: Cells, by leading bits, in which elements are counted to order them by rarity.
+CELL_BITS = 16
 #: Rows of an Arrow batch; each may bring two sets of some kilobytes.
 BATCH_ROWS = 1000
 
@@ -148,11 +151,35 @@ def sketcher(size: int, rows: int):
 DELTA = T.StructType([T.StructField("adds", T.LongType()), T.StructField("lacks", T.LongType()), T.StructField("elements", T.ArrayType(T.LongType()))])
 
 
-def delta_of(percent: int):
-    """What a set adds to the set of its hub: counts, and the smallest added elements.
+def _cell(elements: np.ndarray) -> np.ndarray:
+    return (elements >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
-    Similar sets x, y differ in at most (1 - t) / t * |x| elements; so of more added
-    elements than that, x and y share one among so many smallest plus one.
+
+def element_counts(sets: DataFrame) -> np.ndarray:
+    """How often elements fall into each of a fixed number of cells, summed in each task first."""
+
+    def count(batches):
+        total = np.zeros(1 << CELL_BITS, np.int64)
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                total += np.bincount(_cell(np.frombuffer(x, np.uint64)), minlength=len(total))
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["cell", "n"])
+
+    found = np.zeros(1 << CELL_BITS, np.int64)
+    # as many rows as cells at most
+    for row in sets.select("shingles").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        found[row.cell] = row.n
+    return found
+
+
+def delta_of(percent: int, counts: np.ndarray):
+    """What a set adds to the set of its hub: counts, and the rarest added elements.
+
+    Similar sets x, y differ in at most (1 - t) / t * |x| elements; so of more added elements
+    than that, x and y share one among so many first plus one, in any order that is the same for
+    all sets. In the order of how full an element's cell is, shingles of frequent passages
+    come last, so they rarely make a bucket.
     """
 
     @F.arrow_udf(DELTA)
@@ -163,7 +190,8 @@ def delta_of(percent: int):
             added = np.setdiff1d(x, h, True)
             adds.append(len(added))
             lacks.append(len(h) - len(x) + len(added))
-            elements.append(np.sort(added)[: (100 - percent) * len(x) // percent + 1].view(np.int64))
+            first = np.lexsort((added, counts[_cell(added)]))[: (100 - percent) * len(x) // percent + 1]
+            elements.append(added[first].view(np.int64))
         arrays = [pa.array(adds, pa.int64()), pa.array(lacks, pa.int64()), pa.array(elements, pa.list_(pa.int64()))]
         return pa.StructArray.from_arrays(arrays, ["adds", "lacks", "elements"])
 
@@ -200,12 +228,14 @@ class _Linker:
         # similar sets x, y differ in at most spread * (|x| + |y|) elements
         self.spread = (100 - percent) / (100 + percent)
         self.links = self.tested = self.labels = None
+        self.folders: dict[str, str] = {}
 
     def run(self) -> DataFrame | None:
         bucket = self._shared(self.classes.select("rep", F.explode("keys").alias("key")))
         if bucket.isEmpty():
             return None
         self.near = self._with_sets(bucket)
+        self.counts = element_counts(self.near)
         # a division leaves the hub out, so buckets shrink and this ends
         while True:
             hubs, pairs = self._hub_pairs(bucket)
@@ -277,7 +307,7 @@ class _Linker:
         own = self.near.select(F.col("rep"), "n", "shingles")
         hub = self.near.select(F.col("rep").alias("hub"), F.col("shingles").alias("hub_shingles"))
         both = pairs.join(own, "rep").join(hub, "hub")
-        both = both.withColumn("d", delta_of(self.percent)("shingles", "hub_shingles"))
+        both = both.withColumn("d", delta_of(self.percent, self.counts)("shingles", "hub_shingles"))
         return stored(both.select("hub", "rep", "component", "n", "d.*"), "deltas")
 
     def _lost_pairs(self, deltas: DataFrame) -> DataFrame:
@@ -299,13 +329,19 @@ class _Linker:
         differ = F.col("x_adds") + F.col("adds") + F.abs(F.col("x_lacks") - F.col("lacks"))
         return _ordered(both.filter(differ <= k * (F.col("x_n") + F.col("n")) + 1e-6), F.col("x_rep"), F.col("rep"))
 
+    def _kept(self, pairs: DataFrame, name: str) -> DataFrame:
+        """All pairs of one name so far, in one table: plans stay as small as in the first round."""
+        path = self.folders.setdefault(name, work_folder(self.docs.sparkSession, f"llm-all-{name}"))
+        pairs.write.mode("append").parquet(path)
+        return self.docs.sparkSession.read.schema(pairs.schema).parquet(path)
+
     def _verify(self, pairs: DataFrame) -> None:
         """Test pairs not tested yet; links are kept, and components formed anew."""
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         side = lambda tag, *more: self.near.select(*[F.col(c).alias(f"{c}_{tag}") for c in ("rep", "n", *more)])
         pairs = stored(pairs, "pairs")
-        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
+        self.tested = self._kept(pairs, "tested")
         at = lambda tag: F.col(tag) == F.col(f"rep_{tag}")
         sized = pairs.join(side("a"), at("a")).join(side("b"), at("b"))
         # sizes alone rule out most pairs, before any sketch is moved
@@ -324,7 +360,7 @@ class _Linker:
         found = stored(found, "links")
         if found.isEmpty():
             return
-        self.links = found if self.links is None else self.links.unionByName(found)
+        self.links = self._kept(found, "links")
         self.labels = components(self.links)
 
 
