@@ -91,6 +91,17 @@ def test_the_mix_of_the_pipeline_is_kept(spark):
     assert not report["met"] and soft.select(rate.alias("w")).first().w == 1
 
 
+def test_a_scarce_domain_holds_nothing_back(spark):
+    """Hardly any poor text: all of it stays, and so does everything good."""
+    rows = [(100, [1.0, 0.0, 0.0])] * 500 + [(10, [0.0, 1.0, 0.0])] * 3 + [(100, [0.0, 0.0, 1.0])] * 20
+    scored = spark.createDataFrame(rows, "tokens bigint, p array<double>")
+    rate, report = mixing.fit_rates(scored, corpus_pipeline.TARGETS, once=True)
+    found = scored.select("p", rate.alias("w")).collect()
+    of = lambda i: [r.w for r in found if r.p[i] == 1.0]
+    assert report["met"] and min(of(0)) > 0.999 and min(of(1)) > 0.99
+    assert abs(sum(of(2)) * 100 - 50_000 * 0.001 / 0.97) < 1
+
+
 def test_mixing_odd_inputs(spark):
     docs = spark.createDataFrame([(1, None, 5.0), (None, "a b", 1.0), (2, "", 1.0), (2, "", 1.0)], "doc_id bigint, text string, rate double")
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 1), (None, 1, 0), (7, None, None)], "doc_id bigint, quality int, toxic int")

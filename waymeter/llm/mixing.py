@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from waymeter.llm.common import fold, packed, release, row_chunks, stored, texts, unpacked, word_bounds, word_hashes
 
 DOMAINS = ("good", "poor", "toxic")
-HASH_BITS = 17
+HASH_BITS = 18
 #: Word features, and after them shares of a text in sixteen steps each.
 WORDS, STEPS, SHARES = 1 << HASH_BITS, 16, 4
 FEATURES = WORDS + STEPS * SHARES
@@ -177,7 +177,7 @@ def fit_rates(
     scaled residuals. Should the steps end before either holds, RuntimeError is raised.
 
     With ``once`` rates are 1 at most and the total is what then can be kept with these
-    shares. If no documents have them, all rates are 1 and the report says that targets are not met.
+    shares; a domain too scarce for its share, beside all of the first domain, has the share it can have. If no documents have them, all rates are 1 and the report says that targets are not met.
     """
     k = range(len(DOMAINS))
     p = [F.col("p")[i] for i in k]
@@ -208,6 +208,9 @@ def fit_rates(
     if once:
         if not share[used].sum() > 0:
             return F.lit(1.0), report | {"met": False}
+        if have[0] > 0 and share[0] > 0:
+            # a domain with less than its part beside all of the first one is kept whole, and holds nothing else back
+            share = np.where(used, np.minimum(share, share[0] * have / have[0]), share)
         share = np.where(used, share, 0.0) / share[used].sum()
         over, aim, total = share, np.zeros(len(DOMAINS)), have.sum()
         value, sums, slopes, kept = measure(weights, over)
