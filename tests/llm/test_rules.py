@@ -96,11 +96,11 @@ def test_each_limit_rejects_an_outlier(spark):
     plain = [(i, "\n".join(words(i * 7 + j, 10) for j in range(6)), "en", "books") for i in range(150)]
     again = " ".join(f"r{k}q" for k in range(5))
     odd = {
-        "symbols": words(900, 40) + " " + "# " * 8,
+        "symbols": " ".join(f"s{k}q" + "#" * (k % 5 == 0) for k in range(40)),
         "short words": " ".join("abcdefghijklmnopqrstuvwxyz"),
         "long words": " ".join(f"{k}" * 30 for k in "abcdefghijklmnop"),
         "lines": "\n".join(f"{words(901 + k, 9)}\na" for k in range(12)),
-        "repeats": again + " " + words(950, 44) + " " + again,
+        "repeats": again + " " + " ".join(f"u{k}v" for k in range(44)) + " " + again,
     }
     rows = plain + [(1000 + i, t, "en", "books") for i, t in enumerate(odd.values())]
     found = {r.doc_id: r for r in quality.assess(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()}
