@@ -1,12 +1,16 @@
 """Mixing to target weights with soft domain membership.
 
 A classifier trained on the labelled table gives each document posterior probabilities of
-its domain. Nonnegative rates are then fitted so that expected tokens per domain, the sum of
-rate * tokens * posterior, match the targets: of all such rates, those nearest to 1. They are
-max(0, 1 + posterior * weights) with one weight for each domain, found by Newton steps. Where
-each document may be drawn once only, rates are bounded by 1 and shares are the targets. A step
-needs only sums over all documents, so each is one aggregate over a narrow table; rates are
-never stored, they follow from a document's posterior and the weights.
+its domain. Nonnegative rates are then fitted by least squares so that expected tokens per
+domain, the sum of rate * tokens * posterior, match the targets, by projected gradient steps.
+Every document has a place, at first 1, and its rate is the place projected on what rates may
+be: 0 or more, and 1 at most where a document may be drawn once only. A step moves the places
+against the gradient of the squared residuals, the posterior times one number for each domain.
+As places are not projected themselves, the sum of all steps tells them, and of all rates that
+meet the targets the steps lead to those nearest to 1. The numbers are the residuals, scaled by
+the inverse of what rates that are free to move can do for them, so few steps are needed. A
+step needs only sums over all documents and is one aggregate over a narrow table; rates are
+never stored, they follow from a document's posterior and the moves.
 """
 
 from __future__ import annotations
@@ -30,11 +34,12 @@ FEATURES = WORDS + STEPS * SHARES
 SAMPLE_ROWS = 8000
 #: Features that fewer of them have are left out.
 LEAST_ROWS = 4
-#: Iterations end when each domain's expected tokens are within this share of its target.
+#: Steps end when each domain's expected tokens are within this share of its target.
 TOLERANCE = 1e-4
-MOST_STEPS = 40
-#: The ridge on the weights, as a share of a domain's tokens, and the slope at which they count as the best, as a share of all.
-RIDGE, OPTIMAL = 1e-8, 1e-7
+#: Passes over the documents; what then is not met is reported.
+MOST_STEPS = 60
+#: The least damping of a step, and the gain below which no step helps, as a share of the loss.
+RIDGE, GAIN = 1e-8, 1e-6
 #: A domain with no more than this share of all tokens has no document; the classifier never gives an exact 0.
 ABSENT = 1e-12
 
@@ -151,18 +156,51 @@ def posteriors(model: tuple[np.ndarray, np.ndarray]):
     return score
 
 
-def rate_of(weights: np.ndarray, share: np.ndarray | None = None) -> Column:
-    """The rate as a column over ``p``: 1 plus the posteriors times the weights, no less than 0.
+def rate_of(moved: np.ndarray, share: np.ndarray | None = None) -> Column:
+    """The rate as a column over ``p``: the place 1 less the posteriors times what was moved, projected on 0 or more.
 
     With ``share`` posteriors count by what they exceed it, and the rate is 1 at most.
     """
-    free = _free_rate(weights, share)
-    return F.greatest(F.lit(0.0), free if share is None else F.least(F.lit(1.0), free))
+    return _projected(_place(moved, share), share)
 
 
-def _free_rate(weights: np.ndarray, share: np.ndarray | None) -> Column:
+def _place(moved: np.ndarray, share: np.ndarray | None) -> Column:
     over = np.zeros(len(DOMAINS)) if share is None else share
-    return sum(((F.col("p")[i] - float(over[i])) * float(w) for i, w in enumerate(weights)), F.lit(1.0))
+    return F.lit(1.0) - sum((F.col("p")[i] - float(over[i])) * float(x) for i, x in enumerate(moved))
+
+
+def _projected(place: Column, share: np.ndarray | None) -> Column:
+    return F.greatest(F.lit(0.0), place if share is None else F.least(F.lit(1.0), place))
+
+
+def descend(measure, aim: np.ndarray, scale: np.ndarray, slack_of) -> tuple[np.ndarray, np.ndarray, float, bool, int]:
+    """Projected gradient steps towards ``aim``: what they move, the sums and tokens reached, whether all aims are met, and passes.
+
+    ``measure(moved)`` gives the sums of the domains, the sums of products of posteriors over
+    documents whose rate is free to move, and the tokens kept; ``slack_of(tokens)`` how far
+    sums may be off. The loss is the sum of squared residuals over ``scale``. A step that does
+    not lower it is damped and tried again; one damped in full is the plain gradient step of
+    a length that cannot raise it.
+    """
+    root, moved, damp = np.sqrt(scale), np.zeros(len(aim)), RIDGE
+    loss = lambda sums: float((((sums - aim) / root) ** 2).sum())
+    sums, gram, kept = measure(moved)
+    norm = np.linalg.eigvalsh(gram / np.outer(root, root)).max()
+    passes = 1
+    while not (met := bool((np.abs(sums - aim) <= slack_of(kept)).all())) and passes < MOST_STEPS:
+        residual = (sums - aim) / root
+        inner = gram / np.outer(root, root) + damp * norm * np.eye(len(root))
+        step = (residual / norm if damp >= 1 else np.linalg.solve(inner, residual)) / root
+        tried = measure(moved + step)
+        passes += 1
+        if loss(sums) - loss(tried[0]) > GAIN * loss(sums):
+            moved, damp = moved + step, max(RIDGE, damp / 10)
+            sums, gram, kept = tried
+        elif damp >= 1:
+            break
+        else:
+            damp = min(1.0, damp * 10)
+    return moved, sums, kept, met, passes
 
 
 def fit_rates(
@@ -173,30 +211,31 @@ def fit_rates(
     ``targets`` are weights that are scaled to one. The total of expected tokens is ``total``,
     or ``reach`` times what the first domain has, by its weight, or else all tokens there are.
     A domain that no document belongs to is left out. ``report["met"]`` tells whether every
-    target is met within TOLERANCE. If not, no rates meet them all, and these have the least
-    scaled residuals. Should the steps end before either holds, RuntimeError is raised.
+    target is met within TOLERANCE. If not, these are the rates with the least scaled
+    residuals that MOST_STEPS passes found.
 
     With ``once`` rates are 1 at most and the total is what then can be kept with these
-    shares; a domain too scarce for its share, beside all of the first domain, has the share it can have. If no documents have them, all rates are 1 and the report says that targets are not met.
+    shares; a domain too scarce for its share, beside all of the first domain, has the share it
+    can have. If no documents have them, all rates are 1 and the report says that targets are not met.
     """
     k = range(len(DOMAINS))
-    p = [F.col("p")[i] for i in k]
     pairs = [(i, j) for i in k for j in k if i <= j]
 
-    def measure(weights: np.ndarray, over: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray, float]:
-        """The function whose slope by the weights is the second value, that slope, its own slope, and expected tokens of all domains."""
-        rate, free, t = rate_of(weights, over), _free_rate(weights, over), F.col("tokens")
-        x = p if over is None else [p[i] - float(over[i]) for i in k]
-        active = t * ((free > 0) & (F.lit(True) if over is None else free <= 1)).cast("double")
-        sums = [F.sum(t * rate * (free - rate / 2)).alias("s"), F.sum(t * rate).alias("kept"), *[F.sum(t * rate * x[i]).alias(f"a{i}") for i in k]]
-        row = scored.agg(*sums, *[F.sum(active * x[i] * x[j]).alias(f"g{i}{j}") for i, j in pairs]).first()
-        slopes = np.array([[row[f"g{min(i, j)}{max(i, j)}"] or 0.0 for j in k] for i in k])
-        return row["s"] or 0.0, np.array([row[f"a{i}"] or 0.0 for i in k]), slopes, row["kept"] or 0.0
-
-    weights = np.zeros(len(DOMAINS))
-    value, sums, slopes, kept = measure(weights)
-    have, used = sums.copy(), sums > ABSENT * sums.sum()
+    def measure(moved: np.ndarray, over: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
+        x = [F.col("p")[i] - (0.0 if over is None else float(over[i])) for i in k]
+        free = (F.col("place") > 0) & (F.lit(True) if over is None else F.col("place") <= 1)
+        weighed = scored.select("tokens", "p", _place(moved, over).alias("place"))
+        weighed = weighed.select("p", (F.col("tokens") * _projected(F.col("place"), over)).alias("drawn"), (F.col("tokens") * free.cast("double")).alias("active"))
+        sums = [F.sum("drawn").alias("kept"), *[F.sum(F.col("drawn") * x[i]).alias(f"a{i}") for i in k]]
+        row = weighed.agg(*sums, *[F.sum(F.col("active") * x[i] * x[j]).alias(f"g{i}{j}") for i, j in pairs]).first()
+        gram = np.array([[row[f"g{min(i, j)}{max(i, j)}"] or 0.0 for j in k] for i in k])
+        return np.array([row[f"a{i}"] or 0.0 for i in k]), gram, row["kept"] or 0.0
+
+    have, _, _ = measure(np.zeros(len(DOMAINS)))
+    used = have > ABSENT * have.sum()
     share = np.array([targets.get(d, 0.0) for d in DOMAINS])
+    if not share.sum() > 0:
+        raise ValueError("targets need a weight above 0")
     share = share / share.sum()
     if total is None:
         total = reach * have[0] / share[0] if reach and share[0] > 0 else have.sum()
@@ -213,38 +252,27 @@ def fit_rates(
             share = np.where(used, np.minimum(share, share[0] * have / have[0]), share)
         share = np.where(used, share, 0.0) / share[used].sum()
         over, aim, total = share, np.zeros(len(DOMAINS)), have.sum()
-        value, sums, slopes, kept = measure(weights, over)
-    # Newton steps on the dual, which is convex; the ridge bounds the weights where targets cannot be met
-    ridge, center, missed = RIDGE * np.where(used & (not once), have, have.sum()), weights, np.inf
-    goal = lambda value, at: value - aim[used] @ at[used] + ridge @ (at - center) ** 2 / 2
-    for steps in range(MOST_STEPS + 1):
-        if once:
-            want = share * kept
-        slack = TOLERANCE * np.maximum(want, TOLERANCE * want.sum())
-        excess = np.where(used, np.abs(sums - aim) / np.maximum(slack, 1e-300), 0.0).max()
-        report |= {"wanted": want, "reached": sums + want if once else sums, "steps": steps, "met": bool(excess <= 1 and (kept > 0 or not once))}
-        if report["met"]:
-            return rate_of(weights, over), report
-        slope = np.where(used, sums - aim, 0.0) + ridge * (weights - center)
-        if np.abs(slope).max() <= OPTIMAL * total:
-            # moving the centre takes the ridge's own share off the residuals, as far as that goes
-            if excess > missed / 2 or not kept:
-                return (F.lit(1.0), report | {"reached": have}) if once else (rate_of(weights), report)
-            center, missed = weights, excess
-            slope = np.where(used, sums - aim, 0.0)
-        if steps == MOST_STEPS:
-            break
-        scale = 1 / np.sqrt(np.diag(slopes) + ridge)
-        step = -scale * np.linalg.solve((slopes + np.diag(ridge)) * np.outer(scale, scale), scale * slope)
-        now, part = goal(value, weights), 1.0
-        while True:
-            tried = measure(weights + part * step, over)
-            if goal(tried[0], weights + part * step) <= now + 1e-4 * part * (slope @ step) + 1e-12 * abs(now) or part < 1e-6:
-                break
-            part /= 2
-        weights = weights + part * step
-        value, sums, slopes, kept = tried
-    raise RuntimeError(f"rates did not converge in {MOST_STEPS} steps: {report}")
+
+    def slack_of(kept: float) -> np.ndarray:
+        aims = share * kept if once else want
+        return (TOLERANCE * np.maximum(aims, TOLERANCE * aims.sum()))[used]
+
+    def full(moved: np.ndarray) -> np.ndarray:
+        all_domains = np.zeros(len(DOMAINS))
+        all_domains[used] = moved
+        return all_domains
+
+    def of_used(moved: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        sums, gram, kept = measure(full(moved), over)
+        return sums[used], gram[np.ix_(used, used)], kept
+
+    scale = np.maximum(share, TOLERANCE)[used] * total if once else have[used]
+    moved, sums, kept, met, passes = descend(of_used, aim[used], scale, slack_of)
+    met = met and bool(not once or kept > ABSENT * total)
+    report |= {"wanted": share * kept if once else want, "reached": full(sums) + (share * kept if once else 0), "steps": passes, "met": met}
+    if once and not met:
+        return F.lit(1.0), report | {"reached": have}
+    return rate_of(full(moved), over), report
 
 
 def mix(
