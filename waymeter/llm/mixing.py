@@ -19,8 +19,6 @@ import warnings
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from waymeter.llm.common import fold, packed, release, row_chunks, stored, texts, unpacked, word_bounds, word_hashes
@@ -34,6 +32,8 @@ FEATURES = WORDS + STEPS * SHARES
 SAMPLE_ROWS = 8000
 #: Features that fewer of them have are left out.
 LEAST_ROWS = 4
+#: Penalties on the classifier's weights, by their size and by their squares; its steps, and the change of its loss that ends them.
+LASSO, SQUARES, FIT_STEPS, FIT_CHANGE = 9e-5, 1e-5, 400, 1e-7
 #: Steps end when each domain's expected tokens are within this share of its target.
 TOLERANCE = 1e-4
 #: Passes over the documents; what then is not met is reported.
@@ -94,45 +94,84 @@ def worst_labels(labels: DataFrame) -> DataFrame:
     return named.filter("_labelled IS NOT NULL AND label IS NOT NULL").groupBy("_labelled").agg(F.max("label").alias("label"))
 
 
+def fit_classifier(at: np.ndarray, edges: np.ndarray, y: np.ndarray, n_features: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (features x domains) and biases of a multinomial logistic classifier by accelerated proximal gradient steps.
+
+    Row i has the features ``at[edges[i]:edges[i + 1]]``, each once, and domain ``y[i]``. The
+    loss is the mean log loss with the penalties LASSO and SQUARES, the bias being free of them.
+    """
+    n, k = len(y), len(DOMAINS)
+    sizes = np.diff(edges)
+    of_row = np.repeat(np.arange(n), sizes)
+    goal = np.eye(k)[y]
+    # each weight has a step of its own: a row with s features bends the loss by s / 2 at most in each of them
+    bend = np.bincount(at, (sizes[of_row] + 1) / (2 * n), n_features)
+    rate, bias_rate = (1 / (bend + SQUARES))[:, None], 1 / ((sizes + 1).sum() / (2 * n))
+    w, bias = np.zeros((n_features, k)), np.zeros(k)
+    ahead, bias_ahead, pace, last = w, bias, 1.0, np.inf
+    for _ in range(FIT_STEPS):
+        z = np.stack([np.bincount(of_row, ahead[at, d], n) for d in range(k)], axis=1) + bias_ahead
+        z -= z.max(axis=1, keepdims=True)
+        log_p = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+        loss = -(log_p * goal).sum() / n + LASSO * np.abs(ahead).sum() + SQUARES / 2 * (ahead**2).sum()
+        if abs(last - loss) <= FIT_CHANGE * loss:
+            break
+        if loss > last:
+            pace = 1.0  # the momentum went too far: start it anew
+        last = loss
+        g = (np.exp(log_p) - goal) / n
+        slope = np.stack([np.bincount(at, g[of_row, d], n_features) for d in range(k)], axis=1) + SQUARES * ahead
+        moved = ahead - rate * slope
+        new = np.sign(moved) * np.maximum(0, np.abs(moved) - rate * LASSO)
+        new_bias = bias_ahead - bias_rate * g.sum(axis=0)
+        faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+        ahead, bias_ahead = new + (pace - 1) / faster * (new - w), new_bias + (pace - 1) / faster * (new_bias - bias)
+        w, bias, pace = new, new_bias, faster
+    return w, bias
+
+
+def _fit_sample(batches):
+    """All rows of the bounded sample (label, at) to (feature, w): weights other than 0, and the bias as feature -1."""
+    labels, lists = [], []
+    for batch in batches:
+        labels.append(batch.column("label").to_numpy(zero_copy_only=False))
+        lists.append(batch.column("at"))
+    y = np.concatenate(labels).astype(np.int64) if labels else np.zeros(0, np.int64)
+    sizes = np.concatenate([c.value_lengths().to_numpy(zero_copy_only=False) for c in lists] or [y])
+    raw = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in lists] or [y])
+    seen = np.unique(y)
+    usual = np.flatnonzero(np.bincount(raw, minlength=FEATURES) >= LEAST_ROWS)
+    feature, w = [-1], [np.isin(np.arange(len(DOMAINS)), seen) * 50.0]
+    if len(seen) > 1 and len(usual):
+        keep = np.isin(raw, usual)
+        left = np.bincount(np.repeat(np.arange(len(y)), sizes)[keep], minlength=len(y))
+        found, bias = fit_classifier(np.searchsorted(usual, raw[keep]), np.concatenate(([0], np.cumsum(left))), y, len(usual))
+        bias = np.where(np.isin(np.arange(len(DOMAINS)), seen), bias, -50.0)
+        used = np.flatnonzero(np.abs(found).sum(axis=1))
+        feature, w = [-1, *usual[used].tolist()], [bias, *found[used]]
+    yield pa.RecordBatch.from_arrays([pa.array(feature, pa.int32()), pa.array([list(map(float, x)) for x in w], pa.list_(pa.float64()))], ["feature", "w"])
+
+
 def train(
     docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", sample_rows: int = SAMPLE_ROWS
 ) -> tuple[np.ndarray, np.ndarray]:
     """A sparse multinomial logistic classifier: features in order, and weights with one row for each domain, the last column the bias.
 
     ``labels`` has ``doc_id quality toxic``; a document labelled more than once counts as the worst.
-    With no labelled document, every domain is as likely; with labels of a single domain,
-    that one is certain.
+    At most ``sample_rows`` labelled documents are fitted, in one task that holds only which
+    features they have; their number does not grow with the data. With no labelled document,
+    every domain is as likely; with labels of a single domain, that one is certain.
     """
     named = worst_labels(labels)
     # at most sample_rows small rows, so this broadcast does not grow with the data
     chosen = F.broadcast(named.orderBy(F.xxhash64("_labelled"), "_labelled").limit(sample_rows))
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(chosen, F.col("_id") == F.col("_labelled"))
     rows = stored(rows.select("label", find_features("_text")["features"].alias("at")), "labelled")
-    seen = sorted(r[0] for r in rows.select("label").distinct().collect())
-    usual = rows.select(F.explode("at").alias("f")).groupBy("f").count().filter(F.col("count") >= LEAST_ROWS)
-    # no more than FEATURES numbers, and those of a bounded sample
-    kept = np.array(sorted(r[0] for r in usual.select("f").collect()), np.int64)
-    weights = np.zeros((len(DOMAINS), len(kept) + 1))
-    if len(seen) < 2 or not len(kept):
-        weights[[int(x) for x in seen], -1] = 50.0
-        return kept, weights
-
-    def vector(at):
-        place = np.searchsorted(kept, at)
-        place = place[kept[np.minimum(place, len(kept) - 1)] == at]
-        return SparseVector(len(kept), place.tolist(), [1.0] * len(place))
-
-    # domains without labels would leave gaps, so those seen are numbered anew
-    number = F.create_map(*[F.lit(x) for i, d in enumerate(seen) for x in (d, float(i))])[F.col("label")]
-    ready = stored(rows.select(number.alias("label"), F.udf(vector, VectorUDT())("at").alias("features")), "vectors")
-    # the optimiser keeps some twenty copies of the coefficients on the driver; make room for them
-    release(docs.sparkSession)
-    model = LogisticRegression(family="multinomial", regParam=0.0001, elasticNetParam=0.9, maxIter=50, standardization=False).fit(ready)
-    weights[[d for d in range(len(DOMAINS)) if float(d) not in seen], -1] = -50.0
-    for i, d in enumerate(seen):
-        weights[int(d), :-1] = model.coefficientMatrix.toArray()[i]
-        weights[int(d), -1] = model.interceptVector[i]
-    return kept, weights
+    # no more than FEATURES rows, of which the penalty leaves few
+    found = sorted(rows.coalesce(1).mapInArrow(_fit_sample, "feature int, w array<double>").collect())
+    kept = np.array([r.feature for r in found if r.feature >= 0], np.int64)
+    bias = [r.w for r in found if r.feature < 0] or [[0.0] * len(DOMAINS)]
+    return kept, np.array([*[r.w for r in found if r.feature >= 0], bias[0]]).T
 
 
 def posteriors(model: tuple[np.ndarray, np.ndarray]):
