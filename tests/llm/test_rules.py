@@ -1,6 +1,7 @@
 """Exact dedup, URL filters, quality rules, personal data and secrets against brute force."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -154,11 +155,66 @@ def test_disclosing_terms_are_found(spark):
     kinds = {(s.kind, found[1000].text[s.start : s.end]) for s in found[1000].spans}
     assert ("email", "Bob@x.org") in kinds and ("removed", "zanzibar") in kinds and ("generalised", "half") in kinds
     assert found[1000].sanitised.startswith("é  w0 ") and "[EMAIL]" in found[1000].sanitised and "[TERM]" in found[1000].sanitised
-    assert not found[0].spans and found[0].sanitised == found[0].text and not found[2000].spans
+    assert not found[0].spans and found[0].sanitised == found[0].text
+    # a term that discloses is treated where the entity is missing, too
+    assert [(s.kind, s.start, s.end) for s in found[2000].spans] == [("generalised", 0, 4)] and found[2000].sanitised == "[TERM] other w0"
     assert found[3000].spans == [] and found[3000].sanitised is None and found[3002].spans == found[1000].spans
     assert privacy.sanitise(docs.limit(0)).count() == 0
 
 
+def _treated(docs: list[str | None]) -> list[list[tuple[str, int, int]]]:
+    """Spans of all texts, one pair of entity and term at a time."""
+    once = sorted({t for t in docs if t is not None} | ({None} if None in docs else set()), key=lambda t: t or "")
+    entities, words = [], []
+    for t in once:
+        base = privacy.base_spans(t or "")
+        entities.append({(k, e) for _, k, _, e in base})
+        words.append({m.group().translate(FOLD) for m in re.finditer(r"[0-9A-Za-z\x80-\U0010ffff]+", t or "") if len(m.group().encode()) >= 3})
+    free = [{w.translate(FOLD) for w, *_ in _free_words(t or "")} for t in once]
+    actions: dict[str, str] = {}
+    for e in set().union(*entities):
+        of_e = [i for i in range(len(once)) if e in entities[i]]
+        for w in set().union(*[free[i] for i in of_e]):
+            both, n = sum(w in free[i] for i in of_e), sum(w in x for x in words)
+            bits = math.log2(len(once) / len(of_e))
+            share = both / (both + privacy.DOUBT) * math.log2(len(once) * both / (len(of_e) * n)) / bits if bits else 0
+            if share >= privacy.GENERALISE:
+                actions[w] = max(actions.get(w, ""), "removed" if share >= privacy.REMOVE else "generalised")
+    return [
+        sorted((privacy.KINDS[k], a, b) for a, k, b, _ in privacy.base_spans(t or ""))
+        + sorted((actions[w.translate(FOLD)], a, b) for w, a, b in _free_words(t or "") if w.translate(FOLD) in actions)
+        for t in docs
+    ]
+
+
+def _free_words(text: str) -> list[tuple[str, int, int]]:
+    base = privacy.base_spans(text)
+    words = [(m.group(), *m.span()) for m in re.finditer(r"[0-9A-Za-z\x80-\U0010ffff]+", text) if len(m.group().encode()) >= 3]
+    return [w for w in words if all(w[2] <= a or w[1] >= b for a, _, b, _ in base)]
+
+
+def test_disclosure_equals_brute_force(spark):
+    rng = random.Random(4)
+    people = [f"p{i}@x.org" for i in range(12)] + ["10.0.0.1", "+49 170 1234567"]
+    docs: list[str | None] = []
+    for i in range(400):
+        words = [rng.choice(("", "É", "w")) + f"w{int(rng.paretovariate(0.6)) % 300}" for _ in range(rng.randrange(1, 25))]
+        if i % 3 == 0:
+            who = rng.randrange(len(people))
+            words += [people[who], f"Sign{who}", f"often{who % 3}"] * rng.randrange(1, 3)
+        if i % 7 == 0:
+            words += [f"sign{rng.randrange(len(people))}"]
+        rng.shuffle(words)
+        docs.append(" ".join(words))
+    docs += docs[:60] + [docs[0]] * 30 + [None, None, "", "4111111111111111 " * 3, "x" * 200_000 + " sign1 " + "é " * 5000 + "often2"]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string").repartition(5)
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in privacy.sanitise(frame).collect()}
+    expected = _treated(docs)
+    assert {k for spans in expected for k, *_ in spans} >= {"generalised", "removed", "email"}
+    without = [i for i, spans in enumerate(expected) if spans and all(k in ("generalised", "removed") for k, *_ in spans)]
+    assert without and all(sorted(found[i]) == sorted(expected[i]) for i in range(len(docs)))
+
+
 def test_copies_of_a_text_are_no_evidence(spark):
     rng = random.Random(2)
     rows = [(i, " ".join(f"w{rng.randrange(400)}" for _ in range(60))) for i in range(300)]

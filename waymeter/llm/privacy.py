@@ -1,10 +1,11 @@
 """Personal data: base patterns, then terms that give protected entities away.
 
-A value found by a pattern in several different texts is a protected entity. Over all
-documents, the pointwise mutual information of an entity and a term, divided by the
-information of the entity itself, tells how much of the entity the term discloses: 1 if
-the term occurs only with it. In the documents that hold the entity, terms above one
-threshold are generalised and above a higher one removed.
+A value found by a base pattern is a protected entity. Over all different texts, the pointwise
+mutual information of an entity and a term, divided by the information of the entity
+itself, tells how much of the entity the term discloses: 1 if the term occurs only with
+it. The share shrinks smoothly where few texts speak for it. A term above one threshold
+is generalised and above a higher one removed, in whatever document it stands: where the
+entity itself is missing the term still points to it.
 """
 
 from __future__ import annotations
@@ -21,12 +22,14 @@ from waymeter.llm.common import fold, packed, row_chunks, stored, texts, unpacke
 #: Kinds in the order of ties.
 KINDS = ("email", "ip", "card", "phone", "generalised", "removed")
 BASE = 4
-#: Different texts that must hold an entity, and documents that must hold entity and term.
-LEAST_TEXTS, LEAST_TOGETHER = 3, 3
+#: Texts of doubt: a share counts n / (n + DOUBT) where n texts hold both entity and term.
+DOUBT = 0.5
 #: Shares of an entity's information from which a term is generalised or removed.
 GENERALISE, REMOVE = 0.7, 0.9
 #: Shorter terms, in bytes, are left alone.
 LEAST_TERM = 3
+#: Bits of the filter of rated terms that tasks hold: this many for each term, a power of two within the bounds.
+FILTER_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 26
 
 SPAN = T.StructType(
     [T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("entity", T.StringType())]
@@ -151,25 +154,69 @@ def distinct_texts(docs: DataFrame, text: str, keys: DataFrame) -> DataFrame:
     return once.unionAll(own.join(several, again, "left_semi").select(F.col(f"`{text}`")).distinct())
 
 
+def located(column: pa.Array, spans: pa.Array, wanted=None) -> pa.Array:
+    """The terms of each text outside its base spans, with their places in code points; only those with ``wanted`` hashes, if given."""
+    kind = pa.list_(pa.struct([("term", pa.int64()), ("starts", pa.list_(pa.int64())), ("length", pa.int64())]))
+    data, offsets = texts(column)
+    out: list[list[dict]] = [[] for _ in range(len(column))]
+    for low, high in row_chunks(offsets):
+        part = data[offsets[low] : offsets[high]]
+        terms, rows, starts, ends = _terms(part, offsets[low : high + 1] - offsets[low])
+        if wanted is not None:
+            near = wanted(terms)
+            terms, rows, starts, ends = terms[near], rows[near], starts[near], ends[near]
+        if not len(terms):
+            continue
+        # bytes that begin a character, counted up to each place and from the start of its text
+        chars = np.concatenate(([0], np.cumsum((part & 0xC0) != 0x80)))
+        begun = chars[offsets[low:high] - offsets[low]][rows]
+        a, b = chars[starts] - begun, chars[ends] - begun
+        cuts = np.searchsorted(rows, np.arange(high - low + 1))
+        for row in np.flatnonzero(cuts[1:] > cuts[:-1]):
+            own = slice(cuts[row], cuts[row + 1])
+            found = spans[low + int(row)].as_py() or []
+            t, x, y = terms[own], a[own], b[own]
+            free = np.ones(len(t), bool)
+            for s in found:
+                free &= (y <= s["start"]) | (x >= s["end"])
+            t, x, y = t[free], x[free], y[free]
+            if not len(t):
+                continue
+            order = np.argsort(t, kind="stable")
+            groups = np.split(order, np.flatnonzero(t[order][1:] != t[order][:-1]) + 1)
+            out[low + row] = [{"term": int(t[g[0]]), "starts": x[g].tolist(), "length": int(y[g[0]] - x[g[0]])} for g in groups]
+    return pa.array(out, kind)
+
+
 @F.arrow_udf(T.ArrayType(TERM))
 def find_terms(column: pa.Array, spans: pa.Array) -> pa.Array:
-    """The terms of a text outside its base spans, with their places in code points."""
-    out = []
-    for text, found in zip(column, spans.to_pylist()):
-        raw = np.frombuffer((text.as_py() or "").encode(), np.uint8)
-        terms, _, starts, ends = _terms(raw, np.array([0, len(raw)]))
-        # bytes that begin a character, counted up to each place
-        chars = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
-        a, b = chars[starts], chars[ends]
-        free = np.ones(len(terms), bool)
-        for s in found:
-            free &= (b <= s["start"]) | (a >= s["end"])
-        terms, a, b = terms[free], a[free], b[free]
-        order = np.argsort(terms, kind="stable")
-        heads = np.flatnonzero(np.concatenate(([True], terms[order][1:] != terms[order][:-1]))) if len(terms) else []
-        groups = np.split(order, heads[1:]) if len(terms) else []
-        out.append([{"term": int(terms[g[0]]), "starts": a[g].tolist(), "length": int(b[g[0]] - a[g[0]])} for g in groups])
-    return pa.array(out, pa.list_(pa.struct([("term", pa.int64()), ("starts", pa.list_(pa.int64())), ("length", pa.int64())])))
+    """The terms of a text outside its base spans."""
+    return located(column, spans)
+
+
+def term_filter(rated: DataFrame):
+    """An Arrow function like :func:`find_terms` that passes only terms whose bit some rated term sets.
+
+    The bits are or-ed together by words of 64 before they reach the driver, so their size is bounded
+    whatever the number of terms; a full filter only passes more to the exact join.
+    """
+    size = LEAST_BITS
+    n = rated.count()
+    while size < min(n * FILTER_BITS, MOST_BITS):
+        size *= 2
+    bit = F.col("of_term").bitwiseAND(F.lit(size - 1))
+    words = rated.select(F.shiftright(bit, 6).alias("word"), F.expr("shiftleft(1L, cast(of_term & 63 AS int))").alias("bits"))
+    words = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = np.zeros(size // 64, np.int64)
+    bits[words["word"].to_numpy()] = words["bits"].to_numpy()
+    sent = rated.sparkSession.sparkContext.broadcast(bits)
+
+    @F.arrow_udf(T.ArrayType(TERM))
+    def rated_terms(column: pa.Array, spans: pa.Array) -> pa.Array:
+        own = sent.value
+        return located(column, spans, lambda terms: (own[(terms & (size - 1)) >> 6] >> (terms & 63)) & 1 == 1)
+
+    return rated_terms
 
 
 @F.arrow_udf(T.StringType())
@@ -192,33 +239,37 @@ def rewritten(column: pa.Array, spans: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def _disclosing(found: DataFrame, docs: DataFrame, text: str, generalise: float, remove: float) -> DataFrame:
-    """(_uid, extra): spans of terms to treat, for the documents that have some."""
-    held = found.filter(F.size("_spans") > 0)
-    pairs = held.select("_uid", "_key", F.explode(F.array_distinct(F.transform("_spans", lambda s: s["entity"]))).alias("entity"))
-    # every count is of different texts: one row for each text first, so that copies count as one
-    protected = pairs.select("entity", "_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    protected = stored(protected.filter(F.col("n_entity") >= LEAST_TEXTS), "entities")
-    owners = pairs.select("_uid", "entity").join(protected.select("entity"), "entity").groupBy("_uid").agg(F.collect_set("entity").alias("entities"))
-    owners = stored(owners.withColumnRenamed("_uid", "_owner"), "owners")
-    with_text = held.select("_uid", "_key", "_text", "_spans").join(owners, F.col("_uid") == F.col("_owner"))
-    terms = with_text.select("_uid", "_key", "entities", F.explode(find_terms("_text", "_spans")).alias("t")).select("_uid", "_key", "entities", "t.*")
-    terms = stored(terms, "terms")
-    together = terms.select(F.explode("entities").alias("entity"), "term", "_key").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    together = stored(together.filter(F.col("n_both") >= LEAST_TOGETHER), "together")
-    keys = found.groupBy("_key").agg(F.count(F.lit(1)).alias("rows"))
-    counts = document_counts(distinct_texts(docs, text, keys), text)
-    n_docs = F.lit(keys.count())
-    rated = together.join(counts, "term").join(protected, "entity")
+def disclosing_terms(docs: DataFrame, text: str = "text", generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+    """(of_term, action): hashes of the terms that give an entity away, each once with its severest action.
+
+    All counts are of different texts, so copies are no evidence. Pairs that cannot reach the
+    threshold are dropped by exact bounds before terms and entities of a text meet.
+    """
+    own = docs.select(F.col(f"`{text}`").alias("_text")).withColumn("_spans", find_base("_text"))
+    keyed = docs.select(F.xxhash64(F.col(f"`{text}`")).alias("_key"))
+    keys = stored(keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("rows")), "keys")
+    n_docs = float(keys.count())
+    held = own.filter(F.size("_spans") > 0).withColumn("_key", F.xxhash64("_text"))
+    held = stored(stored(held, "held").dropDuplicates(["_key"]), "held-once")
+    entities = F.explode(F.array_distinct(F.transform("_spans", lambda s: s["entity"]))).alias("entity")
+    pairs = held.select(F.col("_key").alias("_owner"), entities)
+    protected = pairs.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    # n / (n + DOUBT) is the most that n texts can show
+    shown = lambda n: n / (n + F.lit(DOUBT))
+    protected = stored(protected.filter(shown(F.col("n_entity")) >= generalise), "entities")
+    owners = stored(pairs.join(protected, "entity"), "owners")
+    counts = document_counts(distinct_texts(docs, text, keys), text).filter(shown(F.col("n")) >= generalise)
+    with_text = held.join(owners.select("_owner").distinct(), F.col("_key") == F.col("_owner"), "left_semi")
+    terms = with_text.select("_key", F.explode(find_terms("_text", "_spans")).alias("t")).select("_key", "t.term").join(counts, "term")
+    # a term in n texts discloses at most log2(n_docs / n) bits of an entity in fewer
+    bits = F.log2(n_docs / F.col("n_entity"))
+    reachable = (F.col("_key") == F.col("_owner")) & (F.log2(n_docs / F.greatest("n", "n_entity")) >= generalise * bits - 1e-9)
+    together = terms.join(owners, reachable).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"), F.first("n").alias("n"), F.first("n_entity").alias("n_entity"))
     gain = F.log2(n_docs * F.col("n_both") / (F.col("n_entity") * F.col("n")))
-    share = gain / F.nullif(F.log2(n_docs / F.col("n_entity")), F.lit(0.0))
+    share = shown(F.col("n_both")) * gain / F.nullif(bits, F.lit(0.0))
     action = F.when(share >= remove, "removed").when(share >= generalise, "generalised")
-    rated = stored(rated.select(F.col("entity").alias("of_entity"), F.col("term").alias("of_term"), action.alias("action")).filter("action IS NOT NULL"), "rated")
-    hit = terms.withColumn("entity", F.explode("entities")).join(rated, (F.col("entity") == F.col("of_entity")) & (F.col("term") == F.col("of_term")))
-    hit = hit.groupBy("_uid", "term", "starts", "length").agg(F.max("action").alias("kind"))  # removed is the later word
-    spans = hit.select("_uid", "kind", "length", F.explode("starts").alias("start"))
-    span = F.struct("kind", "start", (F.col("start") + F.col("length")).alias("end"), F.lit(None).cast("string").alias("entity"))
-    return stored(spans.groupBy(F.col("_uid").alias("_treated")).agg(F.collect_list(span).alias("_extra")), "treated")
+    rated = together.select(F.col("term").alias("of_term"), action.alias("action")).filter("action IS NOT NULL")
+    return stored(rated.groupBy("of_term").agg(F.max("action").alias("action")), "rated")  # removed is the later word
 
 
 def sanitise(
@@ -226,21 +277,24 @@ def sanitise(
 ) -> DataFrame:
     """``docs`` with ``spans`` (kind, start, end, entity; code points, end exclusive) and the ``sanitised`` text.
 
-    Spans come by start, then in the order of KINDS. Base spans always stay; terms are added
-    where they disclose an entity of their own document. An entity needs LEAST_TEXTS
-    different texts, and all counts are of different texts, so copies of one text are no evidence. A null text has no spans and
-    stays null. Rows are numbered when they are stored, so repeated rows are treated alike.
+    Spans come by start, then in the order of KINDS. Base spans always stay; a term that discloses
+    an entity is added wherever it stands outside base spans. Counts are of different texts, so copies of one text are no
+    evidence, and a pair seen together in one text only stays below any threshold over 1 / (1 + DOUBT). A null text has no spans and
+    stays null. Rows are numbered when they are stored, so repeated rows are treated alike; an empty table stays empty.
     ``keep_text=False`` leaves text and ``sanitised`` out. Columns of ``docs`` with the name
     of a result column are replaced.
     """
-    rows = packed(docs).withColumn("_spans", find_base(F.col(f"_row.`{text}`"))).withColumn("_uid", F.monotonically_increasing_id())
-    rows = rows.withColumn("_key", F.xxhash64(F.col(f"_row.`{text}`")))
-    # the text is kept apart only where something was found
-    rows = rows.withColumn("_text", F.when(F.size("_spans") > 0, F.col(f"_row.`{text}`")))
+    rated = disclosing_terms(docs, text, generalise, remove)
+    column = F.col(f"_row.`{text}`")
+    rows = packed(docs).withColumn("_spans", find_base(column)).withColumn("_near", term_filter(rated)(column, "_spans"))
+    rows = rows.withColumn("_uid", F.monotonically_increasing_id())
     if not keep_text:
         rows = rows.withColumn("_row", F.col("_row").dropFields(f"`{text}`"))
     found = stored(rows, "spans")
-    extra = _disclosing(found, docs, text, generalise, remove)
+    hit = found.select("_uid", F.explode("_near").alias("t")).select("_uid", "t.*").join(rated, F.col("term") == F.col("of_term"))
+    spans = hit.select("_uid", "action", "length", F.explode("starts").alias("start"))
+    span = F.struct(F.col("action").alias("kind"), "start", (F.col("start") + F.col("length")).alias("end"), F.lit(None).cast("string").alias("entity"))
+    extra = stored(spans.groupBy(F.col("_uid").alias("_treated")).agg(F.collect_list(span).alias("_extra")), "treated")
     order = F.create_map(*[F.lit(x) for i, kind in enumerate(KINDS) for x in (kind, i)])
     joined = found.join(extra, F.col("_uid") == F.col("_treated"), "left")
     both = F.concat("_spans", F.coalesce("_extra", F.array().cast(T.ArrayType(SPAN))))
