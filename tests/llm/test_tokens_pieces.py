@@ -78,6 +78,14 @@ def test_space_mark_in_a_text_is_reported(spark):
     assert not pieces.encode_documents(odd, public_tokenizers.path("piece_bpe_32k.model")).first().decoded_equal
 
 
+def test_other_columns_stay(spark):
+    rows = [(1, "the cat", "a", "b", 5), (2, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _pieces string, _pieces_ string, n_pieces int")
+    found = {r.doc_id: r for r in pieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model")).collect()}
+    assert (found[1]._pieces, found[1]._pieces_, found[1].n_pieces) == ("a", "b", len(found[1].ids))
+    assert found[2].n_pieces == 0 and found[2]._pieces is None and found[2].samples == []
+
+
 def all_paths(lattices, at):
     first, following, piece, log_c = lattices.first, lattices.next, lattices.piece, lattices.log_c
 
