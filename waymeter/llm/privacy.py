@@ -28,6 +28,8 @@ DOUBT = 0.5
 GENERALISE, REMOVE = 0.7, 0.9
 #: Shorter terms, in bytes, are left alone.
 LEAST_TERM = 3
+#: Bytes of text whose terms are located at once.
+LOCATED_BYTES = 1 << 18
 #: Bits of the filter of rated terms that tasks hold: this many for each term, a power of two within the bounds.
 FILTER_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 26
 
@@ -88,13 +90,16 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(spans)
 
 
-@F.arrow_udf(T.ArrayType(SPAN))
-def find_base(column: pa.Array) -> pa.Array:
+def base_of(column: pa.Array) -> pa.Array:
+    """The base spans of each text."""
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("entity", pa.string())]))
     rows = ([{"kind": KINDS[k], "start": a, "end": b, "entity": f"{KINDS[k]}:{e}"} for a, k, b, e in base_spans(text.as_py() or "")] for text in column)
     return pa.array(list(rows), kind)
 
 
+find_base = F.arrow_udf(base_of, T.ArrayType(SPAN))
+
+
 def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Hash, row, start and end of every term of some texts."""
     starts, ends, rows = word_bounds(data, offsets, _BREAKS)
@@ -159,7 +164,7 @@ def located(column: pa.Array, spans: pa.Array, wanted=None) -> pa.Array:
     kind = pa.list_(pa.struct([("term", pa.int64()), ("starts", pa.list_(pa.int64())), ("length", pa.int64())]))
     data, offsets = texts(column)
     out: list[list[dict]] = [[] for _ in range(len(column))]
-    for low, high in row_chunks(offsets):
+    for low, high in row_chunks(offsets, LOCATED_BYTES):
         part = data[offsets[low] : offsets[high]]
         terms, rows, starts, ends = _terms(part, offsets[low : high + 1] - offsets[low])
         if wanted is not None:
@@ -195,7 +200,7 @@ def find_terms(column: pa.Array, spans: pa.Array) -> pa.Array:
 
 
 def term_filter(rated: DataFrame):
-    """An Arrow function like :func:`find_terms` that passes only terms whose bit some rated term sets.
+    """An Arrow function from texts to base spans and those other terms whose bit some rated term sets.
 
     The bits are or-ed together by words of 64 before they reach the driver, so their size is bounded
     whatever the number of terms; a full filter only passes more to the exact join.
@@ -211,12 +216,13 @@ def term_filter(rated: DataFrame):
     bits[words["word"].to_numpy()] = words["bits"].to_numpy()
     sent = rated.sparkSession.sparkContext.broadcast(bits)
 
-    @F.arrow_udf(T.ArrayType(TERM))
-    def rated_terms(column: pa.Array, spans: pa.Array) -> pa.Array:
-        own = sent.value
-        return located(column, spans, lambda terms: (own[(terms & (size - 1)) >> 6] >> (terms & 63)) & 1 == 1)
+    @F.arrow_udf(T.StructType([T.StructField("spans", T.ArrayType(SPAN)), T.StructField("near", T.ArrayType(TERM))]))
+    def judged(column: pa.Array) -> pa.Array:
+        own, spans = sent.value, base_of(column)
+        near = located(column, spans, lambda terms: (own[(terms & (size - 1)) >> 6] >> (terms & 63)) & 1 == 1)
+        return pa.StructArray.from_arrays([spans, near], ["spans", "near"])
 
-    return rated_terms
+    return judged
 
 
 @F.arrow_udf(T.StringType())
@@ -286,11 +292,10 @@ def sanitise(
     """
     rated = disclosing_terms(docs, text, generalise, remove)
     column = F.col(f"_row.`{text}`")
-    rows = packed(docs).withColumn("_spans", find_base(column)).withColumn("_near", term_filter(rated)(column, "_spans"))
-    rows = rows.withColumn("_uid", F.monotonically_increasing_id())
+    rows = packed(docs).withColumn("_found", term_filter(rated)(column)).withColumn("_uid", F.monotonically_increasing_id())
     if not keep_text:
         rows = rows.withColumn("_row", F.col("_row").dropFields(f"`{text}`"))
-    found = stored(rows, "spans")
+    found = stored(rows.select("_row", "_uid", F.col("_found.spans").alias("_spans"), F.col("_found.near").alias("_near")), "spans")
     hit = found.select("_uid", F.explode("_near").alias("t")).select("_uid", "t.*").join(rated, F.col("term") == F.col("of_term"))
     spans = hit.select("_uid", "action", "length", F.explode("starts").alias("start"))
     span = F.struct(F.col("action").alias("kind"), "start", (F.col("start") + F.col("length")).alias("end"), F.lit(None).cast("string").alias("entity"))
