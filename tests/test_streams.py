@@ -271,3 +271,49 @@ def test_streams_run_in_a_plain_session_elsewhere(tmp_path):
     run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
     rows = {line.split()[1]: int(line.split()[2]) for line in run.stdout.splitlines() if line.startswith("ROWS")}
     assert run.returncode == 0 and len(rows) == 4 and all(rows.values()), run.stderr[-2000:]
+
+
+def test_a_stream_may_take_as_long_as_it_needs():
+    """Ten minutes were an error before."""
+    from waymeter import registry
+
+    class Slow:
+        stopped = False
+
+        def awaitTermination(self, timeout=None):
+            return None if timeout is None else False
+
+        def stop(self):
+            self.stopped = True
+
+    slow = Slow()
+    registry._finish(slow)
+    assert slow.stopped
+
+
+def test_open_lives_go_on_in_the_next_batch(spark):
+    """Changes one by one against all at once: acceptance before creation is known, repeats, two lives, an idle one."""
+    rows = trip("b1") + [
+        {"booking_id": "b1", "status": "DRIVER_ACCEPTED", "updated_at": after(20), "seq": 4},
+        {"booking_id": "b1", "op": "c", "status": "REQUESTED", "created_at": after(19), "updated_at": after(21), "seq": 5},
+        {"booking_id": "b1", "op": "c", "status": "REQUESTED", "created_at": after(22), "updated_at": after(22), "seq": 6},
+        {"booking_id": "b1", "status": "CANCELED", "updated_at": after(30), "seq": 7},
+        {"booking_id": "b2", "op": "c", "status": "ACCEPTED", "created_at": after(1), "updated_at": after(1), "seq": 8},
+    ]
+    rows += [{"booking_id": "b2", "status": "STARTED", "updated_at": after(n), "seq": 9 + n} for n in range(3)]
+    rows += [{"booking_id": "b2", "status": "COMPLETED", "platform_fee": 7.0, "updated_at": after(40), "seq": 12}]
+    changes = bookings(spark, rows)
+    job = jobs.BookingJob(spark, work_folder(spark, "one-by-one"))
+    fired = []
+    for n in [*range(8), 8, 9, 10, 10, 11, 12]:  # one of them twice
+        fired = [*fired[:n], job.fire(changes.filter(F.col("seq") == n), n).collect()]
+        if n == 11:
+            assert [(r.booking_id, len(r.known)) for r in job.lives.read().collect()] == [("b2", 4)]
+    names = b.booking_triggers(changes).columns
+    shown = lambda r: tuple(str(r[c]) for c in names)
+    assert sorted(shown(r) for batch in fired for r in batch) == sorted(map(shown, b.booking_triggers(changes).collect()))
+    assert job.lives.read().count() == 0
+    # a life that idles is forgotten
+    job.fire(changes.filter("seq = 8"), 13, now=0)
+    job.fire(changes.filter("seq = 12"), 14, now=31 * 86_400)
+    assert [r.lead_seconds for r in spark.read.parquet(f"{job.path}/triggers/batch_id=14").collect()] == [None]
