@@ -2,6 +2,7 @@ import pytest
 from fixtures import NOON, after, bookings, t, trip
 from pyspark.sql import functions as F
 
+from waymeter.functions import timing
 from waymeter.operators import bookings as b, buckets, marts
 from waymeter.plans import quality, views
 from waymeter.schema import FACT, FACT_KEY, SNAPSHOT
@@ -150,3 +151,16 @@ def test_audits(spark, facts):
     assert quality.money_check(facts).filter("NOT passed").count() == 0
     assert quality.late_events(rows, facts).filter("NOT found").count() == 0
     assert quality.recent_writes(facts, F.lit(after(105)).cast("timestamp_ntz")).first().passed
+
+
+def test_roll_up_shuffles_minutes_once_and_unfanned(spark):
+    """All granularities at once are the same facts as one by one, and no fanned-out row of a day is shuffled."""
+    rows = [r for n in range(40) for r in trip(f"b{n}", fee=100.0 + n, seq=10 * n, start=n * 1_777)]
+    minutes = b.trigger_minutes(b.booking_triggers(bookings(spark, rows))).persist()
+    whole = buckets.roll_up(minutes)
+    parts = [buckets.roll_up(minutes, (name,)) for name in timing.GRANULARITIES]
+    for name, part in zip(timing.GRANULARITIES, parts):
+        assert sorted(map(str, whole.filter(F.col("bucket_granularity") == name).collect())) == sorted(map(str, part.collect()))
+    by_day = [line for line in buckets.roll_up(minutes, ("MINUTE", "DAY"))._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert by_day and all("bucket_granularity" not in line for line in by_day)
+    minutes.unpersist()
