@@ -173,3 +173,14 @@ def test_arrival_order_over_topics(spark):
     by = {e: cdc.arrival_order(F.col("at"), F.col("offset"), e) for e in ("driver", "driver_location")}
     seqs = [r.seq for r in df.withColumn("seq", F.when(F.col("entity") == "driver", by["driver"]).otherwise(by["driver_location"])).collect()]
     assert seqs == sorted(seqs) and len(set(seqs)) == 4 and seqs[-1] < 2**63
+
+
+def test_stored_changes_are_packed_in_files_of_bounded_size(spark, monkeypatch):
+    from waymeter import registry
+
+    monkeypatch.setattr(registry, "CHANGES_PER_FILE", 1_000)
+    registry.forget_plans()
+    stored = registry.stored_changes(spark, "/root/testdata/sf0.001", "booking")
+    registry.forget_plans()
+    files = stored.inputFiles()
+    assert all(name.endswith(".json.gz") for name in files) and len(files) >= stored.count() / 1_000
