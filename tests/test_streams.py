@@ -7,6 +7,7 @@ from fixtures import after, bookings, locations, profiles, t, trip
 from pyspark.sql import functions as F
 
 from waymeter import schema
+from waymeter.functions import timing
 from waymeter.operators import activity as a, bookings as b, buckets, drivers as d, marts
 from waymeter.schema import FACT
 from waymeter.session import work_folder
@@ -317,3 +318,31 @@ def test_open_lives_go_on_in_the_next_batch(spark):
     job.fire(changes.filter("seq = 8"), 13, now=0)
     job.fire(changes.filter("seq = 12"), 14, now=31 * 86_400)
     assert [r.lead_seconds for r in spark.read.parquet(f"{job.path}/triggers/batch_id=14").collect()] == [None]
+
+
+def test_passenger_days_in_batches_equal_all_at_once(spark):
+    """Retained, churned and returned passengers over batches; one trip comes a day behind the others, the last batch twice."""
+    plan = [("p1", 0), ("p3", 0), ("p1", 1440), ("p2", 1500), ("p2", 100), ("p1", 6 * 1440)]
+    rows = []
+    for i, (who, start) in enumerate(plan):
+        rows += [{**row, "passenger_id": who} for row in trip(f"b{i}", seq=10 * i, start=start)]
+    changes, job = bookings(spark, rows), jobs.PassengerDayJob(spark, work_folder(spark, "days"))
+    # cuts within lives
+    cuts = ["seq < 12", "seq BETWEEN 12 AND 32", "seq BETWEEN 33 AND 43", "seq > 43"]
+    finish(job.start(feed(spark, changes, cuts), NOW))
+    job.write_batch(changes.filter(cuts[-1]), 3)
+    trips = b.trigger_activity(b.booking_triggers(changes))
+    batch = a.passenger_activity_records(trips).groupBy("metric_name", timing.local_day(F.col("event_time")).alias("day")).agg(F.count(F.lit(1)).alias("records"))
+    want = sorted(map(tuple, batch.collect()))
+    assert {name for name, _, _ in want} == {f"{kind}_passenger" for kind in ("active", "retention", "churn", "return")}
+    assert sorted(map(tuple, job.days().collect())) == want
+
+
+def test_days_by_one_query_of_chained_operators(spark):
+    rows = [{**row, "passenger_id": "p1"} for i, start in enumerate((0, 1440)) for row in trip(f"b{i}", seq=10 * i, start=start)]
+    rows += [{"booking_id": "closing", "status": "", "created_at": after(n * 1440), "updated_at": after(n * 1440), "seq": n} for n in (40, 80)]
+    found = []
+    stream = feed(spark, bookings(spark, rows), ["seq < 40", "seq = 40", "seq = 80"])
+    write = lambda batch, n: found.extend(r.metric_name for r in batch.collect())
+    finish(jobs.start(jobs.live_passenger_days(stream, idle_days=36_500), write, work_folder(spark, "chain"), NOW, event_time=True))
+    assert sorted(found) == ["active_passenger", "active_passenger", "churn_passenger", "retention_passenger"]
