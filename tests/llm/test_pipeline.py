@@ -127,3 +127,9 @@ def test_each_stage_keeps_its_promise(spark, stages):
     lost = [i for i in set(near.doc_id) - set(mixed.doc_id) if i in labels.index]
     clean = [i for i in lost if labels.quality[i] == 1 and labels.toxic[i] == 0]
     assert len(clean) <= 0.03 * len(near) and coded.decoded_equal.all()
+
+
+def test_stored_tables_are_packed(spark):
+    from waymeter.llm.common import stored
+
+    assert all(".zstd." in name for name in stored(spark.range(10), "packed").inputFiles())
