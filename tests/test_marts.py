@@ -164,3 +164,11 @@ def test_roll_up_shuffles_minutes_once_and_unfanned(spark):
     by_day = [line for line in buckets.roll_up(minutes, ("MINUTE", "DAY"))._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
     assert by_day and all("bucket_granularity" not in line for line in by_day)
     minutes.unpersist()
+
+
+def test_operations_dashboard_makes_its_snapshot_once(spark):
+    """The snapshot and its newest update both read the table that was made, not the bookings again."""
+    from waymeter import registry
+
+    plan = registry.dashboard_operations_realtime(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "l_extendedprice" not in plan
