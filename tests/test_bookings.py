@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from fixtures import NOON, after, bookings, tally, trip
+from pyspark.sql import functions as F
 
 from waymeter.operators import bookings as b, buckets
 
@@ -151,3 +152,16 @@ def test_lag_is_never_negative(spark):
     row = {**trip()[0], "ingest_ts": NOON - dt.timedelta(hours=1)}
     facts = buckets.bucket_facts(b.booking_records(bookings(spark, [row])), ("MINUTE",))
     assert {r.processing_lag_ms for r in facts.collect()} == {0}
+
+
+def test_bookings_of_a_task_stay_bounded(spark, monkeypatch):
+    """More orders make more tasks, beyond the number of shuffle partitions (8 here)."""
+    from waymeter.sources import testbed as bed
+
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(bed, "ORDERS_PER_TASK", 50, raising=False)
+    rows = bed.bookings(spark, sf)
+    held = rows.select(F.spark_partition_id().alias("task"), "booking_id").distinct().groupBy("task").count()
+    most, tasks = held.agg(F.max("count"), F.count(F.lit(1))).first()
+    assert tasks > 16 and most < 150
+    assert rows.select("booking_id").distinct().count() == bed.table(spark, sf, "orders").count()
