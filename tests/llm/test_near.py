@@ -101,3 +101,22 @@ def test_bands_keep_similar_pairs():
     for percent in (80, 85):
         rows = near.band_rows(percent / 100)
         assert (1 - (percent / 100) ** rows) ** (near.BUCKETS // rows) <= near.MISS
+
+
+def test_one_large_group_of_near_copies_is_dealt_anew_once(spark, monkeypatch):
+    """Copies of one text with few to many edits, some shared: buckets are not divided round after round, and no link is lost."""
+    rng = random.Random(11)
+    word = lambda: "w" + str(rng.randrange(10**6))
+    base, common = [word() for _ in range(120)], [word() for _ in range(12)]
+    rows = []
+    for i in range(260):
+        words = list(base[: rng.randrange(100, 121)])
+        for _ in range(rng.randrange(1, 9)):
+            words[rng.randrange(len(words))] = rng.choice(common) if i % 3 == 0 else word()
+        rows.append((i, " ".join(words)))
+    names, stored = [], near.stored
+    monkeypatch.setattr(near, "stored", lambda df, name: names.append(name) or stored(df, name))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near.find_groups(docs, size=3, percent=85).collect()}
+    assert found == brute(rows, 3, 85)
+    assert names.count("members") == 1 and names.count("pairs") <= 3

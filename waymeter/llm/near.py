@@ -8,10 +8,9 @@ agree by chance, and what is near the threshold or above is verified on the full
 
 A bucket of g texts gives about g pairs, each text with the hub of the bucket (the text that
 shares most keys overall), not g * g: texts that link join a component, and only texts of
-different components still have to meet. Small buckets give those pairs at once. In large
-ones each text is described by what it adds to the hub and what it lacks of it. Two texts
-can only be similar if they share added shingles, which become the keys of new, smaller
-buckets, or if both lack more than they add, which few do; see :func:`_Linker._lost_pairs`.
+different components still have to meet. Small buckets give those pairs at once. The texts of
+large ones are dealt anew, by their rarest shingles: similar texts have one of so many in
+common, and its place in both tells which sizes can still meet; see :func:`_Linker._places`.
 """
 
 from __future__ import annotations
@@ -35,10 +34,10 @@ CHANCE = 0.16992
 MISS = 1e-8
 #: The estimate may fall so far below the threshold: about six standard errors of 256 registers.
 SLACK = 0.15
-#: Open buckets up to this size give every pair of different components; larger ones are divided until none is left.
+#: Open buckets up to this size give every pair of different components; texts of larger ones are dealt anew.
 SMALL = 32
 #: Cells, by leading bits, in which elements are counted to order them by rarity.
-CELL_BITS = 16
+CELL_BITS = 18
 #: Rows of an Arrow batch; each may bring two sets of some kilobytes.
 BATCH_ROWS = 1000
 
@@ -46,10 +45,10 @@ SKETCH = T.StructType(
     [
         T.StructField("n", T.LongType()),
         T.StructField("set_id", T.BinaryType()),
-        T.StructField("registers", T.BinaryType()),
         T.StructField("keys", T.ArrayType(T.LongType())),
     ]
 )
+SET = T.StructType([T.StructField("own_id", T.BinaryType()), T.StructField("registers", T.BinaryType()), T.StructField("shingles", T.BinaryType())])
 
 
 def band_rows(threshold: float) -> int:
@@ -135,20 +134,19 @@ def sketcher(size: int, rows: int):
     @F.arrow_udf(SKETCH)
     def sketch(column: pa.Array) -> pa.Array:
         orders = _orders()
-        n, ids, regs, keys = [], [], [], []
+        n, ids, keys = [], [], []
         for hashes in shingle_sets(column, size):
             found = registers(hashes)
             n.append(len(hashes))
             ids.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
-            regs.append(found.tobytes())
             keys.append(band_keys(filled(found, orders), rows) if len(hashes) else [])
-        arrays = [pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(regs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+        arrays = [pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
         return pa.StructArray.from_arrays(arrays, fields=[pa.field(f.name, a.type) for f, a in zip(SKETCH.fields, arrays)])
 
     return sketch
 
 
-DELTA = T.StructType([T.StructField("adds", T.LongType()), T.StructField("lacks", T.LongType()), T.StructField("elements", T.ArrayType(T.LongType()))])
+PLACES = T.ArrayType(T.StructType([T.StructField("element", T.LongType()), T.StructField("most", T.LongType())]))
 
 
 def _cell(elements: np.ndarray) -> np.ndarray:
@@ -173,29 +171,29 @@ def element_counts(sets: DataFrame) -> np.ndarray:
     return found
 
 
-def delta_of(percent: int, counts: np.ndarray):
-    """What a set adds to the set of its hub: counts, and the rarest added elements.
+def places_of(percent: int, counts: np.ndarray):
+    """The rarest elements of a set, each with the size of the largest set that can be similar and have it as the first in common.
 
-    Similar sets x, y differ in at most (1 - t) / t * |x| elements; so of more added elements
-    than that, x and y share one among so many first plus one, in any order that is the same for
-    all sets. In the order of how full an element's cell is, shingles of frequent passages
-    come last, so they rarely make a bucket.
+    All sets are in one order, by how full an element's cell is; shingles of frequent passages come last. If
+    sets x, y have their first common element after p elements of x, they have at most |x| - p in
+    common, and similar ones have t / (1 + t) * (|x| + |y|) at least. As |y| >= t * |x|, places
+    after the first (1 - t) * |x| need not be looked at.
     """
 
-    @F.arrow_udf(DELTA)
-    def delta(own: pa.Array, hub: pa.Array) -> pa.Array:
-        adds, lacks, elements = [], [], []
-        for x, h in zip(own.to_pylist(), hub.to_pylist()):
-            x, h = np.frombuffer(x, np.uint64), np.frombuffer(h, np.uint64)
-            added = np.setdiff1d(x, h, True)
-            adds.append(len(added))
-            lacks.append(len(h) - len(x) + len(added))
-            first = np.lexsort((added, counts[_cell(added)]))[: (100 - percent) * len(x) // percent + 1]
-            elements.append(added[first].view(np.int64))
-        arrays = [pa.array(adds, pa.int64()), pa.array(lacks, pa.int64()), pa.array(elements, pa.list_(pa.int64()))]
-        return pa.StructArray.from_arrays(arrays, ["adds", "lacks", "elements"])
+    @F.arrow_udf(PLACES)
+    def places(sets: pa.Array) -> pa.Array:
+        elements, most, ends = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [0]
+        for x in sets.to_pylist():
+            x = np.frombuffer(x, np.uint64)
+            n, width = len(x), (100 - percent) * len(x) // 100 + 1
+            x = x[np.lexsort((x, counts[_cell(x)]))[:width]]
+            elements.append(x.view(np.int64))
+            most.append(((100 + percent) * (n - np.arange(len(x))) - percent * n) // percent)
+            ends.append(ends[-1] + len(x))
+        values = pa.StructArray.from_arrays([pa.array(np.concatenate(elements)), pa.array(np.concatenate(most))], ["element", "most"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
-    return delta
+    return places
 
 
 @F.arrow_udf(T.DoubleType())
@@ -223,10 +221,8 @@ class _Linker:
     """The search for links between classes of texts that have one set."""
 
     def __init__(self, classes: DataFrame, docs: DataFrame, size: int, percent: int):
-        # classes: rep (a number of its own), first (its smallest document id), set_id, n, registers, keys
+        # classes: rep (a number of its own), first (its smallest document id), set_id, n, keys
         self.classes, self.docs, self.size, self.percent = classes, docs, size, percent
-        # similar sets x, y differ in at most spread * (|x| + |y|) elements
-        self.spread = (100 - percent) / (100 + percent)
         self.links = self.tested = self.labels = None
         self.folders: dict[str, str] = {}
 
@@ -235,23 +231,15 @@ class _Linker:
         if bucket.isEmpty():
             return None
         self.near = self._with_sets(bucket)
-        self.counts = element_counts(self.near)
-        # a division leaves the hub out, so buckets shrink and this ends
-        while True:
-            hubs, pairs = self._hub_pairs(bucket)
-            self._verify(pairs)
-            open_ = self._open(bucket)
-            self._verify(self._cross_pairs(open_.filter(F.col("size") <= SMALL)))
-            large = open_.filter(F.col("size") > SMALL)
-            if large.isEmpty():
-                break
-            deltas = self._deltas(large, hubs)
-            self._verify(self._lost_pairs(deltas))
-            divided = deltas.select("rep", "hub", F.explode("elements").alias("element"))
-            bucket = self._shared(divided.select("rep", F.xxhash64("hub", "element").alias("key")))
-            release(self.docs.sparkSession)
-            if bucket.isEmpty():
-                break
+        self._verify(self._hub_pairs(bucket))
+        open_ = self._open(bucket)
+        pairs = self._cross_pairs(open_.filter(F.col("size") <= SMALL))
+        large = stored(open_.filter(F.col("size") > SMALL).select("rep").distinct(), "large")
+        if not large.isEmpty():
+            places = self._places(large)
+            self._verify(self._first_pairs(places))
+            pairs = pairs.unionByName(self._place_pairs(places)).distinct()
+        self._verify(pairs)
         return self.labels
 
     def _shared(self, bucket: DataFrame) -> DataFrame:
@@ -263,36 +251,43 @@ class _Linker:
         """Sketch and full set, made again from the text, of the classes that have company at all."""
         size = self.size
 
-        @F.arrow_udf(T.StructType([T.StructField("own_id", T.BinaryType()), T.StructField("shingles", T.BinaryType())]))
-        def shingles(column: pa.Array) -> pa.Array:
-            sets = [x.tobytes() for x in shingle_sets(column, size)]
-            ids = [hashlib.blake2b(x, digest_size=16).digest() for x in sets]
-            return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(sets, pa.binary())], ["own_id", "shingles"])
+        @F.arrow_udf(SET)
+        def sets_of(column: pa.Array) -> pa.Array:
+            sets = list(shingle_sets(column, size))
+            ids = pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets], pa.binary())
+            drawn = pa.array([registers(x).tobytes() for x in sets], pa.binary())
+            return pa.StructArray.from_arrays([ids, drawn, pa.array([x.tobytes() for x in sets], pa.binary())], ["own_id", "registers", "shingles"])
 
         near = self.classes.drop("keys").join(bucket.select("rep").distinct(), "rep", "left_semi")
         near = stored(near, "wanted")
-        rows = self.docs.join(near.select("first").distinct(), self.docs["_id"] == F.col("first"), "left_semi")
-        sets = rows.select(F.col("_id").alias("_of"), shingles("_text").alias("s")).select("_of", "s.*")
-        # a document id may have several texts: the set is told by its digest; equal rows have one
-        both = near.join(sets, (F.col("first") == F.col("_of")) & (F.col("set_id") == F.col("own_id")))
-        both = stored(both.select("rep", "n", "registers", "shingles").dropDuplicates(["rep"]), "near")
+        # a table of its own, so that its size is known and texts are shuffled only where it is large
+        wanted = stored(near.select(F.col("first").alias("_of")).distinct(), "wanted-ids")
+        rows = self.docs.join(wanted, self.docs["_id"] == F.col("_of"), "left_semi")
+        sets = rows.select(F.col("_id").alias("_of"), sets_of("_text").alias("s")).select("_of", "s.*")
+        # a document id may have several texts: the set is told by its digest; null-safe, as a test for null would make all sets
+        both = near.join(sets, (F.col("first") == F.col("_of")) & F.col("set_id").eqNullSafe(F.col("own_id")))
+        both = stored(both.select("rep", "n", "registers", "shingles"), "near")
+        if both.count() > near.count():
+            # equal rows have one set
+            both = stored(both.dropDuplicates(["rep"]), "near")
         release(self.docs.sparkSession)
         return both
 
-    def _hub_pairs(self, bucket: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def _hub_pairs(self, bucket: DataFrame) -> DataFrame:
         weight = bucket.groupBy("rep").agg(F.sum("size").alias("weight"))
         weighed = stored(bucket.join(weight, "rep"), "weighed")
         hubs = stored(weighed.groupBy("key").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("hub")), "hubs")
-        return hubs, _ordered(weighed.join(hubs, "key"), F.col("rep"), F.col("hub"))
+        return _ordered(weighed.join(hubs, "key"), F.col("rep"), F.col("hub"))
+
+    def _labelled(self, rows: DataFrame) -> DataFrame:
+        if self.labels is None:
+            return rows.withColumn("component", F.col("rep"))
+        return rows.join(self.labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
     def _open(self, bucket: DataFrame) -> DataFrame:
         """Members, with their component, of buckets that still hold more than one."""
-        if self.labels is None:
-            labelled = bucket.withColumn("component", F.col("rep"))
-        else:
-            labelled = bucket.join(self.labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         # two members have met their hub
-        labelled = stored(labelled.filter("size > 2"), "labelled")
+        labelled = stored(self._labelled(bucket.filter("size > 2")), "labelled")
         mixed = stored(labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key"), "open")
         return stored(labelled.join(mixed, "key"), "open")
 
@@ -301,33 +296,30 @@ class _Linker:
         right = bucket.select("key", F.col("rep").alias("b"), F.col("component").alias("of_b"))
         return _ordered(left.join(right, "key").filter("of_a < of_b"), F.col("a"), F.col("b"))
 
-    def _deltas(self, large: DataFrame, hubs: DataFrame) -> DataFrame:
-        """(hub, rep) of large open buckets with the component, size and delta of ``rep``."""
-        pairs = stored(large.join(hubs, "key").select("hub", "rep", "component").filter("hub != rep").distinct(), "spokes")
-        own = self.near.select(F.col("rep"), "n", "shingles")
-        hub = self.near.select(F.col("rep").alias("hub"), F.col("shingles").alias("hub_shingles"))
-        both = pairs.join(own, "rep").join(hub, "hub")
-        both = both.withColumn("d", delta_of(self.percent, self.counts)("shingles", "hub_shingles"))
-        return stored(both.select("hub", "rep", "component", "n", "d.*"), "deltas")
-
-    def _lost_pairs(self, deltas: DataFrame) -> DataFrame:
-        """Pairs under one hub that may be similar without a common added element.
-
-        Sets that add nothing in common differ in adds + adds + |lacks - lacks| elements at
-        least. One of them, x, has no link to the hub, or both are in its component; by how
-        much its delta is too large, the other one must lack more than it adds.
-        """
-        k = self.spread
-        rows = deltas.withColumn("hub_n", F.col("n") - F.col("adds") + F.col("lacks"))
-        rows = rows.withColumn("excess", F.col("adds") + F.col("lacks") - k * (F.col("n") + F.col("hub_n")))
-        width = F.floor(F.col("hub_n") * ((100 - self.percent) / self.percent)) + 1
-        rows = rows.withColumn("bin", F.floor(F.col("lacks") / width))
-        x = rows.filter("excess > 0").select("hub", "bin", *[F.col(c).alias(f"x_{c}") for c in ("rep", "component", "n", "adds", "lacks", "excess")])
-        y = rows.filter("lacks > adds").withColumn("bin", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)))
-        both = x.join(y.drop("excess", "elements"), ["hub", "bin"]).filter("x_component != component")
-        both = both.filter((1 - k) * (F.col("lacks") - F.col("adds")) >= F.col("x_excess") - 1e-6)
-        differ = F.col("x_adds") + F.col("adds") + F.abs(F.col("x_lacks") - F.col("lacks"))
-        return _ordered(both.filter(differ <= k * (F.col("x_n") + F.col("n")) + 1e-6), F.col("x_rep"), F.col("rep"))
+    def _places(self, large: DataFrame) -> DataFrame:
+        """The rarest elements of each set, if another set has them too: (element, rep, n, most), see :func:`places_of`."""
+        rows = stored(self.near.select("rep", "n", "shingles").join(large, "rep", "left_semi"), "crowded")
+        places = places_of(self.percent, element_counts(rows))
+        return self._meeting(rows.select("rep", "n", F.inline(places("shingles"))))
+
+    def _meeting(self, places: DataFrame) -> DataFrame:
+        """Places whose element is at a place of a set of another component as well."""
+        labelled = stored(self._labelled(places), "places")
+        mixed = labelled.groupBy("element").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("element")
+        return stored(labelled.join(stored(mixed, "elements"), "element"), "places")
+
+    def _first_pairs(self, places: DataFrame) -> DataFrame:
+        """Each set with the one of like size that has the least before their common element: most links are found so."""
+        places = places.withColumn("sizes", F.floor(F.log("n") / np.log(100 / self.percent)))
+        hubs = stored(places.groupBy("element", "sizes").agg(F.max_by("rep", F.struct("most", -F.col("rep"))).alias("hub")), "hubs")
+        return _ordered(places.join(hubs, ["element", "sizes"]), F.col("rep"), F.col("hub"))
+
+    def _place_pairs(self, places: DataFrame) -> DataFrame:
+        """All pairs of different components that can be similar with this element as the first in common."""
+        rows = self._meeting(places.drop("component"))
+        side = lambda tag: rows.select("element", *[F.col(c).alias(f"{c}_{tag}") for c in ("rep", "n", "most", "component")])
+        both = side("a").join(side("b"), "element").filter("component_a < component_b AND n_a <= most_b AND n_b <= most_a")
+        return _ordered(both.filter(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")), F.col("rep_a"), F.col("rep_b"))
 
     def _kept(self, pairs: DataFrame, name: str) -> DataFrame:
         """All pairs of one name so far, in one table: plans stay as small as in the first round."""
@@ -404,7 +396,7 @@ def find_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", siz
     with arrow_rows(docs.sparkSession, BATCH_ROWS):
         drawn = stored(drawn, "sketches")
         named_rows = drawn.filter("n > 0 AND _id IS NOT NULL")
-        alike = named_rows.groupBy("set_id").agg(F.min("_id").alias("first"), *[F.first(c).alias(c) for c in ("n", "registers", "keys")])
+        alike = named_rows.groupBy("set_id").agg(F.min("_id").alias("first"), *[F.first(c).alias(c) for c in ("n", "keys")])
         classes = stored(alike.withColumn("rep", F.monotonically_increasing_id()), "classes")
         linker = _Linker(classes, source, size, percent)
         labels = linker.run()
