@@ -125,3 +125,20 @@ def test_all_segmentations_of_a_small_text():
     at = lattices.encode(["the cat"])[0]
     ((found, after),) = pieces.sample(lattices, [at], [5], 1000)
     assert {tuple(p.tolist()) for p, _, _ in found} == set(all_paths(lattices, at)) and after == -math.inf
+
+
+def test_units_tell_whether_a_text_decodes_and_what_its_pieces_are():
+    """Counts, decoding and ids of pieces from what is known of units equal the model's own, spelled characters included."""
+    import numpy as np
+    import public_tokenizers
+
+    from waymeter.llm import pieces
+
+    lattices = pieces.Lattices(public_tokenizers.path("piece_bpe_32k.model"))
+    odd = ["", " ", "  a  b ", "▁", "a▁b", "a\n\n b\t\x00", "漢字 😀😀a é", "\n", "Ω​ one two"]
+    for text, at in zip(odd, lattices.encode(odd)):
+        own = lattices.model.encode(text)
+        assert lattices.count(at) == len(own), text
+        assert lattices.decodes(text, at) == (lattices.model.decode(own) == text), text
+    spelled = lattices.piece_ids(np.array([5, -1 - ord("é"), 7, -1 - ord("😀")])).tolist()
+    assert spelled == [5, *[lattices.byte[b] for b in "é".encode()], 7, *[lattices.byte[b] for b in "😀".encode()]]
