@@ -8,15 +8,32 @@ read again as the documents of the next.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from waymeter.llm import exact, mixing, near, pieces, quality
+from waymeter.llm.bloom import split
 from waymeter.llm.common import stored, table
 
 #: Shares of the domains in the tokens kept.
 TARGETS = {"good": 0.97, "poor": 0.029, "toxic": 0.001}
 
 
+def named_texts(docs: DataFrame) -> DataFrame:
+    """``docs`` with a digest of the text: id and text decide what a stage below does with a row, and stand for it without the text."""
+    return docs.withColumn("_digest", F.unhex(F.sha2("text", 256)))
+
+
+def without(docs: DataFrame, dropped: DataFrame, name: str) -> DataFrame:
+    """``docs`` less the rows with an id and text of ``dropped`` (doc_id, _digest).
+
+    Texts are shuffled only of rows whose id may be among those dropped.
+    """
+    gone = stored(dropped.select(F.col("doc_id").alias("_id"), F.col("_digest").alias("_of")).distinct(), name)
+    possible, clear = split(docs, F.col("doc_id"), gone, "_id")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_digest").eqNullSafe(F.col("_of"))
+    return clear.unionByName(named_texts(possible).join(gone, same, "left_anti").drop("_digest"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the fixed rules nor the limits of their language and source reject.
 
@@ -38,13 +55,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts are like nothing and stay, as do rows without an id; an empty table stays empty.
     """
-    return near.find_groups(docs).filter("kept").select(*docs.columns)
+    return without(docs, near.find_groups(named_texts(docs), keep_text=False).filter("NOT kept"), "near-copies")
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn at rates up to 1, so that their tokens have the shares TARGETS."""
-    mixed = mixing.mix(docs, table(spark, sf_dir, "labels"), TARGETS, once=True)
-    return mixed.filter("copies > 0").select(*docs.columns)
+    mixed = mixing.mix(named_texts(docs), table(spark, sf_dir, "labels"), TARGETS, keep_text=False, once=True)
+    return without(docs, mixed.filter("copies = 0"), "undrawn")
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -133,3 +133,49 @@ def test_stored_tables_are_packed(spark):
     from waymeter.llm.common import stored
 
     assert all(".zstd." in name for name in stored(spark.range(10), "packed").inputFiles())
+
+
+def test_stages_shuffle_texts_only_of_what_they_drop(spark, monkeypatch):
+    """Joins too large to broadcast: all but a few of the rows pass by them, and the rows kept are those of the operators."""
+    from waymeter.llm import exact, near
+
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    odd = docs.filter("doc_id % 50 = 0")
+    odd = odd.withColumn("doc_id", F.expr("CASE WHEN doc_id % 100 = 0 THEN doc_id + 1 END")).unionByName(odd).unionByName(odd.limit(5).withColumn("text", F.lit(None).cast("string")))
+    docs = stored(docs.unionByName(odd), "odd")
+    passed, plain = [], corpus_pipeline.split
+
+    def split(*given):
+        possible, clear = plain(*given)
+        passed.append((given[0].count(), possible.count(), clear.count()))
+        return possible, clear
+
+    for module in (corpus_pipeline, exact, near):
+        monkeypatch.setattr(module, "split", split)
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: labels)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        whole = [
+            (corpus_pipeline.exact_dedup, exact.find_copies(docs).filter("kept")),
+            (corpus_pipeline.near_dedup, near.find_groups(docs).filter("kept")),
+            (corpus_pipeline.source_mixing, mixing.mix(docs, labels, corpus_pipeline.TARGETS, once=True).filter("copies > 0")),
+        ]
+        for stage, expected in whole:
+            passed.clear()
+            got, expected = stage(spark, docs, SF), expected.select(*docs.columns)
+            assert got.columns == docs.columns and got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+            assert passed and all(p + c == n and p < 0.5 * n for n, p, c in passed), (stage, passed)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_full_filter_loses_nothing(spark, monkeypatch):
+    from waymeter.llm import bloom
+
+    rows = spark.range(4000).selectExpr("CASE WHEN id % 7 > 0 THEN id END AS k", "id")
+    known = stored(rows.filter("id % 4 = 0").select("k"), "known")
+    for most in (bloom.BROADCAST_BLOCKS, 1):
+        monkeypatch.setattr(bloom, "BROADCAST_BLOCKS", most)
+        possible, clear = bloom.split(rows, F.col("k"), known, "k")
+        assert possible.unionByName(clear).exceptAll(rows).isEmpty() and possible.count() + clear.count() == 4000
+        assert clear.filter("id % 4 = 0").isEmpty() and clear.filter("k IS NULL").isEmpty() and (most == 1 or clear.count() > 2400)

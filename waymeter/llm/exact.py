@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from waymeter.llm.bloom import split
 from waymeter.llm.common import fold, packed, stored, texts, unpacked
 
 #: Distinct fingerprints that one block of a merged filter is laid out for.
@@ -117,15 +118,17 @@ def find_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", pri
     filters = merged_filter(partition_filters(rows.select("_print"), remainder_bits))
     routed = stored(repeated_prints(filters, remainder_bits).select("_print"), "prints")
 
+    # only rows whose fingerprint may repeat are shuffled with their text
+    possible, alone_at_once = split(rows, F.col("_print"), routed, "_print")
     # texts whose fingerprint repeats, grouped by their bytes
-    suspects = rows.select("_sha", "_print", "_uid", F.col(f"_row.`{doc_id}`").alias("_id"), F.col(f"_row.`{text}`").alias("_text"))
+    suspects = possible.select("_sha", "_print", "_uid", F.col(f"_row.`{doc_id}`").alias("_id"), F.col(f"_row.`{text}`").alias("_text"))
     suspects = suspects.join(routed, "_print", "left_semi").withColumn("_bytes", normal_bytes("_text"))
     same = suspects.groupBy("_sha", "_bytes").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("_id", "_uid")).alias("last"))
     alone = F.when(F.max("_bytes") == F.min("_bytes"), F.max("n")).otherwise(F.raise_error(F.lit("two texts have one SHA-256")))
     groups = same.groupBy("_sha").agg(alone.alias("n"), F.max("last").alias("last")).filter("n > 1")
     groups = stored(groups.select(F.col("_sha").alias("_of"), "n", F.col("last._id").alias("_keep"), F.col("last._uid").alias("_keep_uid")), "groups")
 
-    joined = rows.join(groups, F.col("_sha") == F.col("_of"), "left")
+    joined = possible.join(groups, F.col("_sha") == F.col("_of"), "left").unionByName(alone_at_once, allowMissingColumns=True)
     copy = F.col("_of").isNotNull()
     return unpacked(
         joined,

@@ -344,10 +344,12 @@ def mix(
     rows = rows.withColumn("_draw", F.shiftrightunsigned(place, 11).cast("double") / F.lit(float(1 << 53)))
     row = F.col("_row") if keep_text else F.col("_row").dropFields(f"`{text}`")
     p = F.col("s.p")
+    # before the join, so that a text left out is not shuffled either
+    rows = rows.select(row.alias("_row"), F.col(f"_row.`{doc_id}`").alias("_id"), "_draw", "s")
     if once:
-        rows = rows.join(worst_labels(labels), F.col(f"_row.`{doc_id}`") == F.col("_labelled"), "left")
+        rows = rows.join(worst_labels(labels), F.col("_id") == F.col("_labelled"), "left")
         p = F.when(F.col("label").isNull(), p).otherwise(F.array(*[(F.col("label") == i).cast("double") for i in range(len(DOMAINS))]))
-    scored = stored(rows.select(row.alias("_row"), "_draw", "s.tokens", p.alias("p")), "posteriors")
+    scored = stored(rows.select("_row", "_draw", "s.tokens", p.alias("p")), "posteriors")
     rate, report = fit_rates(scored.select("tokens", "p"), targets, reach=reach, once=once)
     if not report["met"]:
         warnings.warn(f"no rates meet the targets; these come nearest: {report}", stacklevel=2)

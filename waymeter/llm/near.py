@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from waymeter.llm.bloom import split
 from waymeter.llm.common import arrow_rows, fold, mix, packed, release, row_chunks, stored, texts, unpacked, word_bounds, word_hashes
 from waymeter.llm.graph import components
 from waymeter.session import work_folder
@@ -260,9 +261,9 @@ class _Linker:
 
         near = self.classes.drop("keys").join(bucket.select("rep").distinct(), "rep", "left_semi")
         near = stored(near, "wanted")
-        # a table of its own, so that its size is known and texts are shuffled only where it is large
+        # the filter lets few other texts pass; their sets find no partner in the join below, so no text is shuffled
         wanted = stored(near.select(F.col("first").alias("_of")).distinct(), "wanted-ids")
-        rows = self.docs.join(wanted, self.docs["_id"] == F.col("_of"), "left_semi")
+        rows, _ = split(self.docs, F.col("_id"), wanted, "_of")
         sets = rows.select(F.col("_id").alias("_of"), sets_of("_text").alias("s")).select("_of", "s.*")
         # a document id may have several texts: the set is told by its digest; null-safe, as a test for null would make all sets
         both = near.join(sets, (F.col("first") == F.col("_of")) & F.col("set_id").eqNullSafe(F.col("own_id")))
