@@ -142,3 +142,35 @@ def test_units_tell_whether_a_text_decodes_and_what_its_pieces_are():
         assert lattices.decodes(text, at) == (lattices.model.decode(own) == text), text
     spelled = lattices.piece_ids(np.array([5, -1 - ord("é"), 7, -1 - ord("😀")])).tolist()
     assert spelled == [5, *[lattices.byte[b] for b in "é".encode()], 7, *[lattices.byte[b] for b in "😀".encode()]]
+
+
+def test_query_gives_ids_that_the_model_decoded(spark, tmp_path):
+    """The ids of each text and of its samples are in the result, and each text's ids went through the model's decoder."""
+    import sentencepiece
+
+    from waymeter.llm import queries
+
+    texts = ["the cat sat", "漢字 é\n  two", "", None, "a▁b"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for row in queries.op1_sentencepiece(spark, str(tmp_path)).collect():
+        text = texts[row.doc_id] or ""
+        assert row.ids == model.encode(text) and row.n_pieces == len(row.ids)
+        assert row.decoded_equal == (model.decode(row.ids) == text)
+        assert [len(ids) for ids in row.sample_ids] == row.sample_pieces
+        assert all(model.decode(ids) == text.replace("▁", " ") for ids in row.sample_ids)
+
+    lattices = pieces.Lattices(public_tokenizers.path("piece_bpe_32k.model"))
+    asked, own = [], lattices.model
+
+    class Watched:
+        def __getattr__(self, name):
+            return getattr(own, name)
+
+        def decode(self, ids, **options):
+            asked.append(list(ids))
+            return own.decode(ids, **options)
+
+    lattices.model = Watched()
+    at = lattices.encode(["the cat sat on the cat"])[0]
+    assert lattices.decodes("the cat sat on the cat", at) and asked == [own.encode("the cat sat on the cat")]
