@@ -125,6 +125,29 @@ def test_refresh_rewrites_only_touched_folders(spark):
     assert seen == whole.agg(F.max("last_event_at")).first()[0]
 
 
+def test_build_and_refresh_in_steps_equal_the_whole(spark):
+    """Steps of few minute rows give the same table, each with shuffles of its own days only; what has no bucket stays."""
+    path, log = work_folder(spark, "mart"), marts.FactLog(spark, work_folder(spark, "log"))
+    totals = lambda rows: b.trigger_minutes(b.booking_triggers(bookings(spark, rows)))
+    days = [trip(f"b{d}", seq=10 * d, start=d * 11 * 24 * 60) for d in range(8)]
+    undated = totals(trip("none", seq=900)).withColumn("bucket_start", F.lit(None).cast("timestamp_ntz"))
+    log.write(totals(sum(days, [])).unionByName(undated), "s", 0)
+    stored = lambda: sorted(map(str, tables.read_table(spark, path, "fact_metric_bucket").select(*FACT).collect()))
+    whole = lambda: sorted(map(str, buckets.roll_up(log.minutes("s")).select(*FACT).collect()))
+    folders = buckets.touched_folders(log.minutes("s")).filter("bucket_date IS NOT NULL").collect()
+    steps = marts._steps(log.minutes("s"), folders, 40)
+    assert len(steps) > 3 and sorted(sum(steps, [])) == sorted(folders)
+    marts.build_facts(log, "s", path, rows_per_step=40)
+    assert stored() == whole()
+    log.write(totals(trip("late", seq=990, start=3 * 11 * 24 * 60) + trip("later", seq=1_000, start=5 * 11 * 24 * 60)), "s", 1)
+    marts.refresh_facts(log, "s", 1, path, rows_per_step=40)
+    assert stored() == whole()
+    # minutes far from the folders asked for are left out below the shuffle
+    one = spark.createDataFrame([r for r in folders if r.bucket_granularity == "DAY"][:1], "bucket_granularity string, bucket_date date")
+    plan = buckets.roll_up(log.minutes("s"), timing.GRANULARITIES, one)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("_day" in part.split("Relation")[0] for part in plan.split("RepartitionByExpression")[1:])
+
+
 def test_route_paths_are_in_order(spark):
     rows = [("b", "PATH", n, 1.0 + n, 2.0, after(n), after(n)) for n in (3, 1, 2)]
     df = spark.createDataFrame(rows, "booking_id string, segment_type string, sequence_no int, latitude double, longitude double, event_time timestamp_ntz, received_at timestamp_ntz")
