@@ -346,3 +346,37 @@ def test_days_by_one_query_of_chained_operators(spark):
     write = lambda batch, n: found.extend(r.metric_name for r in batch.collect())
     finish(jobs.start(jobs.live_passenger_days(stream, idle_days=36_500), write, work_folder(spark, "chain"), NOW, event_time=True))
     assert sorted(found) == ["active_passenger", "active_passenger", "churn_passenger", "retention_passenger"]
+
+
+def test_feeds_keep_rows_once_and_come_slice_by_slice(spark, tmp_path):
+    """Slices are made in one pass and moved into the feed; an empty one still gives a batch."""
+    import glob
+    import os
+
+    from waymeter import registry
+
+    shape = "seq bigint, name string"
+    rows = spark.createDataFrame([(n, f"r{n}") for n in (0, 1, 2, 8, 9, None)], shape)
+    last = spark.createDataFrame([(50, "more")], shape)
+    seen = []
+    for feed in registry._slices(spark, rows, "own-feed", 3, last):
+        name = sorted(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/own-feed-*"), key=os.path.getmtime)[-1]
+        seen.append(sorted(r.seq for r in spark.read.schema(shape).parquet(f"{name}/feed").collect()))
+        assert feed.isStreaming and not os.path.exists(f"{name}/all")
+        assert not glob.glob(f"{name}/slices/*={len(seen) - 1}/*.parquet")
+    assert seen == [[0, 1, 2], [0, 1, 2], [0, 1, 2, 8, 9], [0, 1, 2, 8, 9, 50]]
+    empty = list(registry._slices(spark, rows.limit(0), "empty-feed"))
+    assert len(empty) == 3
+    name = glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/empty-feed-*")[0]
+    assert len(glob.glob(f"{name}/feed/*.parquet")) >= 3
+
+
+def test_minutes_of_a_batch_take_one_shuffle(spark):
+    """Placed by scope and minute, triggers are summed, unfolded and merged where they are; the totals stay the same."""
+    rows = [r for n in range(30) for r in trip(f"b{n}", fee=10.0 + n, discount=float(n % 2), seq=10 * n, start=n % 7)]
+    triggers = b.booking_triggers(bookings(spark, rows)).localCheckpoint()
+    one = marts.merge_minutes(b.trigger_minutes(triggers, placed=True))
+    two = marts.merge_minutes(b.trigger_minutes(triggers))
+    shuffles = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert shuffles(one) == 1 < shuffles(two)
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
