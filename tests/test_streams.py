@@ -371,6 +371,22 @@ def test_feeds_keep_rows_once_and_come_slice_by_slice(spark, tmp_path):
     assert len(glob.glob(f"{name}/feed/*.parquet")) >= 3
 
 
+def test_tables_of_a_job_are_packed_and_shuffles_go(spark, tmp_path):
+    """What a booking job keeps is written with zstd, and a feed holds its rows once."""
+    import glob
+
+    from waymeter import registry
+
+    rows = bookings(spark, [r for n in range(9) for r in trip(str(n), seq=10 * n, start=n)])
+    job = jobs.BookingJob(spark, str(tmp_path / "job"))
+    for feed in registry._slices(spark, rows, "packed-feed"):
+        registry._finish(job.start(feed, NOW))
+    files = glob.glob(f"{tmp_path}/job/**/*.parquet", recursive=True) + glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/packed-feed-*/**/*.parquet", recursive=True)
+    assert files and all(file.endswith(".zstd.parquet") for file in files)
+    whole = buckets.roll_up(b.trigger_minutes(b.booking_triggers(rows)), ("DAY",)).select(*FACT)
+    assert sorted(map(str, jobs.facts_of(job.log, ["bookings"], ("DAY",)).select(*FACT).collect())) == sorted(map(str, whole.collect()))
+
+
 def test_minutes_of_a_batch_take_one_shuffle(spark):
     """Placed by scope and minute, triggers are summed, unfolded and merged where they are; the totals stay the same."""
     rows = [r for n in range(30) for r in trip(f"b{n}", fee=10.0 + n, discount=float(n % 2), seq=10 * n, start=n % 7)]
